@@ -27,6 +27,7 @@ class ClusterConfig:
 class MatchConfig:
     threshold: float = 0.5
     window_hours: int = 24
+    decay_hours: float = 24.0
     expire_days: int = 3
     w_topic: float = 0.6
     w_keywords: float = 0.2

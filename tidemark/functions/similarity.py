@@ -31,4 +31,4 @@ def trend_score(topic: Column, keywords: Column, time: Column, source: Column,
 def time_factor(a: Column, b: Column, cfg: MatchConfig = MatchConfig()) -> Column:
     if cfg.time_decay == "constant":
         return F.lit(0.5)
-    return times.linear_decay(a, b, float(cfg.window_hours))
+    return times.linear_decay(a, b, cfg.decay_hours)

@@ -21,3 +21,12 @@ def cosine(a: Column, b: Column) -> Column:
 
 def as_doubles(a: Column) -> Column:
     return a.cast("array<double>")
+
+
+def unit(a: Column) -> Column:
+    """Scaled to length 1; a zero vector stays as it is.
+
+    The factor is spread out as an array because a lambda body is evaluated for every element.
+    """
+    factor = F.coalesce(F.lit(1.0) / F.nullif(norm(a), F.lit(0.0)), F.lit(1.0))
+    return F.zip_with(a, F.array_repeat(factor, F.size(a)), lambda x, f: x * f)

@@ -162,3 +162,13 @@ def label(col: Column, names: dict[str, str], other: Column | None = None) -> Co
     pairs = [F.lit(part) for pair in names.items() for part in pair]
     found = F.element_at(F.create_map(*pairs), col)
     return F.coalesce(found, col if other is None else other)
+
+
+# Display names of the facets.
+TYPE_LABELS = {
+    "entertainment": "Giải trí", "drama": "Drama", "dangerous": "Nguy hiểm",
+    "social_issue": "Vấn đề XH", "commercial": "Thương mại",
+}
+RISK_LABELS = {
+    "safe": "An toàn", "cautious": "Cẩn trọng", "high_risk": "Rủi ro cao", "dangerous": "Nguy hiểm",
+}

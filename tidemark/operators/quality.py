@@ -138,17 +138,24 @@ def match_keywords(df: DataFrame, keywords: DataFrame, row_id: str, keyword: str
 
 
 def _anchored_hits(texts: DataFrame, low: DataFrame, row_id: str, longest: int,
-                   width: int = 8) -> DataFrame:
+                   width: int = 8, piece: int = 256) -> DataFrame:
     """Ids of the texts that contain a keyword, by equi-join on a keyword's first characters.
 
     Every text position is emitted once per anchor length in use with as many following characters
     as the longest keyword has; equal starts meet in the join and the tail settles the match.
     """
-    anchored = low.withColumn("anchor", F.substring("k", 1, width))
+    # 1, 2, 4 or 8 characters: few lengths to emit, long enough to be selective
+    size = F.least(F.lit(width), F.pow(
+        F.lit(2), F.floor(F.log2(F.length("k").cast("double")))).cast("int"))
+    anchored = low.withColumn("anchor", F.substring("k", F.lit(1), size))
     lengths = [r[0] for r in anchored.select(F.length("anchor")).distinct().collect()]  # <= width
-    positions = texts.select(
-        row_id, F.explode(F.sequence(F.lit(1), F.length("_hay"))).alias("_at"), "_hay"
-    ).select(row_id, F.substring("_hay", F.col("_at"), F.lit(longest)).alias("_tail"))
+    # overlapping pieces first: finding a character position is linear in the text before it
+    pieces = texts.select(row_id, F.explode(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.length("_hay"), F.lit(1)), F.lit(piece)),
+        lambda at: F.substring("_hay", at, F.lit(piece + longest - 1)))).alias("_piece"))
+    positions = pieces.select(row_id, F.explode(F.transform(
+        F.sequence(F.lit(1), F.least(F.length("_piece"), F.lit(piece))),
+        lambda at: F.substring("_piece", at, F.lit(longest)))).alias("_tail"))
     starts = positions.select(
         row_id, "_tail",
         F.explode(F.array(*[F.substring("_tail", 1, n) for n in lengths])).alias("anchor"))

@@ -126,14 +126,14 @@ def summarize_runs(runs: DataFrame) -> DataFrame:
     def stage(name: str, field: str) -> Column:
         return F.coalesce(F.col("stages")[name][field], F.lit(0)).cast("double")
 
+    def total(name: str, value: Column) -> Column:
+        return F.struct(F.lit(name).alias("metric"), F.lit("").alias("value"), value.alias("n"))
+
     totals = F.array(
-        F.struct(F.lit("total_batches").alias("metric"), F.lit("").alias("value"),
-                 F.lit(1.0).alias("n")),
-        F.struct(F.lit("total_items_processed"), F.lit(""),
-                 stage("NormalizationStage", "input_count")),
-        F.struct(F.lit("total_clusters_detected"), F.lit(""),
-                 stage("ClusteringStage", "cluster_count")),
-        F.struct(F.lit("total_trends_saved"), F.lit(""), stage("StorageStage", "saved_count")),
+        total("total_batches", F.lit(1.0)),
+        total("total_items_processed", stage("NormalizationStage", "input_count")),
+        total("total_clusters_detected", stage("ClusteringStage", "cluster_count")),
+        total("total_trends_saved", stage("StorageStage", "saved_count")),
     )
     sums = runs.select(F.explode(totals).alias("x")).select("x.*").groupBy("metric", "value").agg(
         F.sum("n").alias("n"))

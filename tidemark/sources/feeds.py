@@ -122,13 +122,19 @@ def flatten_long_video(df: DataFrame, raw: str, now) -> DataFrame:
     )
 
 
+def _mail_date(col: Column) -> Column:
+    """``Mon, 15 Jan 2024 10:30:00 +0700`` (or GMT); the weekday carries no information."""
+    plain = F.regexp_replace(F.regexp_replace(col, r"^\s*[A-Za-z]{3},\s*", ""), r"\bGMT$", "+0000")
+    return F.try_to_timestamp(plain, F.lit("d MMM yyyy HH:mm:ss Z"))
+
+
 def read_feed_xml(spark: SparkSession, path: str) -> DataFrame:
     """Entries of feed dumps; one row an ``item`` element."""
     schema = ("guid string, title string, description string, link string, pubDate string, "
               "thumbnail string, content string")
     return spark.read.format("xml").option("rowTag", "item").schema(schema).load(path).select(
         F.col("guid").alias("id"), "title", F.col("description").alias("summary"), "link",
-        F.try_to_timestamp("pubDate", F.lit("EEE, dd MMM yyyy HH:mm:ss Z")).alias("published"),
+        _mail_date(F.col("pubDate")).alias("published"),
         "thumbnail", "content")
 
 

@@ -15,10 +15,14 @@ class EmptySnapshot(ValueError):
     """A snapshot of nothing is a collection fault, not a result."""
 
 
-def read_snapshots(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """JSON array files as dumped by collectors, with the file each row came from."""
+def read_snapshots(spark: SparkSession, path: str, schema: T.StructType,
+                   array_files: bool = True) -> DataFrame:
+    """JSON array files as dumped by collectors, or our own line files; with the file of each row.
+
+    Line files are split across tasks, an array file is one task's work.
+    """
     return (
-        spark.read.option("multiLine", True).schema(schema).json(path)
+        spark.read.option("multiLine", array_files).schema(schema).json(path)
         .withColumn("_file", F.col("_metadata.file_name"))
     )
 
@@ -77,11 +81,11 @@ def write_run_metrics(df: DataFrame, root: str, batch_id: str) -> None:
     df.write.mode("overwrite").json(f"{root}/batch_id={batch_id}")
 
 
-def read_run_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """All readable metrics files; a broken file becomes no row.  ``file`` gives the name order."""
+def read_run_metrics(spark: SparkSession, path: str, array_files: bool = True) -> DataFrame:
+    """All readable metrics files; a broken one becomes no row.  ``file`` gives the name order."""
     schema = T.StructType([*schemas.RUN_METRICS.fields, T.StructField("_bad", T.StringType())])
     return (
-        spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE")
+        spark.read.schema(schema).option("multiLine", array_files).option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_bad").option("recursiveFileLookup", True).json(path)
         .withColumn("file", F.col("_metadata.file_path"))
         .filter(F.col("_bad").isNull() & F.col("stages").isNotNull()).drop("_bad")
