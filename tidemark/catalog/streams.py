@@ -1,0 +1,70 @@
+"""Queries that run Structured Streaming over the given tables to completion."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.catalog.base import ITEMS, query
+from tidemark.operators import rollup
+from tidemark.runtime import scratch_path
+from tidemark.sources import fixtures as fx
+from tidemark.streaming import intake
+
+
+def _landing(spark, sf, copies=1):
+    """All items as message files, each delivered ``copies`` times."""
+    root = scratch_path(spark, "landing")
+    items = fx.content_items(spark, sf).select(
+        "source", "content_id", "collected_at", F.length("text").cast("long").alias("chars"))
+    repeated = items.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("copy")
+    repeated.repartition(4).write.json(root)
+    return root, items.schema
+
+
+def _finish(query_):
+    query_.awaitTermination()
+    if query_.exception() is not None:
+        raise query_.exception()
+
+
+@query("stream_without_replays", f"""WITH {ITEMS} SELECT source, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars
+FROM items GROUP BY source""")
+def stream_without_replays(spark, sf):
+    """Every message delivered twice, counted once."""
+    root, schema = _landing(spark, sf, copies=2)
+    out = scratch_path(spark, "stream-out")
+    stream = intake.without_replays(intake.stream_files(spark, root, schema, max_files=2))
+    _finish(stream.writeStream.format("parquet").option("path", out).option(
+        "checkpointLocation", scratch_path(spark, "stream-ckpt")).trigger(availableNow=True).start())
+    return spark.read.parquet(out).groupBy("source").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))
+
+
+@query("stream_hold_back", f"""WITH {ITEMS} SELECT source, count(*) AS n FROM items GROUP BY source""")
+def stream_hold_back(spark, sf):
+    """Micro-batches of one file; rows wait until enough are there, then one run takes them."""
+    root, schema = _landing(spark, sf)
+    base = scratch_path(spark, "hold")
+    total = spark.read.schema(schema).json(root).count()
+
+    def process(batch, run):
+        batch.write.mode("overwrite").parquet(f"{base}/out/run={run}")
+
+    # half of all rows: no single file is enough, the last file completes a run
+    target = intake.HoldBack(base, process, min_rows=max(1, total // 2))
+    stream = intake.stream_files(spark, root, schema, max_files=1)
+    _finish(target.start(stream, f"{base}/checkpoint"))
+    left = target.waiting(spark, schema).select("source")
+    return rollup.count_by(spark.read.parquet(f"{base}/out").select("source").unionByName(left), "source")
+
+
+@query("stream_events_by_type", "SELECT event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY event_type")
+def stream_events_by_type(spark, sf):
+    """The events table read as a stream lands the same rows as the batch read."""
+    schema = fx.table(spark, sf, "events").schema
+    out = scratch_path(spark, "events-out")
+    stream = intake.stream_files(spark, sf, schema, "parquet", name="events.parquet")
+    _finish(stream.writeStream.format("parquet").option("path", out).option(
+        "checkpointLocation", scratch_path(spark, "events-ckpt")).trigger(availableNow=True).start())
+    return spark.read.parquet(out).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"))

@@ -1,0 +1,227 @@
+"""Queries on vectors, clustering, embedding and annotation."""
+
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import functions as F
+
+from tidemark.catalog.base import ITEMS, NOW, SCORED, joined, query
+from tidemark.catalog.items import _labelled
+from tidemark.config import ClusterConfig, Settings
+from tidemark.functions import vectors as vec
+from tidemark.operators import annotate, clustering, normalize, rollup
+from tidemark.operators.embed import embed
+from tidemark.plans import detect
+from tidemark.sources import fixtures as fx
+
+_COS = "list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v)))"
+_CENTERS = """e AS (SELECT vec_id, CASE WHEN label = 0 THEN -1 ELSE label END AS label, embedding::DOUBLE[] AS v FROM embeddings),
+ x AS (SELECT label, generate_subscripts(v, 1) AS pos, unnest(v) AS x FROM e WHERE label <> -1),
+ m AS (SELECT label, pos, avg(x) AS x FROM x GROUP BY label, pos),
+ c AS (SELECT label, list(x ORDER BY pos) AS v FROM m GROUP BY label)"""
+
+
+@query("centroids", """WITH x AS (SELECT label, generate_subscripts(embedding, 1) AS pos, unnest(embedding::DOUBLE[]) AS x FROM embeddings)
+SELECT label, pos, round(avg(x), 6) AS x FROM x GROUP BY label, pos""")
+def centroids(spark, sf):
+    return rollup.centroids(fx.unit_vectors(spark, sf), "label").select(
+        "label", F.posexplode("centroid").alias("i", "x")).select(
+        "label", (F.col("i") + 1).cast("long").alias("pos"), F.round("x", 6).alias("x"))
+
+
+@query("own_centroid_distance", f"""WITH {_CENTERS} SELECT a.vec_id, round(1.0 - {_COS}, 6) AS dist
+FROM e a JOIN c b ON a.label = b.label""")
+def own_centroid_distance(spark, sf):
+    items = _labelled(spark, sf).filter("cluster_id <> -1")
+    centers = rollup.centroids(items, "cluster_id")
+    return items.join(centers, "cluster_id").select("vec_id", F.round(
+        1.0 - vec.cosine(F.col("embedding"), F.col("centroid")), 6).alias("dist"))
+
+
+def _nearest(limit):
+    return f"""WITH {_CENTERS}, d AS (SELECT a.vec_id, b.label AS cluster_id, 1.0 - {_COS} AS dist FROM e a, c b WHERE a.label = -1),
+ r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, cluster_id) AS rn FROM d)
+SELECT vec_id, CAST(cluster_id AS BIGINT) AS cluster_id, round(dist, 6) AS dist FROM r WHERE rn = 1 AND dist <= {limit}"""
+
+
+def _assigned(spark, sf, limit):
+    rows = _labelled(spark, sf)
+    centers = rollup.centroids(rows.filter("cluster_id <> -1"), "cluster_id")
+    return clustering.assign_noise(rows.filter("cluster_id = -1"), centers, limit, "vec_id").select(
+        "vec_id", "cluster_id", F.round("dist", 6).alias("dist"))
+
+
+@query("nearest_centroid", _nearest(0.5))
+def nearest_centroid(spark, sf):
+    return _assigned(spark, sf, 0.5)
+
+
+@query("nearest_centroid_wide", _nearest(0.9))
+def nearest_centroid_wide(spark, sf):
+    return _assigned(spark, sf, 0.9)
+
+
+@query("rescue_noise", f"""WITH near AS ({_nearest(0.8)})
+SELECT e.vec_id, CAST(CASE WHEN e.label <> 0 THEN e.label ELSE coalesce(n.cluster_id, -1) END AS BIGINT) AS cluster_id
+FROM embeddings e LEFT JOIN near n USING (vec_id)""")
+def rescue_noise(spark, sf):
+    return clustering.rescue_noise(_labelled(spark, sf), 0.8, "vec_id").select("vec_id", "cluster_id")
+
+
+_PAIRS = """p AS (SELECT a.vec_id AS a, b.vec_id AS b, list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS d
+  FROM embeddings a, embeddings b WHERE a.vec_id <> b.vec_id),
+ k AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY d, b) AS rn FROM p),
+ core AS (SELECT a, d AS core FROM k WHERE rn = 15)"""
+
+
+@query("core_distance", f"WITH {_PAIRS} SELECT a AS vec_id, round(core, 6) AS core FROM core")
+def core_distance(spark, sf):
+    """Distance to the 15th nearest other vector, exact."""
+    return clustering.core_distance(fx.unit_vectors(spark, sf), 15, "vec_id").select(
+        "vec_id", F.round("core", 6).alias("core"))
+
+
+@query("mutual_reachability", f"""WITH {_PAIRS} SELECT k.a, k.b, round(greatest(x.core, y.core, k.d), 6) AS weight
+FROM k JOIN core x ON x.a = k.a JOIN core y ON y.a = k.b WHERE rn <= 15""")
+def mutual_reachability(spark, sf):
+    return clustering.mreach_edges(fx.unit_vectors(spark, sf), 15, "vec_id").select(
+        "a", "b", F.round("weight", 6).alias("weight"))
+
+
+@query("spanning_tree")
+def spanning_tree(spark, sf):
+    """Minimum spanning tree of the mutual-reachability graph; tested against brute force."""
+    return clustering.spanning_tree(fx.unit_vectors(spark, sf), ClusterConfig(), "vec_id").select(
+        "a", "b", F.round("weight", 6).alias("weight"))
+
+
+@query("density_clusters")
+def density_clusters(spark, sf):
+    """Density clusters of the given vectors; tested against brute force."""
+    cfg = ClusterConfig(min_cluster_size=5, min_samples=5)
+    return clustering.density_labels(fx.unit_vectors(spark, sf), cfg, "vec_id")
+
+
+# ------------------------------------------------------------------ embedding
+
+@query("embed_default")
+def embed_default(spark, sf):
+    """Hashed TF-IDF vectors of whole texts: length and number of used dimensions."""
+    items = fx.content_items(spark, sf).withColumn("embed_text", normalize.embedding_text())
+    out = embed(items)
+    return out.select("content_id", F.round(vec.norm(F.col("embedding")), 6).alias("length"),
+                      F.size(F.filter("embedding", lambda x: x != 0)).alias("used"))
+
+
+def _letters(texts: list[str]) -> list[list[float]]:
+    return [[float(len(t)), float(t.count("e"))] for t in texts]
+
+
+@query("embed_with_function", """SELECT doc_id, CAST(length(text) AS DOUBLE) AS chars,
+ CAST(length(text) - length(replace(text, 'e', '')) AS DOUBLE) AS es FROM documents""")
+def embed_with_function(spark, sf):
+    """A caller's function over whole texts, each distinct text once."""
+    docs = fx.table(spark, sf, "documents").select("doc_id", F.col("text").alias("embed_text"))
+    return embed(docs, fn=_letters).select(
+        "doc_id", F.col("embedding")[0].alias("chars"), F.col("embedding")[1].alias("es"))
+
+
+# ------------------------------------------------------------------ annotation
+
+_REQUEST = f"""{SCORED}, r AS (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY score DESC, ingest_seq) AS rank FROM scored),
+ n AS (SELECT cluster_id, source, count(*) AS n FROM items GROUP BY 1, 2),
+ head AS (SELECT cluster_id, string_agg('- ' || CASE source WHEN 'tiktok' THEN 'TikTok' WHEN 'vnexpress' THEN 'VNExpress' ELSE 'YouTube' END
+   || ': ' || CAST(n AS VARCHAR) || ' items', chr(10) ORDER BY n DESC, source) AS head FROM n GROUP BY cluster_id),
+ body AS (SELECT cluster_id, count(*) AS shown, string_agg(CAST(rank AS VARCHAR) || '. [' || CASE source WHEN 'tiktok' THEN 'TikTok'
+   WHEN 'vnexpress' THEN 'Tin tức' ELSE 'YouTube' END || '] ' || substring(text, 1, 300), chr(10) ORDER BY rank) AS body
+   FROM r WHERE rank <= 10 GROUP BY cluster_id),
+ requests AS (SELECT cluster_id, 'Sources:' || chr(10) || head || chr(10) || chr(10) || 'Samples (first ' || CAST(shown AS VARCHAR) || '):'
+   || chr(10) || body || chr(10) || chr(10) || '{annotate.INSTRUCTIONS}' AS request FROM head JOIN body USING (cluster_id))"""
+
+
+@query("annotation_requests", f"WITH {_REQUEST} SELECT cluster_id, request FROM requests")
+def annotation_requests(spark, sf):
+    return annotate.build_requests(fx.content_items(spark, sf))
+
+
+def _answer(request: str) -> str:
+    """Stands in for a remote model: fails on short requests, cuts its JSON off on others."""
+    if "VNExpress: 3" in request:
+        raise RuntimeError("no answer")
+    text = json.dumps({"topic": str(len(request)), "summary": request[:40], "sentiment": "neutral",
+                       "risk_level": "cautious", "keywords": ["k"]}, ensure_ascii=False)
+    return f"```json\n{text}\n```" if len(request) % 2 else text[:-2]
+
+
+@query("annotate_with_function", f"""WITH {_REQUEST} SELECT cluster_id, CAST(length(request) AS VARCHAR) AS topic,
+ substring(request, 1, 40) AS summary, 'neutral' AS sentiment, 'entertainment' AS content_type, 'cautious' AS risk_level
+FROM requests WHERE NOT contains(request, 'VNExpress: 3')""")
+def annotate_with_function(spark, sf):
+    good, _ = annotate.annotate(annotate.build_requests(fx.content_items(spark, sf)), _answer)
+    return good.select("cluster_id", "topic", "summary", "sentiment", "content_type", "risk_level")
+
+
+_TERMS = """w AS (SELECT lang AS cluster_id, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS term FROM documents),
+ n AS (SELECT cluster_id, term, count(*) AS n FROM w WHERE term <> '' GROUP BY 1, 2),
+ t AS (SELECT cluster_id, sum(n)::BIGINT AS words FROM n GROUP BY 1), a AS (SELECT avg(words) AS mean FROM t),
+ s AS (SELECT term, sum(n)::BIGINT AS everywhere FROM n GROUP BY 1),
+ sc AS (SELECT cluster_id, term, round(n / words::DOUBLE * ln(1.0 + mean / everywhere), 9) AS score
+  FROM n JOIN t USING (cluster_id) JOIN s USING (term), a),
+ best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY score DESC, term) AS rank FROM sc) WHERE rank <= 5)"""
+
+
+@query("class_terms", f"WITH {_TERMS} SELECT cluster_id, rank, term, round(score, 6) AS score FROM best")
+def class_terms(spark, sf):
+    return annotate.class_terms(annotate.terms(fx.content_items(spark, sf))).select(
+        "cluster_id", F.col("rank").cast("long").alias("rank"), "term", F.round("score", 6).alias("score"))
+
+
+def _hits(words):
+    return f"coalesce(sum(n) FILTER (WHERE term IN ({','.join(repr(w) for w in words)})), 0)"
+
+
+def _type_case():
+    names = list(annotate.TYPE_WORDS)
+    out = "CASE"
+    for name in names:
+        others = ", ".join(o for o in names if o != name)
+        out += f" WHEN {name} > 0 AND {name} >= greatest({others}) THEN '{name}'"
+    return out + " ELSE 'entertainment' END"
+
+
+@query("annotate_offline", f"""WITH {_TERMS}, tone AS (SELECT cluster_id, {_hits(annotate.POSITIVE)} - {_hits(annotate.NEGATIVE)} AS tone,
+ {', '.join(f'{_hits(w)} AS {k}' for k, w in annotate.TYPE_WORDS.items())} FROM n GROUP BY cluster_id),
+ kinds AS (SELECT *, {_type_case()} AS content_type FROM tone),
+ kw AS (SELECT cluster_id, list(term ORDER BY rank) AS k FROM best GROUP BY cluster_id)
+SELECT cluster_id, array_to_string(k[1:3], ' ') AS topic, array_to_string(k, ',') AS keywords,
+ CASE WHEN tone > 0 THEN 'positive' WHEN tone < 0 THEN 'negative' ELSE 'neutral' END AS sentiment, content_type,
+ CASE content_type WHEN 'dangerous' THEN 'dangerous' WHEN 'social_issue' THEN 'high_risk' WHEN 'drama' THEN 'cautious' ELSE 'safe' END AS risk_level
+FROM kinds JOIN kw USING (cluster_id)""")
+def annotate_offline(spark, sf):
+    return annotate.annotate_offline(fx.content_items(spark, sf)).select(
+        "cluster_id", "topic", joined("keywords"), "sentiment", "content_type", "risk_level")
+
+
+# ------------------------------------------------------------------ the whole batch
+
+def _detected(spark, sf):
+    """All documents as one batch, against trends stored the day before."""
+    stored = fx.trends(spark, sf).drop("side", "guidelines").withColumn(
+        "guidelines", F.lit(None).cast(annotate.schemas.GUIDELINES)).withColumn(
+        "timestamp", F.lit("2024-01-30 12:00:00").cast("timestamp"))
+    return detect.detect(fx.content_items(spark, sf).drop("cluster_id", "channel"), stored, NOW,
+                         Settings(cluster=ClusterConfig(min_cluster_size=5, min_samples=5)))
+
+
+@query("detect_trends")
+def detect_trends(spark, sf):
+    """Clean, filter, embed, cluster, annotate, match and merge; one row a resulting trend."""
+    return _detected(spark, sf).trends.select(
+        "trend_id", "topic", "sentiment", "video_count", "total_views", "is_merged")
+
+
+@query("detect_run_metrics")
+def detect_run_metrics(spark, sf):
+    items = fx.content_items(spark, sf).drop("cluster_id", "channel")
+    return detect.run_metrics(items, _detected(spark, sf))

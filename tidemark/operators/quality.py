@@ -130,8 +130,9 @@ def match_keywords(df: DataFrame, keywords: DataFrame, row_id: str, keyword: str
         F.coalesce(F.col(title), F.lit("")), F.lit(" "), F.coalesce(F.col(summary), F.lit(""))))
     if size["b"] <= max_list_bytes:
         words = F.array(*[F.lit(r["k"]) for r in low.collect()])
-        return df.withColumn("_hay", haystack).filter(
-            F.exists(words, lambda k: F.contains(F.col("_hay"), k))).drop("_hay")
+        # the one-element array binds the lower-cased text once, not once per keyword
+        return df.filter(F.exists(
+            F.array(haystack), lambda text: F.exists(words, lambda k: F.contains(text, k))))
     hits = _anchored_hits(df.select(F.col(row_id), haystack.alias("_hay")), low, row_id,
                           int(size["longest"]))
     return df.join(hits, row_id, "left_semi")

@@ -13,9 +13,12 @@ from tidemark.operators import store
 
 
 def stream_files(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json",
-                 max_files: int | None = None) -> DataFrame:
-    """Files as a stream; ``max_files`` caps the rate per micro-batch."""
+                 max_files: int | None = None, name: str | None = None) -> DataFrame:
+    """Files of a folder as a stream; ``name`` picks files by pattern, ``max_files`` caps the rate
+    per micro-batch."""
     reader = spark.readStream.format(fmt).schema(schema)
+    if name is not None:
+        reader = reader.option("pathGlobFilter", name)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path)
@@ -66,7 +69,7 @@ class HoldBack:
     def __init__(self, root: str, process: Callable[[DataFrame, str], None], min_rows: int = 40):
         self.root, self.process, self.min_rows = root, process, min_rows
 
-    def _waiting(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
+    def waiting(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
         landed = spark.read.schema(
             T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
         ).option("basePath", f"{self.root}/landed").parquet(f"{self.root}/landed")
@@ -80,7 +83,7 @@ class HoldBack:
         done = store.load(spark, f"{self.root}/taken")
         if done is not None and not done.filter(F.col("batch") == batch_id).isEmpty():
             return  # replay of a batch that was processed completely
-        waiting = self._waiting(spark, df.schema)
+        waiting = self.waiting(spark, df.schema)
         if not gate(waiting, self.min_rows):
             return
         self.process(waiting.drop("batch"), f"run-{batch_id}")
