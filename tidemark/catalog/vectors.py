@@ -13,6 +13,7 @@ from tidemark.functions import vectors as vec
 from tidemark.operators import annotate, clustering, normalize, rollup
 from tidemark.operators.embed import embed
 from tidemark.plans import detect
+from tidemark.runtime import cut
 from tidemark.sources import fixtures as fx
 
 _COS = "list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v)))"
@@ -173,7 +174,7 @@ _TERMS = """w AS (SELECT lang AS cluster_id, unnest(regexp_split_to_array(lower(
 
 @query("class_terms", f"WITH {_TERMS} SELECT cluster_id, rank, term, round(score, 6) AS score FROM best")
 def class_terms(spark, sf):
-    return annotate.class_terms(annotate.terms(fx.content_items(spark, sf))).select(
+    return annotate.class_terms(cut(annotate.terms(fx.content_items(spark, sf)))).select(
         "cluster_id", F.col("rank").cast("long").alias("rank"), "term", F.round("score", 6).alias("score"))
 
 

@@ -43,9 +43,14 @@ def scrub(col: Column) -> Column:
     return strip(out)
 
 
+def pieces(col: Column) -> Column:
+    """Text cut at everything that is no letter or digit of any script; may hold empty strings."""
+    return F.split(F.lower(col), r"[^\p{L}\p{N}]+")
+
+
 def tokens(col: Column) -> Column:
-    """Lower-case word tokens of letters and digits, any script."""
-    return F.filter(F.split(F.lower(col), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    """Lower-case word tokens."""
+    return F.array_remove(pieces(col), "")
 
 
 def embedding_input(text: Column, hashtags: Column) -> Column:

@@ -14,9 +14,16 @@ def clock(now: datetime | str | Column) -> Column:
     return F.lit(str(now)).cast("timestamp")
 
 
+def iso(text: Column) -> Column:
+    """ISO-8601 text (``Z`` or offset allowed) to an instant, else null.
+
+    The date must be written out: the plain conversion also takes words such as "yesterday".
+    """
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(text))
+
+
 def parse_iso(text: Column, now) -> Column:
-    """ISO-8601 text (``Z`` or offset allowed) to an instant, else the batch clock."""
-    return F.coalesce(F.try_to_timestamp(text), clock(now))
+    return F.coalesce(iso(text), clock(now))
 
 
 def duration_seconds(text: Column) -> Column:
@@ -44,8 +51,9 @@ def hours_between(a: Column, b: Column) -> Column:
 
 def linear_decay(a: Column, b: Column, span_hours: float = 24.0) -> Column:
     """1 when the two instants coincide, 0 from ``span_hours`` apart; 0.5 if either is missing."""
-    return F.coalesce(
-        F.greatest(F.lit(0.0), 1.0 - hours_between(a, b) / span_hours), F.lit(0.5))
+    hours = hours_between(a, b)
+    return F.when(hours.isNull(), 0.5).otherwise(
+        F.greatest(F.lit(0.0), 1.0 - hours / span_hours))
 
 
 def daily_id(query: Column, now) -> Column:

@@ -101,8 +101,8 @@ def read_answers(answered: DataFrame, key: str = "cluster_id") -> tuple[DataFram
 
 def terms(df: DataFrame, key: str = "cluster_id", text: str = "text") -> DataFrame:
     """(key, term, n): word counts per cluster over whole texts; counted before the shuffle."""
-    words = df.select(key, F.explode(tx.tokens(F.col(text))).alias("term"))
-    return words.groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
+    words = df.select(key, F.explode(tx.pieces(F.col(text))).alias("term"))
+    return words.filter("term <> ''").groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def class_terms(counted: DataFrame, k: int = 5, key: str = "cluster_id") -> DataFrame:

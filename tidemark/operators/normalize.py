@@ -29,7 +29,7 @@ def _as_item(df: DataFrame, columns: dict[str, Column], carry: tuple[str, ...])
 
 
 def _published(name: str) -> Column:
-    return F.try_to_timestamp(F.col(name))
+    return times.iso(F.col(name))
 
 
 def from_short_video(df: DataFrame, now, carry: tuple[str, ...] = ()) -> DataFrame:

@@ -83,9 +83,7 @@ def merge_samples(df: DataFrame, key: str, old: str, new: str, k: int = 10) -> D
     Samples carry neither shares nor saves, so the score is likes + 2 comments.
     Both arrays hold at most ``k`` entries, so this stays inside the row.
     """
-    empty = F.col(old)
-    both = F.concat(F.coalesce(F.col(old), F.slice(empty, 1, 0)),
-                    F.coalesce(F.col(new), F.slice(F.col(new), 1, 0)))
+    both = F.coalesce(F.concat(old, new), F.col(old), F.col(new))
     return df.withColumn("sample_videos", merged(both, k))
 
 
