@@ -46,7 +46,7 @@ def brute_best(new, old, cfg=MatchConfig()):
     return out
 
 
-@pytest.mark.parametrize("rows_per_block", [2048, 8])
+@pytest.mark.parametrize("rows_per_block", [None, 8])
 def test_best_match(spark, rows_per_block):
     rng = np.random.default_rng(1)
     make = lambda p, n: [trend(f"{p}{i}", rng.normal(0, 1, 5), tuple(rng.choice(list("abcd"), rng.integers(0, 3))),

@@ -24,7 +24,7 @@ def _iso(col):
 
 def short_videos(spark, sf):
     """All documents as short-video payloads."""
-    return fx.content_items(spark, sf).select(
+    return fx.content_items(spark, sf, heavy=True).select(
         F.col("content_id").alias("video_id"), "text", "hashtags",
         *[F.coalesce(c, F.lit(0)).alias(c) for c in ("views", "likes", "comments", "shares", "collects")],
         F.col("author_name").alias("author_username"),
@@ -36,7 +36,7 @@ def short_videos(spark, sf):
 
 
 def articles(spark, sf):
-    return fx.content_items(spark, sf).select(
+    return fx.content_items(spark, sf, heavy=True).select(
         F.col("content_id").alias("article_id"),
         F.concat(F.lit("Title "), "content_id").alias("title"), F.col("text").alias("summary"),
         F.concat(F.lit("https://news.example/"), "content_id").alias("url"),
@@ -46,7 +46,7 @@ def articles(spark, sf):
 
 
 def long_videos(spark, sf):
-    return fx.content_items(spark, sf).select(
+    return fx.content_items(spark, sf, heavy=True).select(
         F.col("content_id").alias("video_id"),
         F.concat(F.lit("Title "), "content_id").alias("title"), F.col("text").alias("description"),
         F.concat(F.lit("https://long.example/"), "content_id").alias("url"),
@@ -421,7 +421,7 @@ def answers(spark, sf):
         .when(kind == 1, F.concat(F.lit("Here you are:\n```json\n"), plain, F.lit("\n```\n")))
         .when(kind == 2, F.substring(plain, F.lit(1), F.length(plain) - 2))
         .otherwise(F.substring(plain, F.lit(1), F.length(plain) - 4)))
-    return fx.table(spark, sf, "conversations").select("conv_id", "turn", "text", answer.alias("answer"))
+    return fx.table(spark, sf, "conversations", heavy=True).select("conv_id", "turn", "text", answer.alias("answer"))
 
 
 @query("repair_json", f"""SELECT conv_id, turn, {_JSON_KINDS} <> 'lost' AS usable,

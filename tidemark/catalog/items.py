@@ -85,7 +85,7 @@ def keyword_match_long_list(spark, sf):
 def _keyword_match(spark, sf, bound):
     words = fx.table(spark, sf, "benchmark").select(
         F.element_at(F.split("text", " "), 1).alias("keyword"))
-    docs = fx.table(spark, sf, "documents").select(
+    docs = fx.table(spark, sf, "documents", heavy=True).select(
         "doc_id", F.col("lang").alias("title"), F.col("text").alias("summary"))
     return quality.match_keywords(docs, words, "doc_id", max_list_bytes=bound).select(
         "doc_id", _digest(F.col("summary")).alias("text_md5"))
@@ -236,7 +236,7 @@ def daily_id(spark, sf):
  '(?s)<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'), 'https?://[^\s]+', ' ', 'g'),
  '@[A-Za-z0-9_.]+', ' ', 'g'), '[\s\x0B]+', ' ', 'g'), """ + WS + """)) AS text_md5 FROM pages""")
 def text_scrub(spark, sf):
-    return fx.table(spark, sf, "pages").select(
+    return fx.table(spark, sf, "pages", heavy=True).select(
         "page_id", F.md5(tx.scrub(F.col("html"))).alias("text_md5"))
 
 

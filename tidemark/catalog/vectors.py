@@ -109,7 +109,7 @@ def density_clusters(spark, sf):
 @query("embed_default")
 def embed_default(spark, sf):
     """Hashed TF-IDF vectors of whole texts: length and number of used dimensions."""
-    items = fx.content_items(spark, sf).withColumn("embed_text", normalize.embedding_text())
+    items = fx.content_items(spark, sf, heavy=True).withColumn("embed_text", normalize.embedding_text())
     out = embed(items)
     return out.select("content_id", F.round(vec.norm(F.col("embedding")), 6).alias("length"),
                       F.size(F.filter("embedding", lambda x: x != 0)).alias("used"))
@@ -174,7 +174,7 @@ _TERMS = """w AS (SELECT lang AS cluster_id, unnest(regexp_split_to_array(lower(
 
 @query("class_terms", f"WITH {_TERMS} SELECT cluster_id, rank, term, round(score, 6) AS score FROM best")
 def class_terms(spark, sf):
-    return annotate.class_terms(cut(annotate.terms(fx.content_items(spark, sf)))).select(
+    return annotate.class_terms(cut(annotate.terms(fx.content_items(spark, sf, heavy=True)))).select(
         "cluster_id", F.col("rank").cast("long").alias("rank"), "term", F.round("score", 6).alias("score"))
 
 
@@ -200,7 +200,7 @@ SELECT cluster_id, array_to_string(k[1:3], ' ') AS topic, array_to_string(k, ','
  CASE content_type WHEN 'dangerous' THEN 'dangerous' WHEN 'social_issue' THEN 'high_risk' WHEN 'drama' THEN 'cautious' ELSE 'safe' END AS risk_level
 FROM kinds JOIN kw USING (cluster_id)""")
 def annotate_offline(spark, sf):
-    return annotate.annotate_offline(fx.content_items(spark, sf)).select(
+    return annotate.annotate_offline(fx.content_items(spark, sf, heavy=True)).select(
         "cluster_id", "topic", joined("keywords"), "sentiment", "content_type", "risk_level")
 
 
@@ -211,7 +211,7 @@ def _detected(spark, sf):
     stored = fx.trends(spark, sf).drop("side", "guidelines").withColumn(
         "guidelines", F.lit(None).cast(annotate.schemas.GUIDELINES)).withColumn(
         "timestamp", F.lit("2024-01-30 12:00:00").cast("timestamp"))
-    return detect.detect(fx.content_items(spark, sf).drop("cluster_id", "channel"), stored, NOW,
+    return detect.detect(fx.content_items(spark, sf, heavy=True).drop("cluster_id", "channel"), stored, NOW,
                          Settings(cluster=ClusterConfig(min_cluster_size=5, min_samples=5)))
 
 

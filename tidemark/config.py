@@ -20,7 +20,7 @@ class ClusterConfig:
     min_samples: int = 15
     share_divisor: int = 60
     max_rescue_distance: float = 0.5
-    rows_per_block: int = 2048
+    rows_per_block: int | None = None  # None: by size
 
 
 @dataclass(frozen=True)
@@ -35,7 +35,7 @@ class MatchConfig:
     w_source: float = 0.1
     # 'linear' is the stated rule, 'constant' gives 0.5 whatever the times are
     time_decay: str = "linear"
-    rows_per_block: int = 2048
+    rows_per_block: int | None = None  # None: by size
 
 
 @dataclass(frozen=True)

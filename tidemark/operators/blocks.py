@@ -1,7 +1,7 @@
 """Exact vector joins in blocks.
 
 Rows are assigned to the nearest of a bounded number of pivots (a *cell*), and each cell is cut by
-hash into *blocks* of about ``rows_per_block`` rows, so a cell that holds a third of all rows becomes
+hash into *blocks* of bounded size, so a cell that holds a third of all rows becomes
 many blocks.  A block meets only the blocks whose cells can hold a row within the wanted distance
 (triangle inequality); what is left out provably holds no result.  The meeting is an equi-join on the
 block number; tasks keep running results per left row and emit those, never the pairs.
@@ -27,8 +27,11 @@ from tidemark.runtime import cut
 cloudpickle.register_pickle_by_value(tidemark)
 
 MAX_CELLS = 256
-# right rows per kernel call: bounds the working matrices of a task
-CHUNK = 2048
+# Large blocks keep the number of times a right row is sent low; small inputs are cut finer so that
+# all cores have work.
+MAX_BLOCK, MIN_BLOCK, FEW_BLOCKS = 16384, 256, 16
+# entries of one working matrix of a task (left rows x right rows of a call)
+MATRIX = 1 << 22
 
 
 def matrix(column) -> np.ndarray:
@@ -93,15 +96,15 @@ def _with_cells(df: DataFrame, vector: str, pivots: np.ndarray) -> DataFrame:
     return df.mapInArrow(_nearest_pivot(pivots, vector), schema)
 
 
-def lay_out(df: DataFrame, ident: str, vector: str, rows_per_block: int,
+def lay_out(df: DataFrame, ident: str, vector: str, rows_per_block: int | None = None,
             pivots: np.ndarray | None = None) -> tuple[DataFrame, Layout]:
-    """Rows with ``block`` and ``cell``, checkpointed because every caller reads them repeatedly.
+    """Rows with ``block`` and ``cell``, written out because every caller reads them repeatedly.
 
     The driver sees only pivots (at most ``MAX_CELLS`` vectors) and one statistics row a cell.
     """
     if pivots is None:
         n = df.count()
-        want = max(1, min(MAX_CELLS, math.ceil(n / rows_per_block)))
+        want = max(1, min(MAX_CELLS, math.ceil(n / (rows_per_block or MAX_BLOCK))))
         # the smallest hashes: a fixed, arbitrary choice that needs no shuffle of the vectors
         rows = df.select(ident, vector).orderBy(F.xxhash64(ident), ident).limit(want).collect()
         pivots = np.array([r[vector] for r in rows], dtype=np.float64).reshape(len(rows), -1)
@@ -110,8 +113,10 @@ def lay_out(df: DataFrame, ident: str, vector: str, rows_per_block: int,
     splits, radius = [0] * cells, np.zeros(cells)
     stats = placed.groupBy("cell").agg(
         F.count(F.lit(1)).alias("n"), F.max("reach").alias("r")).collect()
+    total = sum(row["n"] for row in stats)
+    size = rows_per_block or min(MAX_BLOCK, max(MIN_BLOCK, total // FEW_BLOCKS))
     for row in stats:
-        splits[row["cell"]] = math.ceil(row["n"] / rows_per_block)
+        splits[row["cell"]] = math.ceil(row["n"] / size)
         radius[row["cell"]] = math.inf if row["r"] is None else row["r"]
     parts = F.element_at(
         F.create_map(*[F.lit(int(v)) for c, s in enumerate(splits) for v in (c, max(1, s))]),
@@ -184,8 +189,9 @@ def _drive(kernel: Callable, columns: list[str], names: list[str]) -> Callable:
                 elif held:
                     if state is None:
                         state = kernel(pa.Table.from_batches(held))
-                    for at in range(0, piece.num_rows, CHUNK):
-                        state.update(piece.slice(at, CHUNK))
+                    step = max(64, MATRIX // max(1, sum(b.num_rows for b in held)))
+                    for at in range(0, piece.num_rows, step):
+                        state.update(piece.slice(at, step))
         done = finish()
         if done is not None:
             yield done

@@ -21,58 +21,64 @@ def _strings(name: str) -> Column:
 
 def _as_item(df: DataFrame, columns: dict[str, Column], carry: tuple[str, ...]) -> DataFrame:
     """Project to the item layout; fields a source lacks become typed nulls."""
-    out = []
-    for field in schemas.ITEM.fields:
-        col = columns.get(field.name, F.lit(None))
-        out.append(col.cast(field.dataType).alias(field.name))
+    out = [columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+           for f in schemas.ITEM.fields]
     return df.select(*out, *carry)
 
 
-def _published(name: str) -> Column:
-    return times.iso(F.col(name))
-
-
-def from_short_video(df: DataFrame, now, carry: tuple[str, ...] = ()) -> DataFrame:
-    return _as_item(df, {
+def _short_video(now) -> dict[str, Column]:
+    return {
         "content_id": _str("video_id"), "source": F.lit("tiktok"), "collected_at": times.clock(now),
         "text": _str("text"), "url": F.col("video_url"), "hashtags": _strings("hashtags"),
-        "published_at": _published("timestamp"),
+        "published_at": times.iso(F.col("timestamp")),
         "views": F.col("views"), "likes": F.col("likes"), "comments": F.col("comments"),
         "shares": F.col("shares"), "author_name": F.col("author_username"),
         "author_followers": F.col("author_fans"), "collects": F.coalesce("collects", F.lit(0)),
         "author_verified": F.col("author_verified"), "language": F.col("language"),
-    }, carry)
+    }
 
 
-def from_article(df: DataFrame, now, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Articles have no counts and no hashtags."""
-    return _as_item(df, {
+def _article(now) -> dict[str, Column]:
+    return {
         "content_id": _str("article_id"), "source": F.lit("vnexpress"),
         "collected_at": times.clock(now),
         "text": tx.strip(F.concat(_str("title"), F.lit(". "), _str("summary"))),
         "url": F.col("url"), "hashtags": F.array().cast("array<string>"),
-        "published_at": _published("published_at"),
+        "published_at": times.iso(F.col("published_at")),
         "author_name": F.coalesce("author", F.lit("VNExpress")),
         "category": F.col("category"), "thumbnail": F.col("thumbnail"),
-    }, carry)
+    }
 
 
-def from_long_video(df: DataFrame, now, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Long videos have no share count and no follower count."""
-    return _as_item(df, {
+def _long_video(now) -> dict[str, Column]:
+    return {
         "content_id": _str("video_id"), "source": F.lit("youtube"),
         "collected_at": times.clock(now),
         "text": tx.strip(F.concat(_str("title"), F.lit(". "), _str("description"))),
         "url": F.col("url"), "hashtags": _strings("tags"),
-        "published_at": _published("published_at"),
+        "published_at": times.iso(F.col("published_at")),
         "views": F.col("views"), "likes": F.col("likes"), "comments": F.col("comments"),
         "author_name": F.col("channel_name"), "channel_id": F.col("channel_id"),
         "duration_seconds": F.col("duration_seconds"), "thumbnail": F.col("thumbnail"),
         "category": F.col("category"),
-    }, carry)
+    }
+
+
+_MAPPINGS = {"tiktok": _short_video, "vnexpress": _article, "youtube": _long_video}
+
+
+def from_short_video(df: DataFrame, now, carry: tuple[str, ...] = ()) -> DataFrame:
+    return _as_item(df, _short_video(now), carry)
 
 
-_MAPPERS = {"tiktok": from_short_video, "vnexpress": from_article, "youtube": from_long_video}
+def from_article(df: DataFrame, now, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Articles have no counts and no hashtags."""
+    return _as_item(df, _article(now), carry)
+
+
+def from_long_video(df: DataFrame, now, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Long videos have no share count and no follower count."""
+    return _as_item(df, _long_video(now), carry)
 
 
 def detect_source(payload: Column) -> Column:
@@ -89,23 +95,31 @@ def detect_source(payload: Column) -> Column:
     )
 
 
+def _any_payload() -> T.StructType:
+    """All fields of the three payload layouts; fields of one name have one type."""
+    fields = {f.name: f for kind in _MAPPINGS for f in schemas.PAYLOADS[kind].fields}
+    return T.StructType(list(fields.values()))
+
+
 def normalize(df: DataFrame, payload: str, now,
               carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Mixed JSON payloads to items.  Returns (items, payloads of unknown shape).
 
-    The three mappers read disjoint slices of one input; columns are pruned per slice.
+    One pass: each payload is read once with the fields of all layouts and mapped by its kind.
     """
     tagged = df.withColumn("_kind", detect_source(F.col(payload)))
-    parts = []
-    for kind, mapper in _MAPPERS.items():
-        parsed = (
-            tagged.filter(F.col("_kind") == kind)
-            .withColumn("_p", F.from_json(payload, schemas.PAYLOADS[kind]))
-            .select(*carry, "_p.*")
-        )
-        parts.append(mapper(parsed, now, carry))
-    items = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return items, tagged.filter(F.col("_kind").isNull()).drop("_kind")
+    parsed = tagged.filter(F.col("_kind").isNotNull()).select(
+        *carry, "_kind", F.from_json(payload, _any_payload()).alias("_p")).select(
+        *carry, "_kind", "_p.*")
+    mapped = {kind: mapping(now) for kind, mapping in _MAPPINGS.items()}
+    columns = {}
+    for field in schemas.ITEM.fields:
+        cases = F
+        for kind, mapping in mapped.items():
+            value = mapping.get(field.name, F.lit(None)).cast(field.dataType)
+            cases = cases.when(F.col("_kind") == kind, value)
+        columns[field.name] = cases
+    return _as_item(parsed, columns, carry), tagged.filter(F.col("_kind").isNull()).drop("_kind")
 
 
 def route(source: Column) -> Column:

@@ -42,3 +42,12 @@ def utc(spark: SparkSession) -> SparkSession:
     """All instants in the engine are UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out where a scan has fewer splits than there are cores; else change nothing.
+
+    For work that is heavy per row.  Large inputs have splits enough and are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -12,22 +12,24 @@ from pyspark.sql import functions as F
 from tidemark.config import Settings
 from tidemark.functions import vectors as vec
 from tidemark.operators import ranking, rollup
-from tidemark.runtime import utc
+from tidemark.runtime import spread, utc
 
 NOW = "2024-01-31 00:00:00"
 
 
-def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return utc(spark).read.parquet(f"{sf}/{name}.parquet")
+def table(spark: SparkSession, sf: str, name: str, heavy: bool = False) -> DataFrame:
+    """A given table; ``heavy`` deals its rows out for work that is dear per row."""
+    df = utc(spark).read.parquet(f"{sf}/{name}.parquet")
+    return spread(df) if heavy else df
 
 
 def _mix(d: Column, factor: int, modulus: int) -> Column:
     return (d * F.lit(factor)) % F.lit(modulus)
 
 
-def content_items(spark: SparkSession, sf: str) -> DataFrame:
+def content_items(spark: SparkSession, sf: str, heavy: bool = False) -> DataFrame:
     """``documents`` as unified items; ``lang`` stands in for the cluster where one is needed."""
-    doc = table(spark, sf, "documents")
+    doc = table(spark, sf, "documents", heavy)
     d = F.col("doc_id")
     source = (
         F.when(d % 3 == 0, "tiktok").when(d % 3 == 1, "youtube").otherwise("vnexpress"))
