@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
+from tidemark.functions import engagement as eng
 from tidemark.functions import repair
 from tidemark.functions import text as tx
 from tidemark.operators import normalize, ranking, rollup
@@ -57,10 +58,13 @@ def build_requests(df: DataFrame, top: int = 10, chars: int = 300, key: str = "c
     head = tally.groupBy(key).agg(F.array_join(F.transform(
         F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("o"), "source", "line"))),
         lambda x: x["line"]), "\n").alias("head"))
-    best = ranking.top_k(df, top, key).withColumn("line", F.concat(
-        F.col("rank").cast("string"), F.lit(". ["),
-        normalize.label(F.col("source"), normalize.SAMPLE_SOURCE_LABELS), F.lit("] "),
-        tx.cut(F.col("text"), chars)))
+    slim = df.select(  # shortened before the sort, so whole texts never travel
+        key, "ingest_seq", eng.item_score().alias("_score"), F.concat(
+            F.lit(". ["), normalize.label(F.col("source"), normalize.SAMPLE_SOURCE_LABELS),
+            F.lit("] "), tx.cut(F.col("text"), chars)).alias("shown"))
+    order = [F.col("_score").desc(), F.col("ingest_seq").asc()]
+    best = ranking.top_k(slim, top, key, order).withColumn(
+        "line", F.concat(F.col("rank").cast("string"), "shown"))
     body = best.groupBy(key).agg(  # at most `top` rows a group
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "line"))),
                                  lambda x: x["line"]), "\n").alias("body"),

@@ -118,9 +118,7 @@ def lay_out(df: DataFrame, ident: str, vector: str, rows_per_block: int | None =
     for row in stats:
         splits[row["cell"]] = math.ceil(row["n"] / size)
         radius[row["cell"]] = math.inf if row["r"] is None else row["r"]
-    parts = F.element_at(
-        F.create_map(*[F.lit(int(v)) for c, s in enumerate(splits) for v in (c, max(1, s))]),
-        F.col("cell"))
+    parts = F.element_at(F.array(*[F.lit(max(1, v)) for v in splits]), F.col("cell") + 1)
     block = F.pmod(F.xxhash64(ident), parts) * cells + F.col("cell")
     return placed.withColumn("block", block.cast("long")).drop("reach"), Layout(
         pivots, radius, tuple(splits))

@@ -45,7 +45,7 @@ def submit(commands: DataFrame, submissions: DataFrame, active: DataFrame, now)
     commands: seq, id, keyword, reason, submitted_by
     """
     asked = _first(commands.withColumn("keyword", _trimmed("keyword")), "keyword")
-    pending = submissions.filter(F.col("status") == "pending").select("keyword")
+    pending = submissions.filter(F.col("status") == "pending").select("keyword").distinct()
     admitted = asked.join(pending, "keyword", "left_anti").join(
         active.select("keyword"), "keyword", "left_anti")
     who = F.nullif(F.col("submitted_by"), F.lit(""))

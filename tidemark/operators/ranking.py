@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import engagement as eng
 from tidemark.functions import text as tx
 from tidemark.operators import normalize
-from tidemark.runtime import cut
+from tidemark.operators.ordering import positions
 
 
 def by_engagement() -> list[Column]:
@@ -27,35 +27,9 @@ def top_k(df: DataFrame, k: int, key: str = "cluster_id",
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def numbered(df: DataFrame, order: list[Column]) -> DataFrame:
-    """Add ``_pos``, a gap-free 0-based position in the given total order, without one big task.
-
-    Rows are range-partitioned and sorted; the position is the local index plus the sizes of the
-    partitions before.  The sorted rows are checkpointed, so both passes see the same partitions.
-    The per-partition sizes (one row a partition) are the only thing the driver holds.
-    """
-    spread = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    mono = F.monotonically_increasing_id()
-    placed = cut(spread.withColumn("_mono", mono))
-    part = F.shiftright("_mono", 33)
-    sizes = sorted(
-        (r["p"], r["n"]) for r in placed.groupBy(part.alias("p")).agg(
-            F.count(F.lit(1)).alias("n")).collect())
-    starts, total = [], 0
-    for p, n in sizes:
-        starts.append((p, total))
-        total += n
-    if not starts:
-        return placed.withColumn("_pos", F.lit(0).cast("long")).drop("_mono")
-    offsets = F.create_map(*[F.lit(int(x)) for pair in starts for x in pair])
-    local = F.col("_mono").bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.withColumn(
-        "_pos", F.element_at(offsets, part.cast("int")).cast("long") + local).drop("_mono")
-
-
 def rank_items(df: DataFrame, key: str = "cluster_id") -> DataFrame:
     """Full 1-based rank of every item in its cluster, whatever the size of the cluster."""
-    placed = numbered(df, [F.col(key).asc(), *by_engagement()])
+    placed = positions(df, [F.col(key).asc(), *by_engagement()], "_pos")
     first = placed.groupBy(key).agg(F.min("_pos").alias("_first"))
     return (
         placed.join(first, key)
@@ -72,7 +46,10 @@ def first_per_key(df: DataFrame, key: str | Column, order: list[Column]) -> Data
 
 def samples(df: DataFrame, k: int = 5, key: str = "cluster_id") -> DataFrame:
     """Per cluster an array of the top ``k`` samples in rank order."""
-    best = top_k(df, k, key).select(key, "rank", normalize.sample().alias("s"))
+    # texts are shortened before the sort, so whole texts never travel
+    slim = df.select(key, "ingest_seq", eng.item_score().alias("_score"),
+                     normalize.sample().alias("s"))
+    best = top_k(slim, k, key, [F.col("_score").desc(), F.col("ingest_seq").asc()])
     packed = F.sort_array(F.collect_list(F.struct("rank", "s")))  # at most k rows a group
     return best.groupBy(key).agg(F.transform(packed, lambda x: x["s"]).alias("sample_videos"))
 

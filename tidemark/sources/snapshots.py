@@ -65,7 +65,7 @@ def fresh_rows(existing: DataFrame, new: DataFrame, order: str = "ingest_seq",
         .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
     )
     known = existing.select(record_id(existing, id_cols).alias("_id")).filter(
-        F.col("_id").isNotNull())
+        F.col("_id").isNotNull()).distinct()  # stored ids may repeat any number of times
     return first.join(known, "_id", "left_anti").unionByName(anonymous).drop("_id")
 
 
