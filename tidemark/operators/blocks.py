@@ -113,15 +113,21 @@ def lay_out(df: DataFrame, ident: str, vector: str, rows_per_block: int | None =
     splits, radius = [0] * cells, np.zeros(cells)
     stats = placed.groupBy("cell").agg(
         F.count(F.lit(1)).alias("n"), F.max("reach").alias("r")).collect()
-    total = sum(row["n"] for row in stats)
-    size = rows_per_block or min(MAX_BLOCK, max(MIN_BLOCK, total // FEW_BLOCKS))
     for row in stats:
-        splits[row["cell"]] = math.ceil(row["n"] / size)
+        splits[row["cell"]] = row["n"]
         radius[row["cell"]] = math.inf if row["r"] is None else row["r"]
+    placed, parts = cut_cells(placed.drop("reach"), ident, splits, rows_per_block)
+    return placed, Layout(pivots, radius, parts)
+
+
+def cut_cells(df: DataFrame, ident: str, counts: list[int],
+              rows_per_block: int | None = None) -> tuple[DataFrame, tuple[int, ...]]:
+    """Cut cells of known row counts into blocks by hash: (rows with ``block``, blocks a cell)."""
+    size = rows_per_block or min(MAX_BLOCK, max(MIN_BLOCK, sum(counts) // FEW_BLOCKS))
+    splits = tuple(math.ceil(n / size) for n in counts)
     parts = F.element_at(F.array(*[F.lit(max(1, v)) for v in splits]), F.col("cell") + 1)
-    block = F.pmod(F.xxhash64(ident), parts) * cells + F.col("cell")
-    return placed.withColumn("block", block.cast("long")).drop("reach"), Layout(
-        pivots, radius, tuple(splits))
+    block = F.pmod(F.xxhash64(ident), parts) * len(counts) + F.col("cell")
+    return df.withColumn("block", block.cast("long")), splits
 
 
 def gaps(left: Layout, right: Layout) -> np.ndarray:

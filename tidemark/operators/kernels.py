@@ -29,16 +29,17 @@ def first_of(groups: np.ndarray, *keys: np.ndarray) -> np.ndarray:
 
 
 class Neighbours:
-    """The ``k`` nearest distinct vectors of each left row, by (distance, id)."""
+    """The ``keep`` nearest distinct vectors of each left row, by (distance, id); the core distance
+    is that of the ``k``-th nearest row, copies counted."""
 
-    def __init__(self, table, k: int):
-        self.k = k
+    def __init__(self, table, k: int, keep: int):
+        self.core_k, self.k = k, keep
         self.ids, self.x = _longs(table, "id"), matrix(table.column("vec"))
         self.weight = _longs(table, "weight")
         n = len(self.ids)
-        self.dist = np.full((n, k), np.inf)
-        self.nbr = np.full((n, k), -1, dtype=np.int64)
-        self.wgt = np.zeros((n, k), dtype=np.int64)
+        self.dist = np.full((n, keep), np.inf)
+        self.nbr = np.full((n, keep), -1, dtype=np.int64)
+        self.wgt = np.zeros((n, keep), dtype=np.int64)
 
     def update(self, batch) -> None:
         ids, y, wgt = _longs(batch, "id"), matrix(batch.column("vec")), _longs(batch, "weight")
@@ -73,26 +74,43 @@ class Neighbours:
         """id, core distance, neighbour ids, neighbour distances."""
         have = np.isfinite(self.dist)
         seen = np.cumsum(self.wgt, axis=1) + (self.weight - 1)[:, None]
-        reached = seen >= self.k
+        reached = seen >= self.core_k
         at = np.where(reached.any(1), reached.argmax(1), np.maximum(have.sum(1) - 1, 0))
         core = self.dist[np.arange(len(self.ids)), at]
-        core = np.where(self.weight - 1 >= self.k, 0.0, np.where(have.any(1), core, 0.0))
+        core = np.where(self.weight - 1 >= self.core_k, 0.0, np.where(have.any(1), core, 0.0))
         nbrs = [self.nbr[i, have[i]] for i in range(len(self.ids))]
         dist = [self.dist[i, have[i]] for i in range(len(self.ids))]
         return self.ids, core, nbrs, dist
 
 
+class _Best:
+    """Lightest edge per left row so far, by (weight, a, b)."""
+
+    def __init__(self, n: int):
+        self.w = np.full(n, np.inf)
+        self.a, self.b, self.other = (np.zeros(n, dtype=np.int64) for _ in range(3))
+
+    def offer(self, row, w, a, b, other) -> None:
+        pick = first_of(row, w, a, b)
+        r, w, a, b, o = row[pick], w[pick], a[pick], b[pick], other[pick]
+        better = (w < self.w[r]) | ((w == self.w[r]) & (
+            (a < self.a[r]) | ((a == self.a[r]) & (b < self.b[r]))))
+        r = r[better]
+        self.w[r], self.a[r], self.b[r], self.other[r] = w[better], a[better], b[better], o[better]
+
+
 class LightestExit:
-    """Lightest mutual-reachability edge that leaves each component, by (weight, a, b)."""
+    """Lightest mutual-reachability edge that leaves the component of a left row.
+
+    Rows of component ``big`` never come as left rows; its way out is the lightest edge by which
+    another component's row reaches it, so that is kept as well.
+    """
 
-    def __init__(self, table):
+    def __init__(self, table, big: int):
+        self.big = big
         self.ids, self.x = _longs(table, "id"), matrix(table.column("vec"))
         self.core, self.comp = _doubles(table, "core"), _longs(table, "comp")
-        n = len(self.ids)
-        self.w = np.full(n, np.inf)
-        self.a = np.zeros(n, dtype=np.int64)
-        self.b = np.zeros(n, dtype=np.int64)
-        self.other = np.zeros(n, dtype=np.int64)
+        self.out, self.into = _Best(len(self.ids)), _Best(len(self.ids))
 
     def update(self, batch) -> None:
         ids, y = _longs(batch, "id"), matrix(batch.column("vec"))
@@ -100,28 +118,38 @@ class LightestExit:
         reach = np.maximum(np.sqrt(squared(self.x, y)),
                            np.maximum(self.core[:, None], core[None, :]))
         reach[self.comp[:, None] == comp[None, :]] = np.inf
-        best = np.minimum(reach.min(1), self.w)
-        row, col = np.nonzero(
-            (reach <= best[:, None] + slack(self.x, y)) & np.isfinite(reach))
+        tol, to_big = slack(self.x, y), comp == self.big
+        near = reach <= np.minimum(reach.min(1), self.out.w)[:, None] + tol
+        if to_big.any():
+            part = reach[:, to_big]
+            near[:, to_big] |= part <= np.minimum(part.min(1), self.into.w)[:, None] + tol
+        row, col = np.nonzero(near & np.isfinite(reach))
         if not len(row):
             return
         d = exact(self.x[row], y[col])
         w = np.maximum(d, np.maximum(self.core[row], core[col]))
         a, b = np.minimum(self.ids[row], ids[col]), np.maximum(self.ids[row], ids[col])
-        pick = first_of(row, w, a, b)
-        r, w, a, b, o = row[pick], w[pick], a[pick], b[pick], comp[col[pick]]
-        better = (w < self.w[r]) | ((w == self.w[r]) & (
-            (a < self.a[r]) | ((a == self.a[r]) & (b < self.b[r]))))
-        r = r[better]
-        self.w[r], self.a[r], self.b[r], self.other[r] = w[better], a[better], b[better], o[better]
+        self.out.offer(row, w, a, b, comp[col])
+        at = to_big[col]
+        if at.any():
+            self.into.offer(row[at], w[at], a[at], b[at], comp[col][at])
 
     def result(self):
-        """comp, w, a, b, other: one row a component present in the block."""
-        out = np.flatnonzero(np.isfinite(self.w))
-        if not len(out):
+        """comp, w, a, b, other: one row a component present in the block, and one for ``big``."""
+        parts = []
+        for best, flip in ((self.out, False), (self.into, True)):
+            out = np.flatnonzero(np.isfinite(best.w))
+            if not len(out):
+                continue
+            comp, other = self.comp[out], best.other[out]
+            if flip:
+                comp, other = other, comp
+            pick = first_of(comp, best.w[out], best.a[out], best.b[out])
+            at = out[pick]
+            parts.append((comp[pick], best.w[at], best.a[at], best.b[at], other[pick]))
+        if not parts:
             return None
-        pick = out[first_of(self.comp[out], self.w[out], self.a[out], self.b[out])]
-        return self.comp[pick], self.w[pick], self.a[pick], self.b[pick], self.other[pick]
+        return tuple(np.concatenate(c) for c in zip(*parts))
 
 
 class NearestCentroid:

@@ -74,8 +74,7 @@ class HoldBack:
             T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
         ).option("basePath", f"{self.root}/landed").parquet(f"{self.root}/landed")
         taken = store.load(spark, f"{self.root}/taken")
-        return landed if taken is None else landed.join(
-            F.broadcast(taken), "batch", "left_anti")  # one number per finished batch
+        return landed if taken is None else landed.join(taken, "batch", "left_anti")
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
