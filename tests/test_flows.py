@@ -179,3 +179,26 @@ def test_batch_run_is_repeatable(spark):
     assert key(first.trends) == key(second.trends)
     assert key(store.upsert_trends(first.stored, first.trends.drop("is_merged"))) == key(first.stored)
     assert first.expired.isEmpty()
+
+
+def test_live_detection(spark, tmp_path):
+    """A stream run equals a batch run; a replayed run changes nothing."""
+    from tidemark.catalog.feeds import mixed_payloads
+    from tidemark.operators.ordering import positions
+    from tidemark.plans import live
+
+    src = str(tmp_path / "in")
+    payloads = mixed_payloads(spark, SF).select("payload")
+    payloads.coalesce(1).write.parquet(src)
+    at = datetime(2024, 1, 31)
+    cfg = Settings(cluster=ClusterConfig(min_cluster_size=5, min_samples=5))
+    run = live.DetectionRun(str(tmp_path / "trends"), lambda: at, cfg=cfg)
+    stream = intake.stream_files(spark, src, payloads.schema, "parquet")
+    live.watch(stream, str(tmp_path / "work"), str(tmp_path / "ckpt"), run).awaitTermination()
+    arrived = positions(payloads, [F.col("payload").asc()], "ingest_seq")
+    batch = detect.detect(detect.from_payloads(arrived, "payload", at), empty(spark, schemas.TREND), at, cfg)
+    key = lambda df: sorted((r["trend_id"], r["topic"], r["video_count"]) for r in df.collect())
+    assert key(run.trends(spark)) == key(batch.stored)
+    if not run.trends(spark).isEmpty():
+        run(payloads, "run-0")
+        assert store.versions(spark, run.trend_root) == [1]

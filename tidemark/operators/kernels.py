@@ -43,15 +43,16 @@ class Neighbours:
 
     def update(self, batch) -> None:
         ids, y, wgt = _longs(batch, "id"), matrix(batch.column("vec")), _longs(batch, "weight")
-        near = np.sqrt(squared(self.x, y))
-        near[self.ids[:, None] == ids[None, :]] = np.inf
+        near = squared(self.x, y)
+        _, mine, theirs = np.intersect1d(self.ids, ids, assume_unique=True, return_indices=True)
+        near[mine, theirs] = np.inf  # a row is not its own neighbour
         eps, k = slack(self.x, y), self.k
-        if near.shape[1] > k:
-            bound = np.partition(near, k - 1, axis=1)[:, k - 1]
-        else:
-            bound = np.full(len(self.ids), np.inf)
-        bound = np.minimum(bound, self.dist[:, -1])
-        row, col = np.nonzero((near <= bound[:, None] + eps) & np.isfinite(near))
+        bound = self.dist[:, -1] + eps
+        if not np.isfinite(bound).all():  # only until every row has k neighbours
+            if near.shape[1] > k:
+                kth = np.sqrt(np.partition(near, k - 1, axis=1)[:, k - 1]) + eps
+                bound = np.minimum(bound, kth)
+        row, col = np.nonzero((near <= (bound * bound)[:, None]) & np.isfinite(near))
         if not len(row):
             return
         d = exact(self.x[row], y[col])
@@ -112,17 +113,22 @@ class LightestExit:
         self.core, self.comp = _doubles(table, "core"), _longs(table, "comp")
         self.out, self.into = _Best(len(self.ids)), _Best(len(self.ids))
 
+    @staticmethod
+    def _limit(reach: np.ndarray, best: _Best, tol: float) -> np.ndarray:
+        return ((np.minimum(np.sqrt(reach.min(1)), best.w) + tol) ** 2)[:, None]
+
     def update(self, batch) -> None:
         ids, y = _longs(batch, "id"), matrix(batch.column("vec"))
         core, comp = _doubles(batch, "core"), _longs(batch, "comp")
-        reach = np.maximum(np.sqrt(squared(self.x, y)),
-                           np.maximum(self.core[:, None], core[None, :]))
-        reach[self.comp[:, None] == comp[None, :]] = np.inf
+        reach = squared(self.x, y)  # squared weights; the picks below are recomputed exactly
+        np.maximum(reach, (self.core * self.core)[:, None], out=reach)
+        np.maximum(reach, (core * core)[None, :], out=reach)
+        np.putmask(reach, self.comp[:, None] == comp[None, :], np.inf)
         tol, to_big = slack(self.x, y), comp == self.big
-        near = reach <= np.minimum(reach.min(1), self.out.w)[:, None] + tol
+        near = reach <= self._limit(reach, self.out, tol)
         if to_big.any():
             part = reach[:, to_big]
-            near[:, to_big] |= part <= np.minimum(part.min(1), self.into.w)[:, None] + tol
+            near[:, to_big] |= part <= self._limit(part, self.into, tol)
         row, col = np.nonzero(near & np.isfinite(reach))
         if not len(row):
             return
