@@ -68,6 +68,7 @@ class Layout:
     pivots: np.ndarray
     radius: np.ndarray
     splits: tuple[int, ...]
+    rows: int
 
     @property
     def cells(self) -> int:
@@ -117,7 +118,7 @@ def lay_out(df: DataFrame, ident: str, vector: str, rows_per_block: int | None =
         splits[row["cell"]] = row["n"]
         radius[row["cell"]] = math.inf if row["r"] is None else row["r"]
     placed, parts = cut_cells(placed.drop("reach"), ident, splits, rows_per_block)
-    return placed, Layout(pivots, radius, parts)
+    return placed, Layout(pivots, radius, parts, sum(splits))
 
 
 def cut_cells(df: DataFrame, ident: str, counts: list[int],

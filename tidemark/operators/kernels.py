@@ -104,10 +104,10 @@ class LightestExit:
     """Lightest mutual-reachability edge that leaves the component of a left row.
 
     Rows of component ``big`` never come as left rows; its way out is the lightest edge by which
-    another component's row reaches it, so that is kept as well.
+    another component's row reaches it, so that is kept as well.  ``big=None``: no such component.
     """
 
-    def __init__(self, table, big: int):
+    def __init__(self, table, big: int | None):
         self.big = big
         self.ids, self.x = _longs(table, "id"), matrix(table.column("vec"))
         self.core, self.comp = _doubles(table, "core"), _longs(table, "comp")
@@ -124,7 +124,8 @@ class LightestExit:
         np.maximum(reach, (self.core * self.core)[:, None], out=reach)
         np.maximum(reach, (core * core)[None, :], out=reach)
         np.putmask(reach, self.comp[:, None] == comp[None, :], np.inf)
-        tol, to_big = slack(self.x, y), comp == self.big
+        tol = slack(self.x, y)
+        to_big = np.zeros(len(ids), bool) if self.big is None else comp == self.big
         near = reach <= self._limit(reach, self.out, tol)
         if to_big.any():
             part = reach[:, to_big]
