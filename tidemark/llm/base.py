@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.runtime import cut, scratch_path
 
-__all__ = ["cut", "scratch_path", "table", "whole_text", "count_of", "located", "spans_text", "spans_digest"]
+__all__ = ["cut", "scratch_path", "table", "whole_text", "add_columns", "slices", "count_of",
+           "located", "spans_text", "spans_digest"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +25,47 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+#: Bytes of text that one step of a worker holds at a time.
+SLICE_BYTES = 4 << 20
+
+
+def slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces whose ``column`` (binary) holds about ``most`` bytes, a row at least."""
+    lengths = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
+    start = held = 0
+    for i, n in enumerate(lengths):
+        if held and held + n > most:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += n
+    if start < len(lengths):
+        yield batch.slice(start)
+
+
+def add_columns(df: DataFrame, source: str, ddl: str,
+                make: Callable[[], Callable[[pa.Array], list[pa.Array]]]) -> DataFrame:
+    """``df`` with the columns of ``ddl``, worked out from the bytes of one column.
+
+    ``make`` runs once a task and gives the function from an array of bytes (null allowed) to the new
+    arrays.  New columns replace old ones of the same name; all others come through.
+    """
+    new = T.StructType.fromDDL(ddl)
+    taken = {name.lower() for name in new.names}
+    kept = [f for f in df.schema.fields if f.name.lower() not in taken]
+    schema = T.StructType([*kept, *new.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for batch in batches:
+            last = batch.num_columns - 1
+            for part in slices(batch, last):
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:last], *work(part.column(last))], schema.names)
+
+    columns = [F.col(f"`{f.name}`") for f in kept]
+    return df.select(*columns, F.col(source).cast("binary").alias("_source")).mapInArrow(run, schema)
+
+
 def located(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches as ``array<struct<start int, end int, value string>>``.
 

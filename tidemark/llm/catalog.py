@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import pii, secrets
+from tidemark.llm import decontaminate, pii, secrets, topk, warc
 from tidemark.llm.base import table
 
 ORACLES: dict[str, str] = {}
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
@@ -20,8 +24,65 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(table(spark, sf_dir, "pages"))
+
+
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.report(table(spark, sf_dir, "embeddings"))
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ITEM_WORDS = ("regexp_extract_all(" + _LOWER.format("coalesce(text, '')")
+               + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+ORACLES["op2_decontaminate"] = f"""
+WITH d AS (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_ITEM_WORDS} AS w FROM benchmark),
+bm AS (SELECT item, w, least(13, len(w)) AS m FROM b WHERE len(w) > 0),
+bi AS (SELECT item, w, m, unnest(generate_series(1, len(w) - m + 1)) AS i FROM bm),
+bw AS (SELECT DISTINCT item, m, array_to_string(w[i:i + m - 1], ' ') AS win FROM bi),
+dm AS (SELECT doc_id, w, m FROM d, (SELECT DISTINCT m FROM bw) WHERE len(w) >= m),
+di AS (SELECT doc_id, w, m, unnest(generate_series(1, len(w) - m + 1)) AS i FROM dm),
+dw AS (SELECT doc_id, m, i, array_to_string(w[i:i + m - 1], ' ') AS win FROM di),
+hit AS (SELECT doc_id, m, i, item FROM dw JOIN bw USING (m, win)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (
+    SELECT doc_id, unnest(generate_series(i, i + m - 1)) AS p FROM hit) GROUP BY doc_id),
+listed AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (
+    SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(covered.n, 0) AS n_hit,
+    coalesce(listed.n, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+    coalesce(covered.n, 0) > 0 AND 20 * coalesce(covered.n, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)"""
+
+ORACLES["op8_warc"] = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n,
+    sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h, n) AS first FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+    array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+        (CAST('0x' || substr(h, CAST(1 + 5 * (i // 4) AS BIGINT), 5) AS INTEGER)
+         >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31 AS BIGINT) + 1, 1)), '') AS payload_digest,
+    CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f"""
+
+ORACLES["op10_topk"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding,
+        lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_sum(list_transform(
+        list_zip(q.e, v.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT query_id, CAST(row_number() OVER (
+    PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 5"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_pii, op7_secret_scan)}
+    return {f.__name__: f for f in (
+        op2_decontaminate, op3_pii, op7_secret_scan, op8_warc, op10_topk)}
 
 
 def oracles() -> dict[str, str]:
