@@ -43,14 +43,16 @@ def slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Itera
 
 
 def add_columns(df: DataFrame, source: str, ddl: str,
-                make: Callable[[], Callable[[pa.Array], list[pa.Array]]]) -> DataFrame:
+                make: Callable[[], Callable[[pa.Array], list[pa.Array]]],
+                keep_source: bool = True) -> DataFrame:
     """``df`` with the columns of ``ddl``, worked out from the bytes of one column.
 
     ``make`` runs once a task and gives the function from an array of bytes (null allowed) to the new
-    arrays.  New columns replace old ones of the same name; all others come through.
+    arrays.  New columns replace old ones of the same name; all others come through, the source only if
+    it is to be kept.
     """
     new = T.StructType.fromDDL(ddl)
-    taken = {name.lower() for name in new.names}
+    taken = {name.lower() for name in new.names} | (set() if keep_source else {source.lower()})
     kept = [f for f in df.schema.fields if f.name.lower() not in taken]
     schema = T.StructType([*kept, *new.fields])
 

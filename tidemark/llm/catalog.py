@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, pii, secrets, topk, warc
+from tidemark.llm import bpe, decontaminate, pii, secrets, simhash, topk, warc
 from tidemark.llm.base import table
 
 ORACLES: dict[str, str] = {}
+VOCABULARY = "byte_bpe_50k.json"
+
+
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.report(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +34,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.report(table(spark, sf_dir, "pages"))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(table(spark, sf_dir, "documents"))
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.report(table(spark, sf_dir, "embeddings"))
 
@@ -82,7 +92,7 @@ SELECT * FROM r WHERE rank <= 5"""
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_decontaminate, op3_pii, op7_secret_scan, op8_warc, op10_topk)}
+        op1_bpe, op2_decontaminate, op3_pii, op7_secret_scan, op8_warc, op9_simhash, op10_topk)}
 
 
 def oracles() -> dict[str, str]:

@@ -106,7 +106,7 @@ def merged(hits: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
 _FOUND = "n_words long, hits array<struct<start:int,end:int>>, items array<string>"
 
 
-def _search(docs: DataFrame, text: str, shard) -> DataFrame:
+def _search(docs: DataFrame, text: str, shard, keep: bool = True) -> DataFrame:
     """``docs`` with what one broadcast shard finds in each row."""
 
     def make():
@@ -129,7 +129,7 @@ def _search(docs: DataFrame, text: str, shard) -> DataFrame:
 
         return work
 
-    return add_columns(docs, text, _FOUND, make)
+    return add_columns(docs, text, _FOUND, make, keep)
 
 
 def _covered(hits: Column) -> Column:
@@ -142,7 +142,7 @@ def _covered(hits: Column) -> Column:
 
 
 def find(docs: DataFrame, benchmark: DataFrame, text: str = "text",
-         shard_bytes: int = SHARD_BYTES) -> DataFrame:
+         shard_bytes: int = SHARD_BYTES, keep_text: bool = True) -> DataFrame:
     """``docs`` with ``n_words``, ``hits`` (stretches of words), ``items`` (ids as sorted strings),
     ``n_hit`` and ``contaminated`` (at least one word in twenty hit)."""
     spark = docs.sparkSession
@@ -157,7 +157,7 @@ def find(docs: DataFrame, benchmark: DataFrame, text: str = "text",
         return spark.sparkContext.broadcast([(r.item, bytes(r.text)) for r in rows])
 
     if shards == 1:
-        found = _search(docs, text, rows_of(0))
+        found = _search(docs, text, rows_of(0), keep_text)
     else:
         path = scratch_path(spark, "rows")
         docs.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
@@ -166,8 +166,7 @@ def find(docs: DataFrame, benchmark: DataFrame, text: str = "text",
         for k in range(shards):
             # one shard at a time is in memory: its findings are written before the next begins
             out = scratch_path(spark, "found")
-            here = _search(numbered.select("_row", F.col(text).alias("_text")), "_text", rows_of(k))
-            here = here.drop("_text")
+            here = _search(numbered.select("_row", F.col(text).alias("_text")), "_text", rows_of(k), False)
             (here if k == 0 else here.filter(F.size("hits") > 0)).write.parquet(out)
             part_found = spark.read.parquet(out)
             parts = part_found if parts is None else parts.unionByName(part_found)
@@ -182,7 +181,7 @@ def find(docs: DataFrame, benchmark: DataFrame, text: str = "text",
 
 
 def report(docs: DataFrame, benchmark: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    found = find(docs.select("doc_id", "text"), benchmark, "text", shard_bytes)
+    found = find(docs.select("doc_id", "text"), benchmark, "text", shard_bytes, False)
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
@@ -191,5 +190,5 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with their own columns."""
     own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_own"),
                       F.col("text").alias("_text"))
-    kept = find(own, benchmark, "_text").filter(~F.col("contaminated"))
+    kept = find(own, benchmark, "_text", keep_text=False).filter(~F.col("contaminated"))
     return kept.select("_own.*")

@@ -189,7 +189,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInArrow(run, _RECORD)
 
 
-_MESSAGE = "payload binary, complete boolean"
+_WHOLE = ("record_id string, type string, uri string, digest string, refers_to string, length long, "
+          "payload binary, complete boolean")
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -207,9 +208,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         F.sort_array(F.collect_list(piece)).alias("pieces"),
         *(F.max(F.when(F.col("number") == 1, F.col(c))).alias(c) for c in head)).select(*head, "pieces"))
     whole = lone.unionByName(joined)
-    names = [*whole.columns[:-1], "payload", "complete"]
-    schema = whole.drop("pieces").withColumn("payload", F.lit(b"")).withColumn(
-        "complete", F.lit(True)).schema
+    names = [x.split()[0] for x in _WHOLE.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,7 +226,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 [*batch.columns[:5], pa.array(lengths, pa.int64()), pa.array(payloads, pa.binary()),
                  pa.array(sound, pa.bool_())], names)
 
-    return whole.mapInArrow(run, schema)
+    return whole.mapInArrow(run, _WHOLE)
 
 
 def assembled(pieces: list[dict]) -> bytes | None:
