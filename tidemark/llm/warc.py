@@ -2,8 +2,8 @@
 
 Of pages with equal payloads the one with the smallest id becomes a response record, the others revisit
 records that name it.  A response block is an HTTP message in chunked framing; a block longer than a
-segment is split into the record and its continuation records.  Spark's text writer lays the records down,
-a bounded number a file, so an archive file has a bounded size and one task reads it.
+segment is split into the record and its continuation records.  Spark's text writer lays the records down
+compressed, a bounded number a file, so an archive file has a bounded size and one task reads it.
 
 The reader parses whole files, groups continuation records by the identifier of their origin, orders
 them by segment number, checks the total length and the digests, and decodes the chunked framing.
@@ -16,6 +16,7 @@ columns page_id, url and html are read; an empty table gives an archive without
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -103,7 +104,9 @@ def page_records(name: str, uri: str, payload: bytes, refers_to: int | None,
 
 
 def parse(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(fields with lower-case names, block) of every record of a file."""
+    """(fields with lower-case names, block) of every record of a file, compressed or not."""
+    if content[:2] == b"\x1f\x8b":
+        content = gzip.decompress(content)
     at = 0
     while at < len(content):
         end = content.find(b"\r\n\r\n", at)
@@ -153,7 +156,8 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES,
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
     (rows.mapInArrow(run, "record binary").select(F.col("record").cast("string"))
-     .write.option("lineSep", _AFTER).option("maxRecordsPerFile", file_records).text(path))
+     .write.option("lineSep", _AFTER).option("maxRecordsPerFile", file_records)
+     .option("compression", "gzip").text(path))
 
 
 _RECORD = ("record_id string, origin string, type string, uri string, number int, total long, "
