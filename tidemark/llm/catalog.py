@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, pii, secrets, simhash, topk, toxicity, warc
+from tidemark.llm import bpe, decontaminate, lm, pii, secrets, simhash, topk, toxicity, warc
 from tidemark.llm.base import table
 
 ORACLES: dict[str, str] = {}
@@ -30,6 +30,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.report(table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
@@ -96,7 +100,7 @@ SELECT * FROM r WHERE rank <= 5"""
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_bpe, op2_decontaminate, op3_pii, op4_toxicity, op7_secret_scan, op8_warc, op9_simhash, op10_topk)}
+        op1_bpe, op2_decontaminate, op3_pii, op4_toxicity, op6_lm, op7_secret_scan, op8_warc, op9_simhash, op10_topk)}
 
 
 def oracles() -> dict[str, str]:
