@@ -26,7 +26,7 @@ def whole_text(name: str = "text") -> Column:
 
 
 #: Bytes of text that one step of a worker holds at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

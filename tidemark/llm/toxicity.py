@@ -171,7 +171,7 @@ def _sums(df: DataFrame, text: str, label: str | None, terms: Terms | None) -> D
     """
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 0)):
             texts = batch.column(0).to_pylist()
             if terms is None:
                 rows, keys = features(texts)
@@ -198,19 +198,10 @@ def _sums(df: DataFrame, text: str, label: str | None, terms: Terms | None) -> D
 
     told = F.col(label) if label else F.lit(0)
     picked = df.select(F.col(text).cast("binary").alias("text"), told.cast("int").alias("toxic"))
-    return (_small_batches(picked).mapInArrow(run, "term long, level int, n long, toxic long")
+    return (picked.mapInArrow(run, "term long, level int, n long, toxic long")
             .groupBy("term", "level").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")))
 
 
-def _small_batches(df: DataFrame) -> DataFrame:
-    """The (text, ...) rows in Arrow batches that hold a bounded number of bytes."""
-    def run(batches):
-        for batch in batches:
-            yield from slices(batch, 0)
-
-    return df.mapInArrow(run, df.schema)
-
-
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
         most_features: int = FEATURES) -> Index:
     """The index of a bounded sample of the labels whose crc32(doc_id) mod 3 is not 1."""
@@ -229,7 +220,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
         seen = cut(_sums(sample, "_text", "_toxic", None).filter("n > 2"))
         a, b = F.col("toxic").cast("double"), (F.col("n") - F.col("toxic")).cast("double")
         c, d = positive - a, (total - positive) - b
-        chi = total * F.pow(a * d - b * c, 2) / ((a + b) * (c + d) * positive * (total - positive))
+        chi = F.try_divide(total * F.pow(a * d - b * c, 2), (a + b) * (c + d) * positive * (total - positive))
         chance = 2.0 * math.log(20.0 * max(2, seen.count()))
         best = (seen.withColumn("chi", chi).filter((F.col("chi") > chance) & (a * d > b * c))
                 .orderBy(F.desc("chi"), "term", "level").limit(most_features).select("term", "level").collect())
@@ -244,15 +235,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
     shared = spark.sparkContext.broadcast(bare)
 
     def vectors(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 0)):
             made = shared.value.vectors(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array([t.tolist() for t, _ in made], pa.list_(pa.int32())),
                  pa.array([w.tolist() for _, w in made], pa.list_(pa.float64()))],
                 ["doc_id", "toxic", "terms", "weights"])
 
-    rows = _small_batches(sample.select("_text", F.col("doc_id").cast("long").alias("doc_id"),
-                                        F.col("_toxic").alias("toxic"))).mapInArrow(
+    rows = sample.select("_text", F.col("doc_id").cast("long").alias("doc_id"),
+                         F.col("_toxic").alias("toxic")).mapInArrow(
         vectors, "doc_id long, toxic int, terms array<int>, weights array<double>").collect()
     # examples of like features stand together, so that the bounds of their blocks are tight
     rows.sort(key=lambda r: (max(zip(r.weights, r.terms), default=(0.0, -1))[1], r.doc_id))
