@@ -382,8 +382,8 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep_text: bool = T
             once, twice, more, before, count = (
                 m.of_words(name, numbers[order])[back] for name in ("once", "twice", "more", "before", "count"))
             d, e = m.discounts, m.word_discounts
-            lowest = m.rest / (m.distinct + 1) + (
-                np.maximum(before - e[np.minimum(before, 3)], 0.0) / m.pairs if m.pairs else 0.0)
+            lowest = m.rest / (m.distinct + 1) + np.maximum(
+                before - e[np.minimum(before, 3)], 0.0) / max(1, m.pairs)
             history = np.maximum(count, 1)
             kept = np.where(count > 0, (d[1] * once + d[2] * twice + d[3] * more) / history, 1.0)
             both = (numbers[last].astype(np.uint64) << np.uint64(32)) | (
