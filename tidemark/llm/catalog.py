@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, lm, pii, secrets, simhash, topk, toxicity, warc
+from tidemark.llm import bpe, decontaminate, lm, pii, secrets, simhash, substrings, topk, toxicity, warc
 from tidemark.llm.base import table
 
 ORACLES: dict[str, str] = {}
@@ -30,6 +30,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.report(table(spark, sf_dir, "documents"))
+
+
 def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.report(table(spark, sf_dir, "documents"))
 
@@ -73,6 +77,19 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(covered.n, 0) AS n_hi
     coalesce(covered.n, 0) > 0 AND 20 * coalesce(covered.n, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)"""
 
+ORACLES["op5_substrings"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS i FROM d WHERE len(w) >= 50),
+n AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS k FROM s),
+f AS (SELECT k, min(doc_id) AS m FROM n GROUP BY k HAVING min(doc_id) < max(doc_id)),
+c AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 49)) AS p FROM n JOIN f USING (k) WHERE doc_id > m),
+t AS (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS p FROM d),
+r AS (SELECT doc_id, count(c.p) AS gone, string_agg(word, ' ' ORDER BY p) FILTER (c.p IS NULL) AS kept
+    FROM t LEFT JOIN c USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(gone, 0) AS n_removed,
+    sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN r USING (doc_id)"""
+
 ORACLES["op8_warc"] = """
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n,
     sha1(coalesce(html, '')) AS h FROM pages),
@@ -100,7 +117,7 @@ SELECT * FROM r WHERE rank <= 5"""
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_bpe, op2_decontaminate, op3_pii, op4_toxicity, op6_lm, op7_secret_scan, op8_warc, op9_simhash, op10_topk)}
+        op1_bpe, op2_decontaminate, op3_pii, op4_toxicity, op5_substrings, op6_lm, op7_secret_scan, op8_warc, op9_simhash, op10_topk)}
 
 
 def oracles() -> dict[str, str]:
