@@ -27,12 +27,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.base import add_columns, cut
+from tidemark.llm.base import add_columns, cut, slices
 from tidemark.llm.components import components
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
 #: Rows of a chunk of a large bucket, and rows of small buckets that are compared together.
 BUCKET_ROWS, TOGETHER = 2048, 1024
+#: For dropping copies: bits that may differ, and the least similarity of shingles of so many words.
+COPY_RADIUS, COPY_SIMILARITY, COPY_SHINGLE = 5, 0.8, 5
 #: Planes that are added before full words are looked for.
 PLANES_A_STEP = 8
 
@@ -210,6 +212,49 @@ def group(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int
     return prints.join(of_print, "fp").select(F.col("id").alias(key), "fp", "component_id")
 
 
+def _shingles(text: bytes, size: int) -> frozenset:
+    words = text.lower().split()
+    return frozenset(tuple(words[i:i + size]) for i in range(max(1, len(words) - size + 1)))
+
+
+def similarity(a: bytes | None, b: bytes | None, size: int = 5) -> float:
+    """Jaccard similarity of the sets of word shingles; a text of fewer words is one shingle."""
+    left, right = _shingles(a or b"", size), _shingles(b or b"", size)
+    return len(left & right) / len(left | right)
+
+
+def copies(docs: DataFrame, text: str = "text", key: str = "doc_id", radius: int = COPY_RADIUS,
+           least: float = COPY_SIMILARITY, shingle: int = COPY_SHINGLE) -> DataFrame:
+    """``key`` of each document that repeats the first one of its group.
+
+    Groups come from fingerprints of at most ``radius`` differing bits; a document is a copy only if its
+    similarity with the group's smallest key is ``least`` or more, so none goes without one like it that
+    stays.  Rows of one key are one document.
+    """
+    grouped = group(docs, text, key, radius=radius)
+    pairs = cut(grouped.filter(F.col(key) != F.col("component_id"))
+                .select(F.col(key).alias("id"), F.col("component_id").alias("first")).distinct())
+    wanted = cut(pairs.select("id").union(pairs.select("first")).distinct())
+    texts = cut(docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("binary").alias("body"))
+                .join(wanted, "id"))
+    firsts = texts.select(F.col("id").alias("first"), F.col("body").alias("first_body"))
+    met = pairs.join(texts, "id").join(firsts, "first").select("id", "body", "first_body")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1):
+                alike = [similarity(a.as_py(), b.as_py(), shingle) >= least
+                         for a, b in zip(part.column(1), part.column(2))]
+                yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array(alike, pa.bool_()))], [key])
+
+    return met.mapInArrow(run, f"`{key}` long").distinct()
+
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are no copies, with their own columns."""
+    return docs.join(cut(copies(docs)), "doc_id", "left_anti").select(*docs.columns)
+
+
 def report(docs: DataFrame) -> DataFrame:
     found = group(docs)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

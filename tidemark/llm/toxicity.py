@@ -97,7 +97,7 @@ class Index(NamedTuple):
     weights: np.ndarray
     highest: np.ndarray    # of feature t in block b
     prior: float
-    steps: np.ndarray      # the monotone map: votes from which each value holds
+    steps: np.ndarray      # the monotone map: knots and their values
     values: np.ndarray
 
     def vectors(self, texts: list[bytes | None]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -142,26 +142,30 @@ class Index(NamedTuple):
     def probability(self, vote: float) -> float:
         if not len(self.steps):
             return 0.0
-        return float(self.values[max(0, int(np.searchsorted(self.steps, vote, side="right")) - 1)])
+        return float(np.interp(vote, self.steps, self.values))
 
 
 def monotone(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The non-decreasing step map from votes to label rates that fits best (pooled neighbours).
+    """The non-decreasing map from votes to label rates that fits best (pooled neighbours), as knots.
 
-    Each rate is shrunk by one example of the overall rate, so none is exactly 0 or 1.
+    A pool has one rate, shrunk by one example of the overall rate, so none is exactly 0 or 1.  Between
+    pools the map is linear.
     """
     overall = float(labels.mean()) if len(labels) else 0.0
-    pools: list[list[float]] = []  # first vote, toxic examples, examples
+    pools: list[list[float]] = []  # first vote, last vote, toxic examples, examples
     distinct, inverse = np.unique(np.round(votes, 6), return_inverse=True)
     toxic, total = np.bincount(inverse, labels), np.bincount(inverse)
     for v, t, n in zip(distinct, toxic, total):
-        pools.append([v, t, n])
-        while len(pools) > 1 and pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2]:
-            _, t2, n2 = pools.pop()
-            pools[-1][1] += t2
-            pools[-1][2] += n2
-    values = np.array([(t + overall) / (n + 1) for _, t, n in pools])
-    return np.array([p[0] for p in pools]), np.maximum.accumulate(values) if len(values) else values
+        pools.append([v, v, t, n])
+        while len(pools) > 1 and pools[-2][2] * pools[-1][3] >= pools[-1][2] * pools[-2][3]:
+            _, last, t2, n2 = pools.pop()
+            pools[-1][1:] = [last, pools[-1][2] + t2, pools[-1][3] + n2]
+    knots, values = [], []
+    for first, last, t, n in pools:
+        for v in {first: 0, last: 0}:
+            knots.append(v)
+            values.append((t + overall) / (n + 1))
+    return np.array(knots), np.maximum.accumulate(values) if values else np.zeros(0)
 
 
 def _sums(df: DataFrame, text: str, label: str | None, terms: Terms | None) -> DataFrame:
