@@ -46,7 +46,7 @@ def brute_best(new, old, cfg=MatchConfig()):
     return out
 
 
-@pytest.mark.parametrize("rows_per_block", [None, 8])
+@pytest.mark.parametrize("rows_per_block", [2048, 8])
 def test_best_match(spark, rows_per_block):
     rng = np.random.default_rng(1)
     make = lambda p, n: [trend(f"{p}{i}", rng.normal(0, 1, 5), tuple(rng.choice(list("abcd"), rng.integers(0, 3))),
@@ -107,6 +107,30 @@ def test_failing_embedder_keeps_all_new(spark):
     assert [r["is_merged"] for r in merged.collect()] == [True]
 
 
+def test_spark_failures_are_not_swallowed(spark):
+    new, old = frame(spark, [trend("n", [1, 0])]).drop("vector"), frame(spark, [trend("s", [1, 0])]).drop("vector")
+    broken = old.withColumn("topic", F.raise_error(F.lit("disk gone")))
+    with pytest.raises(Exception, match="disk gone"):
+        matching.dedup(new, broken, NOW, fn=lambda texts: [[1.0] for _ in texts]).collect()
+
+
+def test_nothing_to_match(spark):
+    none = frame(spark, []).withColumn("new_seq", F.lit(1).cast("long")).withColumn("store_seq", F.lit(1).cast("long"))
+    some = frame(spark, [trend("s", [1, 0])]).withColumn("new_seq", F.lit(1).cast("long")).withColumn(
+        "store_seq", F.lit(1).cast("long"))
+    assert matching.best_match(none, some).isEmpty() and matching.best_match(some, none).isEmpty()
+
+
+def test_rows_without_time_or_status_stay(spark):
+    rows = spark.createDataFrame([("a", None), ("b", NOW), ("c", NOW - timedelta(days=4))], "trend_id string, last_updated timestamp")
+    kept, gone = store.expire(rows, NOW)
+    assert {r[0] for r in kept.collect()} == {"a", "b"} and {r[0] for r in gone.collect()} == {"c"}
+    old = spark.createDataFrame([("x", None), ("y", "pending"), ("z", "approved")], "keyword string, status string")
+    new = spark.createDataFrame([("n", "pending")], "keyword string, status string")
+    assert {r[0] for r in store.replace_pending(old, new).collect()} == {"x", "z", "n"}
+    assert store.replace_pending(old, new.limit(0)).count() == 3
+
+
 def test_upsert_and_expiry(spark):
     old = frame(spark, [trend("a", [1, 0]), trend("b", [1, 0], hours=72), trend("c", [1, 0], hours=72.1)])
     inc = frame(spark, [trend("a", [1, 0], count=99), trend("d", [1, 0])])

@@ -160,15 +160,17 @@ def test_recent_is_inclusive(spark):
     assert col(quality.recent(df, NOW), "id") == [1]
 
 
-def test_keyword_match_paths_agree(spark):
+def test_keyword_match_in_any_number_of_parts(spark):
     df = spark.createDataFrame([
-        (1, "Phở Anh Hai", "x"), (2, None, "see the ANH hai"), (3, "nothing", None), (4, "a" * 700 + "needle", "")],
+        (1, "Phở Anh Hai", "x"), (2, None, "see the ANH hai"), (3, "nothing", None), (4, "a" * 700 + "needle", ""),
+        (None, "needle", None), (None, None, None)],
         "id long, title string, summary string")
     kw = spark.createDataFrame([("anh HAI",), ("needle",), ("ở",), (None,)], "keyword string")
-    for bound in (1 << 20, 0):
-        assert col(quality.match_keywords(df, kw, "id", max_list_bytes=bound), "id") == [1, 2, 4]
-    assert quality.match_keywords(df, kw.limit(0), "id").count() == 4
-    assert quality.match_keywords(df, spark.createDataFrame([("",)], "keyword string"), "id").count() == 4
+    for size in (1 << 20, 20):  # a row without an id is matched like any other
+        got = quality.match_keywords(df, kw, part_bytes=size).collect()
+        assert sorted(str(r["id"]) for r in got) == ["1", "2", "4", "None"]
+    assert quality.match_keywords(df, kw.limit(0)).count() == 6
+    assert quality.match_keywords(df, spark.createDataFrame([("",)], "keyword string")).count() == 6
 
 
 def test_ranking_ties_keep_arrival_order(spark):

@@ -63,8 +63,9 @@ def engagement_flags(spark, sf):
         eng.is_viral(F.col("shares"), F.col("views")).alias("is_viral"))
 
 
-_KEYWORD_SQL = """words AS (
- SELECT DISTINCT lower(string_split(text,' ')[1]) AS k FROM benchmark)"""
+# every run of five words of every benchmark text, so that few documents hold one
+_KEYWORD_SQL = """bw AS (SELECT string_split(text, ' ') AS w FROM benchmark),
+ words AS (SELECT DISTINCT lower(unnest([array_to_string(w[i:i+4], ' ') for i in range(1, len(w) - 3)])) AS k FROM bw)"""
 
 
 @query("keyword_match", f"""WITH {_KEYWORD_SQL}
@@ -78,16 +79,18 @@ def keyword_match(spark, sf):
 SELECT doc_id, md5(text) AS text_md5 FROM documents d
 WHERE EXISTS (SELECT 1 FROM words WHERE contains(lower(lang || ' ' || text), k))""")
 def keyword_match_long_list(spark, sf):
-    """The path a keyword list beyond the size bound takes."""
-    return _keyword_match(spark, sf, 0)
+    """A list of more than one part."""
+    return _keyword_match(spark, sf, 1 << 13)
 
 
 def _keyword_match(spark, sf, bound):
-    words = fx.table(spark, sf, "benchmark").select(
-        F.element_at(F.split("text", " "), 1).alias("keyword"))
+    words = fx.table(spark, sf, "benchmark").withColumn("w", F.split("text", " ")).select(F.explode(
+        F.when(F.size("w") >= 5, F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - 4)),
+                                             lambda i: F.array_join(F.slice("w", i, 5), " "))))
+        .alias("keyword"))
     docs = fx.table(spark, sf, "documents", heavy=True).select(
         "doc_id", F.col("lang").alias("title"), F.col("text").alias("summary"))
-    return quality.match_keywords(docs, words, "doc_id", max_list_bytes=bound).select(
+    return quality.match_keywords(docs, words, part_bytes=bound).select(
         "doc_id", _digest(F.col("summary")).alias("text_md5"))
 
 
@@ -99,15 +102,17 @@ def recent_window(spark, sf):
 
 
 @query("headline_feed", f"""WITH t AS (
- SELECT doc_id, trim(string_split(text, chr(10))[1], {WS}) AS title FROM documents)
-SELECT doc_id, title FROM t WHERE title <> '' ORDER BY doc_id LIMIT 1000""")
+ SELECT doc_id, trim(unnest(string_split(text, chr(10))), {WS}) AS title FROM documents)
+SELECT doc_id, md5(title) AS title_md5 FROM t WHERE title <> ''""")
 def headline_feed(spark, sf):
-    return quality.headlines(_titles(spark, sf), "doc_id").select("doc_id", "title")
+    return quality.headlines(_titles(spark, sf), "doc_id").select(
+        "doc_id", _digest(F.col("title")).alias("title_md5"))
 
 
 def _titles(spark, sf):
-    return fx.table(spark, sf, "documents").select(
-        "doc_id", F.element_at(F.split("text", "\n"), 1).alias("title"))
+    """Every line of every text as a title."""
+    return fx.table(spark, sf, "documents", heavy=True).select(
+        "doc_id", F.explode(F.split("text", "\n")).alias("title"))
 
 
 @query("batch_gate", """SELECT source, count(*) AS n FROM documents GROUP BY source

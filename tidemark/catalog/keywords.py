@@ -281,8 +281,8 @@ def replace_pending_with_nothing(spark, sf):
     return store.replace_pending(extracted(spark, sf), none).select("keyword", "status")
 
 
-_PHRASES = """t AS (SELECT doc_id, trim(string_split(text, chr(10))[1], chr(9)||chr(13)||' '||chr(160)) AS title FROM documents),
- h AS (SELECT * FROM t WHERE title <> '' ORDER BY doc_id LIMIT 1000),
+_PHRASES = """t AS (SELECT doc_id, trim(unnest(string_split(text, chr(10))), chr(9)||chr(13)||' '||chr(160)) AS title FROM documents),
+ h AS (SELECT * FROM t WHERE title <> ''),
  w AS (SELECT list_filter(regexp_split_to_array(lower(title), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS t FROM h),
  g AS (SELECT unnest(list_distinct(flatten([
    [array_to_string(t[i:i+1],' ') for i in range(1, len(t))],
@@ -300,7 +300,7 @@ def headline_keywords(spark, sf):
 
 
 def _discovered(spark, sf):
-    """The discovery plan: titles, cap, keywords, swap of the pending rows."""
+    """The discovery plan: titles, keywords, swap of the pending rows."""
     from tidemark.catalog.items import _titles
 
     entries = _titles(spark, sf).withColumnRenamed("doc_id", "ingest_seq")

@@ -20,7 +20,7 @@ class ClusterConfig:
     min_samples: int = 15
     share_divisor: int = 60
     max_rescue_distance: float = 0.5
-    rows_per_block: int | None = None  # None: by size
+    rows_per_block: int = 2048
 
 
 @dataclass(frozen=True)
@@ -35,7 +35,7 @@ class MatchConfig:
     w_source: float = 0.1
     # 'linear' is the stated rule, 'constant' gives 0.5 whatever the times are
     time_decay: str = "linear"
-    rows_per_block: int | None = None  # None: by size
+    rows_per_block: int = 2048
 
 
 @dataclass(frozen=True)
@@ -46,8 +46,7 @@ class Settings:
     min_batch: int = 40
     annotate_top: int = 10
     sample_top: int = 5
-    merged_samples: int = 10
-    headline_cap: int = 1000
+    request_titles: int = 1000  # titles in one remote request
     keyword_count: int = 30
 
 

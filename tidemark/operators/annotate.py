@@ -224,7 +224,7 @@ def extract_keywords(headlines: DataFrame, now, n: int = 30, low: int = 2,
                      high: int = 5) -> DataFrame:
     """Phrases of 2-5 words in most headlines, with category, reason and run metadata.
 
-    ``headlines`` is the capped list of titles; phrases with skipped words are left out.
+    All titles count; phrases with skipped words are left out.
     """
     from tidemark.functions import times
 
@@ -248,13 +248,13 @@ def extract_keywords(headlines: DataFrame, now, n: int = 30, low: int = 2,
 
 
 def extract_with(headlines: DataFrame, now, fn: Callable[[str], str], order: str = "ingest_seq",
-                 n: int = 30) -> DataFrame:
-    """Same result layout from a caller's function.  One request holds the capped list (1,000)."""
+                 n: int = 30, most: int = 1000) -> DataFrame:
+    """Same result layout from a caller's function.  One request holds the first ``most`` titles."""
     from tidemark.functions import times
 
     lines = F.transform(F.sort_array(F.collect_list(F.struct(order, "title"))),
                         lambda x: F.concat(F.lit("- "), x["title"]))
-    request = headlines.agg(
+    request = headlines.orderBy(order).limit(most).agg(
         F.concat(F.lit(f"List the {n} phrases with most potential as JSON.\n"),
                  F.array_join(lines, "\n")).alias("request"),
         F.count(F.lit(1)).alias("num_headlines")).filter("num_headlines > 0")

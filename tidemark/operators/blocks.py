@@ -26,10 +26,9 @@ from tidemark.runtime import cut
 # task code travels with the job, so executors need no installed copy of this package
 cloudpickle.register_pickle_by_value(tidemark)
 
-MAX_CELLS = 256
-# Large blocks keep the number of times a right row is sent low; small inputs are cut finer so that
-# all cores have work.
-MAX_BLOCK, MIN_BLOCK, FEW_BLOCKS = 16384, 256, 16
+# rows a block, most pivots, and right blocks that one task streams past its left block; the same
+# for every input size
+ROWS, CELLS, BLOCKS_A_TASK = 2048, 256, 8
 # entries of one working matrix of a task (left rows x right rows of a call)
 MATRIX = 1 << 22
 
@@ -97,18 +96,20 @@ def _with_cells(df: DataFrame, vector: str, pivots: np.ndarray) -> DataFrame:
     return df.mapInArrow(_nearest_pivot(pivots, vector), schema)
 
 
-def lay_out(df: DataFrame, ident: str, vector: str, rows_per_block: int | None = None,
-            pivots: np.ndarray | None = None) -> tuple[DataFrame, Layout]:
+def lay_out(df: DataFrame, ident: str, vector: str, rows_per_block: int = ROWS,
+            pivots: np.ndarray | None = None, most_cells: int = CELLS) -> tuple[DataFrame, Layout]:
     """Rows with ``block`` and ``cell``, written out because every caller reads them repeatedly.
 
-    The driver sees only pivots (at most ``MAX_CELLS`` vectors) and one statistics row a cell.
+    A pivot a block, at most ``most_cells``: beyond that the cells grow, and blocks stay as they are.
+    The driver sees only pivots and one statistics row a cell.  No rows make one empty cell.
     """
     if pivots is None:
         n = df.count()
-        want = max(1, min(MAX_CELLS, math.ceil(n / (rows_per_block or MAX_BLOCK))))
+        want = max(1, min(most_cells, math.ceil(n / rows_per_block)))
         # the smallest hashes: a fixed, arbitrary choice that needs no shuffle of the vectors
         rows = df.select(ident, vector).orderBy(F.xxhash64(ident), ident).limit(want).collect()
-        pivots = np.array([r[vector] for r in rows], dtype=np.float64).reshape(len(rows), -1)
+        pivots = (np.array([r[vector] for r in rows], dtype=np.float64).reshape(len(rows), -1)
+                  if rows else np.zeros((1, 1)))
     placed = cut(_with_cells(df, vector, pivots))
     cells = max(1, len(pivots))
     splits, radius = [0] * cells, np.zeros(cells)
@@ -122,10 +123,9 @@ def lay_out(df: DataFrame, ident: str, vector: str, rows_per_block: int | None =
 
 
 def cut_cells(df: DataFrame, ident: str, counts: list[int],
-              rows_per_block: int | None = None) -> tuple[DataFrame, tuple[int, ...]]:
+              rows_per_block: int = ROWS) -> tuple[DataFrame, tuple[int, ...]]:
     """Cut cells of known row counts into blocks by hash: (rows with ``block``, blocks a cell)."""
-    size = rows_per_block or min(MAX_BLOCK, max(MIN_BLOCK, sum(counts) // FEW_BLOCKS))
-    splits = tuple(math.ceil(n / size) for n in counts)
+    splits = tuple(math.ceil(n / rows_per_block) for n in counts)
     parts = F.element_at(F.array(*[F.lit(max(1, v)) for v in splits]), F.col("cell") + 1)
     block = F.pmod(F.xxhash64(ident), parts) * len(counts) + F.col("cell")
     return df.withColumn("block", block.cast("long")), splits
@@ -142,7 +142,12 @@ def gaps(left: Layout, right: Layout) -> np.ndarray:
 
 
 def meetings(df: DataFrame, left: Layout, right: Layout, allowed: np.ndarray) -> DataFrame:
-    """(lb, rb): blocks that have to meet, from the allowed cell pairs (at most MAX_CELLS squared)."""
+    """(lb, rb, part): blocks that have to meet, and the task of the left block that meets the right one.
+
+    From the allowed cell pairs, at most ``CELLS`` squared.  The right blocks are dealt by hash to as many
+    parts as leave about ``BLOCKS_A_TASK`` to each.
+    """
+    parts = max(1, math.ceil(sum(right.splits) / BLOCKS_A_TASK))
     spark = df.sparkSession
     pairs = [(int(i), int(j)) for i, j in zip(*np.nonzero(allowed))
              if left.splits[i] and right.splits[j]]
@@ -156,7 +161,8 @@ def meetings(df: DataFrame, left: Layout, right: Layout, allowed: np.ndarray) ->
             lambda k: k * F.lit(total) + F.col(cell)))
 
     return cells.withColumn("lb", numbers("si", "ci", left.cells)).withColumn(
-        "rb", numbers("sj", "cj", right.cells)).select("lb", "rb")
+        "rb", numbers("sj", "cj", right.cells)).select(
+        "lb", "rb", F.pmod(F.xxhash64("rb"), F.lit(parts)).alias("part"))
 
 
 def _drive(kernel: Callable, columns: list[str], names: list[str]) -> Callable:
@@ -179,7 +185,7 @@ def _drive(kernel: Callable, columns: list[str], names: list[str]) -> Callable:
             key = batch.column(0).to_numpy(zero_copy_only=False)
             side = batch.column(1).to_numpy(zero_copy_only=False)
             body = batch.select(columns)
-            edges = np.flatnonzero((np.diff(key) != 0) | (np.diff(side) != 0)) + 1
+            edges = np.flatnonzero((key[1:] != key[:-1]) | (side[1:] != side[:-1])) + 1
             starts = np.concatenate([[0], edges]).astype(int)
             stops = np.concatenate([edges, [n]]).astype(int)
             for lo, hi in zip(starts, stops):
@@ -205,15 +211,18 @@ def _drive(kernel: Callable, columns: list[str], names: list[str]) -> Callable:
 
 def sweep(left: DataFrame, right: DataFrame, pairs: DataFrame, columns: list[str],
           kernel: Callable, schema: T.StructType | str) -> DataFrame:
-    """Run ``kernel`` over each left block and, chunk by chunk, the right blocks it meets.
+    """Run ``kernel`` over each left block and, chunk by chunk, some of the right blocks it meets.
 
     ``kernel(table)`` takes the left block; ``update(batch)`` one chunk; ``result()`` the output
-    columns.  One task holds one left block and one Arrow batch at a time.
+    columns.  A left block goes to one task a part of its right blocks, so what a task reads does not
+    grow with the tables; a left row may have a result of each part, which the caller merges.
     """
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
-    own = left.select(F.col("block").alias("_key"), F.lit(0).alias("_side"), *columns)
+    met = pairs.select("lb", "part").distinct()
+    own = left.join(met, F.col("block") == F.col("lb")).select(
+        F.concat_ws(":", "lb", "part").alias("_key"), F.lit(0).alias("_side"), *columns)
     other = right.join(pairs, F.col("block") == F.col("rb")).select(
-        F.col("lb").alias("_key"), F.lit(1).alias("_side"), *columns)
+        F.concat_ws(":", "lb", "part").alias("_key"), F.lit(1).alias("_side"), *columns)
     together = own.unionByName(other).repartition("_key").sortWithinPartitions("_key", "_side")
     return together.mapInArrow(_drive(kernel, columns, schema.fieldNames()), schema)

@@ -29,11 +29,10 @@ def first_of(groups: np.ndarray, *keys: np.ndarray) -> np.ndarray:
 
 
 class Neighbours:
-    """The ``keep`` nearest distinct vectors of each left row, by (distance, id); the core distance
-    is that of the ``k``-th nearest row, copies counted."""
+    """The ``keep`` nearest distinct vectors of each left row among those met, by (distance, id)."""
 
-    def __init__(self, table, k: int, keep: int):
-        self.core_k, self.k = k, keep
+    def __init__(self, table, keep: int):
+        self.k = keep
         self.ids, self.x = _longs(table, "id"), matrix(table.column("vec"))
         self.weight = _longs(table, "weight")
         n = len(self.ids)
@@ -72,16 +71,10 @@ class Neighbours:
         self.wgt[rows[keep], place[keep]] = wgts[keep]
 
     def result(self):
-        """id, core distance, neighbour ids, neighbour distances."""
+        """id, copies of the row itself, and its neighbours' ids, distances and copies."""
         have = np.isfinite(self.dist)
-        seen = np.cumsum(self.wgt, axis=1) + (self.weight - 1)[:, None]
-        reached = seen >= self.core_k
-        at = np.where(reached.any(1), reached.argmax(1), np.maximum(have.sum(1) - 1, 0))
-        core = self.dist[np.arange(len(self.ids)), at]
-        core = np.where(self.weight - 1 >= self.core_k, 0.0, np.where(have.any(1), core, 0.0))
-        nbrs = [self.nbr[i, have[i]] for i in range(len(self.ids))]
-        dist = [self.dist[i, have[i]] for i in range(len(self.ids))]
-        return self.ids, core, nbrs, dist
+        lists = [[m[i, have[i]] for i in range(len(self.ids))] for m in (self.nbr, self.dist, self.wgt)]
+        return self.ids, self.weight, *lists
 
 
 class _Best:
@@ -187,27 +180,27 @@ class NearestCentroid:
         return self.ids[near], self.best[near], self.dist[near]
 
 
-def _incidence(left: list, right: list) -> tuple[np.ndarray, np.ndarray]:
-    """Membership matrices of two lists of sets over the words both sides use."""
-    words: dict = {}
-    for group in (left, right):
-        for entry in group:
-            for word in entry:
-                words.setdefault(word, len(words))
-    out = []
-    for group in (left, right):
-        m = np.zeros((len(group), max(1, len(words))))
-        for i, entry in enumerate(group):
-            m[i, [words[w] for w in entry]] = 1.0
-        out.append(m)
-    return out[0], out[1]
-
-
-def set_overlap(left: list, right: list) -> np.ndarray:
-    """Jaccard of every left set with every right set: both empty 1, one empty 0."""
-    a, b = _incidence(left, right)
-    both = a @ b.T
-    na, nb = a.sum(1)[:, None], b.sum(1)[None, :]
+def holders(sets: list) -> dict:
+    """For each word the places of the sets that hold it."""
+    found: dict = {}
+    for i, entry in enumerate(sets):
+        for word in entry:
+            found.setdefault(word, []).append(i)
+    return {word: np.array(places) for word, places in found.items()}
+
+
+def set_overlap(left: list, held: dict, right: list) -> np.ndarray:
+    """Jaccard of every left set (``held``: their holders) with every right set: both empty 1, one empty 0.
+
+    Only words that both sides hold cost anything; no table has a column a word.
+    """
+    both = np.zeros((len(left), len(right)))
+    for j, entry in enumerate(right):
+        for word in entry:
+            if word in held:
+                both[held[word], j] += 1.0
+    na = np.array([len(s) for s in left], dtype=np.float64)[:, None]
+    nb = np.array([len(s) for s in right], dtype=np.float64)[None, :]
     union = na + nb - both
     overlap = np.divide(both, union, out=np.zeros_like(both), where=union > 0)
     return np.where((na == 0) & (nb == 0), 1.0, overlap)
@@ -224,6 +217,7 @@ class BestMatch:
         self.at = _doubles(table, "at")
         self.words = table.column("keywords").to_pylist()
         self.feeds = table.column("sources").to_pylist()
+        self.word_holders, self.feed_holders = holders(self.words), holders(self.feeds)
         n = len(self.ids)
         self.score = np.zeros(n)
         self.best = np.full(n, -1, dtype=np.int64)
@@ -234,8 +228,8 @@ class BestMatch:
         with np.errstate(invalid="ignore", divide="ignore"):
             topic = (self.x @ y.T) / norm
         topic = np.where(norm > 0, topic, -np.inf)  # a zero vector matches nothing
-        words = set_overlap(self.words, batch.column("keywords").to_pylist())
-        feeds = set_overlap(self.feeds, batch.column("sources").to_pylist())
+        words = set_overlap(self.words, self.word_holders, batch.column("keywords").to_pylist())
+        feeds = set_overlap(self.feeds, self.feed_holders, batch.column("sources").to_pylist())
         if self.constant:
             time = np.full(topic.shape, 0.5)
         else:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from tidemark.config import QualityConfig
 from tidemark.functions import engagement as eng
 from tidemark.functions import text as tx
 from tidemark.functions import times
+from tidemark.runtime import cut
 
 
 def is_clean(min_chars: int = 10) -> Column:
@@ -102,65 +105,40 @@ def by_status(df: DataFrame, status: str) -> DataFrame:
     return df if status == "all" else df.filter(F.col("status") == status)
 
 
-def headlines(df: DataFrame, order: str, cap: int = 1000) -> DataFrame:
-    """The first ``cap`` non-empty stripped titles in feed order (a plan-level top-k)."""
-    return (
-        df.withColumn("title", tx.strip(F.col("title")))
-        .filter(~tx.blank(F.col("title")))
-        .orderBy(order).limit(cap)
-    )
+def headlines(df: DataFrame, order: str, cap: int | None = None) -> DataFrame:
+    """The non-empty stripped titles; with ``cap`` the first so many in feed order (a plan-level top-k)."""
+    titles = df.withColumn("title", tx.strip(F.col("title"))).filter(~tx.blank(F.col("title")))
+    return titles if cap is None else titles.orderBy(order).limit(cap)
 
 
-def match_keywords(df: DataFrame, keywords: DataFrame, row_id: str, keyword: str = "keyword",
+def match_keywords(df: DataFrame, keywords: DataFrame, keyword: str = "keyword",
                    title: str = "title", summary: str = "summary",
-                   max_list_bytes: int = 1 << 20) -> DataFrame:
+                   part_bytes: int = 1 << 20) -> DataFrame:
     """Rows whose ``title + ' ' + summary`` contains any keyword, whatever the case.
 
-    The keyword list is measured first.  Up to ``max_list_bytes`` it becomes one literal array
-    tested inside the scan stage (no join, no shuffle).  A longer list takes the anchored equi-join
-    below.  Both are exact.  No keywords: every row is kept.
+    The list is cut by hash into parts of about ``part_bytes``, each a literal array tested inside the
+    scan stage: no shuffle, no id needed, and the driver holds one part at a time.  What no part has
+    matched yet is written before the next part looks at it.  No keywords: every row is kept.
     """
     low = keywords.select(F.lower(keyword).alias("k")).filter(F.col("k").isNotNull()).distinct()
     size = low.agg(F.sum(F.octet_length("k") + F.lit(16)).alias("b"),
-                   F.max(F.length("k")).alias("longest"),
                    F.min(F.length("k")).alias("shortest")).first()
     if size["b"] is None or size["shortest"] == 0:  # the empty string is in every text
         return df
+    parts = math.ceil(size["b"] / part_bytes)
     haystack = F.lower(F.concat(
         F.coalesce(F.col(title), F.lit("")), F.lit(" "), F.coalesce(F.col(summary), F.lit(""))))
-    if size["b"] <= max_list_bytes:
-        words = F.array(*[F.lit(r["k"]) for r in low.collect()])
+    found, rest = None, df
+    for part in range(parts):
+        mine = low.filter(F.pmod(F.xxhash64("k"), F.lit(parts)) == part).collect()
+        if not mine:
+            continue
+        words = F.array(*[F.lit(r["k"]) for r in mine])
         # the one-element array binds the lower-cased text once, not once per keyword
-        return df.filter(F.exists(
-            F.array(haystack), lambda text: F.exists(words, lambda k: F.contains(text, k))))
-    hits = _anchored_hits(df.select(F.col(row_id), haystack.alias("_hay")), low, row_id,
-                          int(size["longest"]))
-    return df.join(hits, row_id, "left_semi")
-
-
-def _anchored_hits(texts: DataFrame, low: DataFrame, row_id: str, longest: int,
-                   width: int = 8, piece: int = 256) -> DataFrame:
-    """Ids of the texts that contain a keyword, by equi-join on a keyword's first characters.
-
-    Every text position is emitted once per anchor length in use with as many following characters
-    as the longest keyword has; equal starts meet in the join and the tail settles the match.
-    """
-    # 1, 2, 4 or 8 characters: few lengths to emit, long enough to be selective
-    size = F.least(F.lit(width), F.pow(
-        F.lit(2), F.floor(F.log2(F.length("k").cast("double")))).cast("int"))
-    anchored = low.withColumn("anchor", F.substring("k", F.lit(1), size))
-    lengths = [r[0] for r in anchored.select(F.length("anchor")).distinct().collect()]  # <= width
-    # overlapping pieces first: finding a character position is linear in the text before it
-    pieces = texts.select(row_id, F.explode(F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length("_hay"), F.lit(1)), F.lit(piece)),
-        lambda at: F.substring("_hay", at, F.lit(piece + longest - 1)))).alias("_piece"))
-    positions = pieces.select(row_id, F.explode(F.transform(
-        F.sequence(F.lit(1), F.least(F.length("_piece"), F.lit(piece))),
-        lambda at: F.substring("_piece", at, F.lit(longest)))).alias("_tail"))
-    starts = positions.select(
-        row_id, "_tail",
-        F.explode(F.array(*[F.substring("_tail", 1, n) for n in lengths])).alias("anchor"))
-    return (
-        starts.join(anchored, "anchor").filter(F.startswith("_tail", "k"))
-        .select(row_id).distinct()
-    )
+        hit = F.exists(F.array(haystack), lambda text: F.exists(  # noqa: B023
+            words, lambda k: F.contains(text, k)))  # noqa: B023
+        here = rest.filter(hit)
+        found = here if found is None else found.unionByName(here)
+        if part < parts - 1:
+            rest = cut(rest.filter(~hit))
+    return found

@@ -55,22 +55,24 @@ def upsert_trends(store: DataFrame, incoming: DataFrame, key: str = "trend_id")
     return kept.unionByName(incoming, allowMissingColumns=True)
 
 
-def is_live(now, days: int = 3):
-    return F.col("last_updated") >= times.clock(now) - F.make_dt_interval(F.lit(days))
+def is_expired(now, days: int = 3):
+    return F.col("last_updated") < times.clock(now) - F.make_dt_interval(F.lit(days))
 
 
 def expire(df: DataFrame, now, days: int = 3) -> tuple[DataFrame, DataFrame]:
-    """(kept, expired) by last update; both filters reach the scan and prune day partitions."""
-    return df.filter(is_live(now, days)), df.filter(~is_live(now, days))
+    """(kept, expired) by last update; a row without one is kept.  Both filters reach the scan."""
+    gone = is_expired(now, days)
+    return df.filter(F.col("last_updated").isNull() | ~gone), df.filter(gone)
 
 
 def replace_pending(store: DataFrame, new: DataFrame) -> DataFrame:
-    """Reviewed rows stay, pending rows are swapped for the new set; an empty set changes nothing.
+    """Pending rows are swapped for the new set, all others stay, those without a status too; an
+    empty set changes nothing.
 
     The emptiness test is a scalar subquery of the same plan.
     """
     any_new = new.agg((F.count(F.lit(1)) > 0).alias("any")).scalar()
-    kept = store.filter((F.col("status") != "pending") | ~any_new)
+    kept = store.filter(~F.col("status").eqNullSafe("pending") | ~any_new)
     return kept.unionByName(new, allowMissingColumns=True)
 
 

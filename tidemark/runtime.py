@@ -1,30 +1,54 @@
-"""Session helpers: the shared scratch folder and lineage cuts."""
+"""Session helpers: the shared scratch folder, runs, and lineage cuts."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_RUNS: list[str] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor sees, as named by the cluster in ``spark.checkpoint.dir``.
 
-    Only where nothing is configured (unit tests, local runs) a temporary folder stands in.
+    Only in local mode, where all tasks share one machine, a temporary folder stands in.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
         "spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        master = spark.sparkContext.master
+        if named is None and not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="run-", dir="/tmp"))
         current = spark.sparkContext.getCheckpointDir()
     return named or current
 
 
+@contextmanager
+def run(spark: SparkSession) -> Iterator[str]:
+    """All scratch tables made inside belong to one folder, which goes at the end.
+
+    Results that are still needed have to be written elsewhere before.
+    """
+    folder = f"{shared_dir(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+    _RUNS.append(folder)
+    try:
+        yield folder
+    finally:
+        _RUNS.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh sub-folder of the shared folder; never reused, never deleted here."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh sub-folder of the current run's folder, or of the shared one outside any run."""
+    base = _RUNS[-1] if _RUNS else shared_dir(spark).rstrip("/")
+    return f"{base}/{label}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ def read_snapshots(spark: SparkSession, path: str, schema: T.StructType,
 def write_snapshot(df: DataFrame, root: str, source: str, now: datetime) -> str:
     """One folder a source and batch.  Empty input is an error."""
     if df.isEmpty():
-        raise EmptySnapshot(f"Cannot save empty data for source: {source}")
+        raise EmptySnapshot(f"snapshot of {source} at {now} has no rows")
     target = f"{root}/source={source}/batch_ts={now:%Y-%m-%d_%H-%M-%S}"
     df.write.mode("errorifexists").option("ignoreNullFields", False).json(target)
     return target
