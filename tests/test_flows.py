@@ -189,16 +189,34 @@ def test_live_detection(spark, tmp_path):
 
     src = str(tmp_path / "in")
     payloads = mixed_payloads(spark, SF).select("payload")
-    payloads.coalesce(1).write.parquet(src)
+    payloads.unionByName(payloads).coalesce(1).write.parquet(src)  # every message comes twice
     at = datetime(2024, 1, 31)
     cfg = Settings(cluster=ClusterConfig(min_cluster_size=5, min_samples=5))
-    run = live.DetectionRun(str(tmp_path / "trends"), lambda: at, cfg=cfg)
+    run = live.DetectionRun(str(tmp_path / "trends"), lambda: at, cfg=cfg,
+                            metrics_root=str(tmp_path / "metrics"), audit_root=str(tmp_path / "audit"))
     stream = intake.stream_files(spark, src, payloads.schema, "parquet")
     live.watch(stream, str(tmp_path / "work"), str(tmp_path / "ckpt"), run).awaitTermination()
-    arrived = positions(payloads, [F.col("payload").asc()], "ingest_seq")
-    batch = detect.detect(detect.from_payloads(arrived, "payload", at), empty(spark, schemas.TREND), at, cfg)
+    arrived = positions(payloads.unionByName(payloads), [F.col("payload").asc()], "ingest_seq")
+    items = live.first_arrivals(detect.from_payloads(arrived, "payload", at))
+    assert items.count() == detect.from_payloads(arrived, "payload", at).dropDuplicates(["source", "content_id"]).count()
+    batch = detect.detect(items, empty(spark, schemas.TREND), at, cfg)
     key = lambda df: sorted((r["trend_id"], r["topic"], r["video_count"]) for r in df.collect())
     assert key(run.trends(spark)) == key(batch.stored)
-    if not run.trends(spark).isEmpty():
-        run(payloads, "run-0")
-        assert store.versions(spark, run.trend_root) == [1]
+    assert not run.trends(spark).isEmpty()
+    run(payloads, "run-0")
+    assert store.versions(spark, run.trend_root) == [1]
+    stages = {r["stage"] for r in spark.read.json(str(tmp_path / "metrics")).collect()}
+    assert {"CleaningStage", "FilteringStage", "ClusteringStage"} <= stages
+    assert spark.read.json(str(tmp_path / "audit")).count() == items.count()
+
+
+def test_hopeless_batch_does_not_stop_the_stream(spark, tmp_path):
+    """A batch of which cleaning leaves nothing ends without an error and is taken."""
+    from tidemark.plans import live
+
+    src = str(tmp_path / "in")
+    spark.createDataFrame([("{}",), ("nonsense",), (None,)], "payload string").write.parquet(src)
+    run = live.DetectionRun(str(tmp_path / "trends"), lambda: datetime(2024, 1, 31), cfg=Settings(min_batch=2))
+    stream = intake.stream_files(spark, src, spark.read.parquet(src).schema, "parquet")
+    live.watch(stream, str(tmp_path / "work"), str(tmp_path / "ckpt"), run).awaitTermination()
+    assert run.trends(spark).isEmpty() and store.versions(spark, str(tmp_path / "work/taken")) == [1]

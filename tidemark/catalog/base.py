@@ -72,10 +72,10 @@ CHECKED = ITEMS + f""", checked AS (
   END AS reason FROM items)"""
 
 MEMBERS = ITEMS + """, members AS (
- SELECT *, ingest_seq % 50 AS g,
+ SELECT *, 50 * (ingest_seq // 1000) + ingest_seq % 50 AS g,
   CASE WHEN (ingest_seq // 500) % 2 = 0 THEN 's' ELSE 'n' END AS side,
   (CASE WHEN (ingest_seq // 500) % 2 = 0 THEN 's' ELSE 'n' END) || '-' || language || '-'
-    || CAST(ingest_seq % 50 AS VARCHAR) AS trend_id FROM items)"""
+    || CAST(50 * (ingest_seq // 1000) + ingest_seq % 50 AS VARCHAR) AS trend_id FROM items)"""
 
 TRENDS = MEMBERS + """, trends AS (
  SELECT trend_id, any_value(side) AS side, any_value(language) AS language, any_value(g) AS g,
@@ -93,7 +93,7 @@ TRENDS = MEMBERS + """, trends AS (
 
 VECTORS = TRENDS + """, parts AS (
  SELECT m.trend_id, generate_subscripts(e.embedding, 1) AS pos, unnest(e.embedding::DOUBLE[]) AS x
- FROM members m JOIN embeddings e ON e.vec_id = m.ingest_seq % 500),
+ FROM members m JOIN embeddings e ON e.vec_id = m.ingest_seq % (SELECT count(*) FROM embeddings)),
  means AS (SELECT trend_id, pos, avg(x) AS x FROM parts GROUP BY trend_id, pos),
  vectors AS (SELECT trend_id, list(x ORDER BY pos) AS vector FROM means GROUP BY trend_id)"""
 

@@ -274,6 +274,18 @@ def replace_pending(spark, sf):
     return store.replace_pending(extracted(spark, sf), new).select("keyword", "status")
 
 
+@query("replace_pending_null_status", f"""WITH {_USERS}, old AS (SELECT keyword, role,
+ CASE WHEN role <> 4 THEN (['approved','pending','rejected','pending','pending'])[role + 1] END AS status FROM u)
+SELECT keyword, status FROM old WHERE status IS NULL OR status <> 'pending' UNION ALL SELECT 'new ' || keyword, 'pending' FROM u WHERE role = 3""")
+def replace_pending_null_status(spark, sf):
+    """Rows without a status are not pending and stay."""
+    role = F.substring("id", 2, 20).cast("long") % 5
+    old = extracted(spark, sf).withColumn("status", F.when(role != 4, F.col("status")))
+    new = extracted(spark, sf).filter(role == 3).withColumn(
+        "keyword", F.concat(F.lit("new "), "keyword")).withColumn("status", F.lit("pending"))
+    return store.replace_pending(old, new).select("keyword", "status")
+
+
 @query("replace_pending_with_nothing", f"""WITH {_USERS} SELECT keyword,
  (['approved','pending','rejected','pending','pending'])[role + 1] AS status FROM u""")
 def replace_pending_with_nothing(spark, sf):

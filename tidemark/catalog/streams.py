@@ -11,13 +11,13 @@ from tidemark.sources import fixtures as fx
 from tidemark.streaming import intake
 
 
-def _landing(spark, sf, copies=1):
+def _landing(spark, sf, copies=1, files=4):
     """All items as message files, each delivered ``copies`` times."""
     root = scratch_path(spark, "landing")
     items = fx.content_items(spark, sf).select(
         "source", "content_id", "collected_at", F.length("text").cast("long").alias("chars"))
     repeated = items.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("copy")
-    repeated.repartition(4).write.json(root)
+    repeated.repartition(files).write.json(root)
     return root, items.schema
 
 
@@ -42,16 +42,16 @@ def stream_without_replays(spark, sf):
 
 @query("stream_hold_back", f"""WITH {ITEMS} SELECT source, count(*) AS n FROM items GROUP BY source""")
 def stream_hold_back(spark, sf):
-    """Micro-batches of one file; rows wait until enough are there, then one run takes them."""
-    root, schema = _landing(spark, sf)
+    """Twelve micro-batches of one file; rows wait until enough are there, then one run takes them."""
+    root, schema = _landing(spark, sf, files=12)
     base = scratch_path(spark, "hold")
     total = spark.read.schema(schema).json(root).count()
 
     def process(batch, run):
         batch.write.mode("overwrite").parquet(f"{base}/out/run={run}")
 
-    # half of all rows: no single file is enough, the last file completes a run
-    target = intake.HoldBack(base, process, min_rows=max(1, total // 2))
+    # a quarter of all rows: no single file is enough, several runs each take the files that wait
+    target = intake.HoldBack(base, process, min_rows=max(1, total // 4))
     stream = intake.stream_files(spark, root, schema, max_files=1)
     _finish(target.start(stream, f"{base}/checkpoint"))
     left = target.waiting(spark, schema).select("source")

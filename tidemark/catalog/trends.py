@@ -359,6 +359,17 @@ def expire_trends(spark, sf):
         gone.select("trend_id", F.lit(False).alias("kept")))
 
 
+@query("expire_null_times", f"""WITH {TRENDS}, t AS (SELECT trend_id, CASE WHEN g % 3 <> 0 THEN ts END AS ts FROM trends)
+SELECT trend_id, coalesce(ts >= TIMESTAMP '{_CUT}' - INTERVAL 3 DAY, true) AS kept FROM t""")
+def expire_null_times(spark, sf):
+    """A third of the trends has no time of its last update: those stay."""
+    t = fx.trends(spark, sf)
+    g = F.element_at(F.split("trend_id", "-"), -1).cast("long")
+    kept, gone = store.expire(t.withColumn("last_updated", F.when(g % 3 != 0, F.col("last_updated"))), _CUT)
+    return kept.select("trend_id", F.lit(True).alias("kept")).unionByName(
+        gone.select("trend_id", F.lit(False).alias("kept")))
+
+
 @query("expire_events", f"""SELECT event_type, count(*) AS n FROM events
 WHERE ts >= TIMESTAMP '{_CUT}' - INTERVAL 3 DAY GROUP BY event_type""")
 def expire_events(spark, sf):

@@ -90,9 +90,36 @@ def mutual_reachability(spark, sf):
         "a", "b", F.round("weight", 6).alias("weight"))
 
 
-@query("spanning_tree")
+@query("cluster_nothing_left", "SELECT vec_id, CAST(-1 AS BIGINT) AS cluster_id FROM embeddings WHERE len(embedding) = 0")
+def cluster_nothing_left(spark, sf):
+    """A batch of which the filters have left no row: no cluster, no error."""
+    none = fx.unit_vectors(spark, sf).filter("size(embedding) = 0")
+    return clustering.cluster(none, ClusterConfig(), "vec_id").select("vec_id", "cluster_id")
+
+
+@query("rescue_all_noise", "SELECT vec_id, CAST(-1 AS BIGINT) AS cluster_id FROM embeddings")
+def rescue_all_noise(spark, sf):
+    """No cluster to rescue into: every row stays noise."""
+    rows = fx.unit_vectors(spark, sf).withColumn("cluster_id", F.lit(-1).cast("long"))
+    return clustering.rescue_noise(rows, 0.5, "vec_id").select("vec_id", "cluster_id")
+
+
+# Prim's way over all vectors: the lightest edge into the tree, by (weight, a, b), until all are in
+_TREE = f"""{_PAIRS.replace("p AS (", "p AS MATERIALIZED (", 1)},
+ n AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS pos FROM embeddings),
+ m AS (SELECT p.a, p.b, greatest(x.core, y.core, p.d) AS w FROM p JOIN core x ON x.a = p.a JOIN core y ON y.a = p.b
+   UNION ALL SELECT vec_id, vec_id, NULL FROM embeddings),
+ ws AS MATERIALIZED (SELECT n.pos, list({{'w': m.w, 'a': least(m.a, m.b), 'b': greatest(m.a, m.b)}} ORDER BY m.b) AS e
+   FROM m JOIN n ON n.vec_id = m.a GROUP BY n.pos),
+ prim AS (SELECT 1 AS step, [{{'m': e[j], 'j': j}} for j in range(2, len(e) + 1)] AS d FROM ws WHERE pos = 1
+   UNION ALL SELECT step + 1, [{{'m': CASE WHEN ws.e[x.j] < x.m THEN ws.e[x.j] ELSE x.m END, 'j': x.j}}
+     for x in prim.d if x.j <> ws.pos] FROM prim JOIN ws ON ws.pos = list_min(prim.d).j WHERE len(prim.d) > 1)"""
+
+
+@query("spanning_tree", f"""WITH RECURSIVE {_TREE}, t AS (SELECT list_min(d).m AS m FROM prim WHERE len(d) > 0)
+SELECT m.a AS a, m.b AS b, round(m.w, 6) AS weight FROM t""")
 def spanning_tree(spark, sf):
-    """Minimum spanning tree of the mutual-reachability graph; tested against brute force."""
+    """Minimum spanning tree of the mutual-reachability graph."""
     return clustering.spanning_tree(fx.unit_vectors(spark, sf), ClusterConfig(), "vec_id").select(
         "a", "b", F.round("weight", 6).alias("weight"))
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,7 +14,9 @@ from tidemark import schemas
 from tidemark.config import Settings
 from tidemark.operators import store
 from tidemark.operators.ordering import positions
+from tidemark.runtime import cut
 from tidemark.plans import detect
+from tidemark.sources import snapshots
 from tidemark.streaming.intake import HoldBack
 
 
@@ -33,6 +35,8 @@ class DetectionRun:
     cfg: Settings = field(default_factory=Settings)
     embedder: Callable | None = None
     annotator: Callable[[str], str] | None = None
+    metrics_root: str | None = None  # where each run leaves its metrics
+    audit_root: str | None = None    # where each run leaves a copy of its items
 
     def trends(self, spark: SparkSession) -> DataFrame:
         table = store.load(spark, self.trend_root)
@@ -44,12 +48,25 @@ class DetectionRun:
         if table is not None and not table.filter(F.col("run") == run).isEmpty():
             return
         arrived = positions(batch, [F.col(c).asc() for c in self.order], "ingest_seq")
-        items = detect.from_payloads(arrived, self.payload, self.clock())
-        found = detect.detect(items, self.trends(spark), self.clock(), self.cfg, self.embedder,
-                              self.annotator)
+        now = self.clock()
+        # a message may be delivered again in a later batch of the same run: its first arrival counts
+        items = cut(first_arrivals(detect.from_payloads(arrived, self.payload, now)))
+        if self.audit_root is not None:
+            snapshots.try_write_snapshot(items, self.audit_root, run, now)
+        found = detect.detect(items, self.trends(spark), now, self.cfg, self.embedder, self.annotator)
+        if self.metrics_root is not None:
+            snapshots.write_run_metrics(detect.run_metrics(items, found, self.cfg), self.metrics_root, run)
         store.publish(found.stored.withColumn("run", F.lit(run)), self.trend_root)
 
 
+def first_arrivals(items: DataFrame) -> DataFrame:
+    """One row per source and content id, the one that came first; rows without an id all stay."""
+    order = Window.partitionBy("source", "content_id").orderBy("ingest_seq")
+    known = F.col("source").isNotNull() & F.col("content_id").isNotNull()
+    first = items.filter(known).withColumn("_rn", F.row_number().over(order)).filter("_rn = 1").drop("_rn")
+    return first.unionByName(items.filter(~known))
+
+
 def watch(stream: DataFrame, root: str, checkpoint: str, run: DetectionRun) -> StreamingQuery:
     """Process what is available: batches below the least size wait for the next call."""
     return HoldBack(root, run, run.cfg.min_batch).start(stream, checkpoint)

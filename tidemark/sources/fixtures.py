@@ -58,11 +58,13 @@ def unit_vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def trends(spark: SparkSession, sf: str, with_vectors: bool = False) -> DataFrame:
-    """All documents rolled up by (lang, doc_id % 50) and side; both sides hold every other 500 ids.
+    """All documents rolled up by language, group and side; both sides hold every other 500 ids.
 
-    Side ``s`` plays the stored trends, side ``n`` the new ones.
+    Each thousand ids has 50 groups of its own, so the number of trends grows with the table.  Side ``s``
+    plays the stored trends, side ``n`` the new ones.  The vectors are dealt round to the documents.
     """
-    items = content_items(spark, sf).withColumn("g", F.col("ingest_seq") % 50).withColumn(
+    seq = F.col("ingest_seq")
+    items = content_items(spark, sf).withColumn("g", F.floor(seq / 1000) * 50 + seq % 50).withColumn(
         "side", F.when(F.floor(F.col("ingest_seq") / 500) % 2 == 0, "s").otherwise("n"))
     items = items.withColumn("cluster_id", F.concat_ws("-", "side", "language", "g"))
     groups = items.groupBy("cluster_id", "language", "g", "side").agg(
@@ -97,7 +99,8 @@ def trends(spark: SparkSession, sf: str, with_vectors: bool = False) -> DataFram
         return out
     vectors = unit_vectors(spark, sf).select(
         F.col("vec_id").alias("v"), "embedding")
-    members = items.select("cluster_id", (F.col("ingest_seq") % 500).alias("v")).join(vectors, "v")
+    many = F.lit(max(1, vectors.count()))
+    members = items.select("cluster_id", (seq % many).alias("v")).join(vectors, "v")
     means = rollup.centroids(members).select(
         F.col("cluster_id").alias("trend_id"), F.col("centroid").alias("vector"))
     return out.join(means, "trend_id")

@@ -61,35 +61,36 @@ class HoldBack:
     """``foreachBatch`` target: land each micro-batch, process once enough rows are waiting.
 
     Layout below ``root``: ``landed/batch=<n>`` one folder a micro-batch, rewritten when the batch is
-    replayed, and ``taken`` a versioned table of the batches processed so far.  An exception from
-    ``process`` leaves both the stream's offsets and ``taken`` as they were, so the batch comes
-    again; ``process`` gets a run name that is the same on a replay and should write by it.
+    replayed, and ``taken`` a versioned table of one row, the last batch processed.  Batches come in
+    order and a run takes all that wait, so that number tells which ones wait; it is a literal filter on
+    the partition column, and what was taken is not read again.  An exception from ``process`` leaves
+    both the stream's offsets and ``taken`` as they were, so the batch comes again; ``process`` gets a
+    run name that is the same on a replay and should write by it.
     """
 
     def __init__(self, root: str, process: Callable[[DataFrame, str], None], min_rows: int = 40):
         self.root, self.process, self.min_rows = root, process, min_rows
 
+    def last_taken(self, spark: SparkSession) -> int:
+        taken = store.load(spark, f"{self.root}/taken")
+        return -1 if taken is None else taken.first()["batch"]
+
     def waiting(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
         landed = spark.read.schema(
             T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
         ).option("basePath", f"{self.root}/landed").parquet(f"{self.root}/landed")
-        taken = store.load(spark, f"{self.root}/taken")
-        return landed if taken is None else landed.join(taken, "batch", "left_anti")
+        return landed.filter(F.col("batch") > self.last_taken(spark))
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        df.write.mode("overwrite").parquet(f"{self.root}/landed/batch={batch_id}")
-        done = store.load(spark, f"{self.root}/taken")
-        if done is not None and not done.filter(F.col("batch") == batch_id).isEmpty():
+        if batch_id <= self.last_taken(spark):
             return  # replay of a batch that was processed completely
+        df.write.mode("overwrite").parquet(f"{self.root}/landed/batch={batch_id}")
         waiting = self.waiting(spark, df.schema)
         if not gate(waiting, self.min_rows):
             return
         self.process(waiting.drop("batch"), f"run-{batch_id}")
-        finished = waiting.select("batch").distinct()
-        if done is not None:
-            finished = done.unionByName(finished)
-        store.publish(finished.coalesce(1), f"{self.root}/taken")
+        store.publish(spark.createDataFrame([(batch_id,)], "batch long"), f"{self.root}/taken")
 
     def start(self, stream: DataFrame, checkpoint: str) -> StreamingQuery:
         """Read everything available, then stop.  A new checkpoint folder starts from the earliest."""
