@@ -374,6 +374,20 @@ def snapshot_replay(spark, sf):
     return back.select("content_id", F.md5("text").alias("text_md5"), "views")
 
 
+@query("snapshot_array_files", f"WITH {ITEMS} SELECT content_id, md5(text) AS text_md5, views FROM items")
+def snapshot_array_files(spark, sf):
+    """Pretty-printed JSON array files, as collectors dump them: two hundred rows a file."""
+    root = scratch_path(spark, "arrays")
+    items = fx.content_items(spark, sf).select("content_id", "text", "views", "ingest_seq")
+    row = F.to_json(F.struct("content_id", "text", "views"), {"pretty": "true"})
+    files = items.withColumn("file", F.floor(F.col("ingest_seq") / 200)).groupBy("file").agg(
+        F.concat(F.lit("[\n"), F.array_join(F.collect_list(row), ",\n"), F.lit("\n]")).alias("value"))
+    files.repartition("file").write.partitionBy("file").text(root)
+    schema = items.drop("ingest_seq").schema
+    back = snapshots.read_snapshots(spark, f"{root}/*/*.txt", schema)
+    return back.select("content_id", F.md5("text").alias("text_md5"), "views")
+
+
 _AGGREGATE = """WITH e AS (SELECT CAST(doc_id // 2 AS VARCHAR) AS id, doc_id FROM documents WHERE lang = 'en'),
  n AS (SELECT CASE WHEN doc_id % 9 = 0 THEN '' ELSE CAST(doc_id // 3 AS VARCHAR) END AS id, doc_id FROM documents WHERE lang <> 'en'),
  fresh AS (SELECT id, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY doc_id) AS rn FROM n WHERE id <> '')

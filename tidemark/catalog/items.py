@@ -63,9 +63,9 @@ def engagement_flags(spark, sf):
         eng.is_viral(F.col("shares"), F.col("views")).alias("is_viral"))
 
 
-# every run of five words of every benchmark text, so that few documents hold one
-_KEYWORD_SQL = """bw AS (SELECT string_split(text, ' ') AS w FROM benchmark),
- words AS (SELECT DISTINCT lower(unnest([array_to_string(w[i:i+4], ' ') for i in range(1, len(w) - 3)])) AS k FROM bw)"""
+# the longest word of every benchmark text, so that few documents hold one
+_KEYWORD_SQL = """words AS (
+ SELECT DISTINCT lower(list_min([{'n': -length(x), 'x': x} for x in string_split(text, ' ')]).x) AS k FROM benchmark)"""
 
 
 @query("keyword_match", f"""WITH {_KEYWORD_SQL}
@@ -80,14 +80,12 @@ SELECT doc_id, md5(text) AS text_md5 FROM documents d
 WHERE EXISTS (SELECT 1 FROM words WHERE contains(lower(lang || ' ' || text), k))""")
 def keyword_match_long_list(spark, sf):
     """A list of more than one part."""
-    return _keyword_match(spark, sf, 1 << 13)
+    return _keyword_match(spark, sf, 1 << 11)
 
 
 def _keyword_match(spark, sf, bound):
-    words = fx.table(spark, sf, "benchmark").withColumn("w", F.split("text", " ")).select(F.explode(
-        F.when(F.size("w") >= 5, F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - 4)),
-                                             lambda i: F.array_join(F.slice("w", i, 5), " "))))
-        .alias("keyword"))
+    words = fx.table(spark, sf, "benchmark").select(F.array_min(F.transform(
+        F.split("text", " "), lambda x: F.struct((-F.length(x)).alias("n"), x.alias("x"))))["x"].alias("keyword"))
     docs = fx.table(spark, sf, "documents", heavy=True).select(
         "doc_id", F.col("lang").alias("title"), F.col("text").alias("summary"))
     return quality.match_keywords(docs, words, part_bytes=bound).select(

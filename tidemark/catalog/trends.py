@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.catalog.base import ITEMS, MEMBERS, NOW, SCORED, TRENDS, VECTORS, joined, query, stamp
@@ -173,6 +174,26 @@ def run_metrics_files(spark, sf):
         F.col("stages")["ClusteringStage"]["cluster_count"].alias("clusters"))
 
 
+@query("run_metrics_objects", f"""WITH {_RUNS_SQL}, t AS (SELECT channel, count(*) AS n FROM items GROUP BY channel)
+SELECT t.channel AS batch, n AS items, (SELECT count(*) FROM lang_sizes l WHERE l.channel = t.channel) AS clusters,
+ row_number() OVER (ORDER BY channel) AS place FROM t""")
+def run_metrics_objects(spark, sf):
+    """One pretty-printed object a file, read in the order of the file names."""
+    from tidemark.runtime import scratch_path
+    from tidemark.sources import snapshots
+
+    root = scratch_path(spark, "objects")
+    runs = run_records(spark, sf).select(F.col("timestamp").alias("batch_id"), F.to_json(
+        F.struct("*"), {"pretty": "true"}).alias("value"))
+    runs.repartition("batch_id").write.partitionBy("batch_id").text(root)
+    back = snapshots.read_run_metrics(spark, root)
+    place = F.row_number().over(Window.orderBy("file")).cast("long")  # a row a run
+    return back.select(
+        F.col("timestamp").alias("batch"),
+        F.col("stages")["NormalizationStage"]["input_count"].alias("items"),
+        F.col("stages")["ClusteringStage"]["cluster_count"].alias("clusters"), place.alias("place"))
+
+
 # ------------------------------------------------------------------ similarity and matching
 
 @query("set_overlap", f"""WITH {TRENDS}, p AS (SELECT n.trend_id AS new_id, s.trend_id AS old_id,
@@ -345,8 +366,14 @@ def upsert_trends(spark, sf):
 
 @query("append_trends", f"""WITH {TRENDS} SELECT trend_id, topic FROM trends""")
 def append_trends(spark, sf):
+    """Published, appended to as the next version, and read back."""
+    from tidemark.runtime import scratch_path
+
     t = fx.trends(spark, sf).select("trend_id", "topic", "side")
-    return store.append_trends(t.filter("side = 's'"), t.filter("side = 'n'")).drop("side")
+    root = scratch_path(spark, "appended")
+    for side in ("s", "n"):
+        store.append(t.filter(F.col("side") == side).drop("side"), root)
+    return store.load(spark, root)
 
 
 _CUT = "2024-01-25 00:00:00"

@@ -49,6 +49,12 @@ def append_trends(store: DataFrame, new: DataFrame) -> DataFrame:
     return store.unionByName(new, allowMissingColumns=True)
 
 
+def append(new: DataFrame, root: str) -> int:
+    """Write the stored rows and the new ones as the next version."""
+    old = load(new.sparkSession, root)
+    return publish(new if old is None else append_trends(old, new), root)
+
+
 def upsert_trends(store: DataFrame, incoming: DataFrame, key: str = "trend_id") -> DataFrame:
     """Incoming rows replace stored rows of the same id, the others are added."""
     kept = store.join(incoming.select(key), key, "left_anti")

@@ -82,11 +82,11 @@ def write_run_metrics(df: DataFrame, root: str, batch_id: str) -> None:
 
 
 def read_run_metrics(spark: SparkSession, path: str, array_files: bool = True) -> DataFrame:
-    """All readable metrics files; a broken one becomes no row.  ``file`` gives the name order."""
+    """All readable metrics files, by name; a broken one becomes no row.  One record a run."""
     schema = T.StructType([*schemas.RUN_METRICS.fields, T.StructField("_bad", T.StringType())])
     return (
         spark.read.schema(schema).option("multiLine", array_files).option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_bad").option("recursiveFileLookup", True).json(path)
         .withColumn("file", F.col("_metadata.file_path"))
-        .filter(F.col("_bad").isNull() & F.col("stages").isNotNull()).drop("_bad")
+        .filter(F.col("_bad").isNull() & F.col("stages").isNotNull()).drop("_bad").orderBy("file")
     )
