@@ -148,7 +148,7 @@ def search(vectors: DataFrame, is_query: Column, k: int, key: str = "vec_id",
     met = (queries.select("block", F.col("n").alias("qn"), F.col("ids").alias("qids"),
                           F.col("data").alias("qdata"))
            .withColumn("block", F.explode(F.lit(numbers).cast("array<bigint>")))
-           .join(blocks, "block"))
+           .join(blocks.hint("merge"), "block"))  # sizes are not known before the queries are dealt out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[int | None, Lists | None] = (None, None)
