@@ -70,8 +70,8 @@ def plain_groups(nodes, linked):
     return {n: find(n) for n in nodes}
 
 
-@pytest.mark.parametrize("bucket_rows", [2, 2048])
-def test_near_copies(spark, bucket_rows):
+@pytest.mark.parametrize("bucket_rows, agree", [(2, 2), (2048, 2), (2048, 3)])
+def test_near_copies(spark, bucket_rows, agree):
     rng = random.Random(4)
     words = ["Wort", "été", "the", "a", "of", "x1", "x2", "x3", " ", "Über"]
     texts = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 120))) for _ in range(60)]
@@ -87,7 +87,7 @@ def test_near_copies(spark, bucket_rows):
     near = [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 3]
     groups = plain_groups(prints, near)
     by_print = {prints[i]: groups[i] for i in prints}
-    got = simhash.group(df, bucket_rows=bucket_rows).collect()
+    got = simhash.group(df, bucket_rows=bucket_rows, agree=agree).collect()
     assert len(got) == len(rows)
     for r in got:
         fp = r.fp % (1 << 64)

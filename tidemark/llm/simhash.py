@@ -3,8 +3,8 @@
 A fingerprint bit is 1 if it is set in over half of the hashes of the text's word shingles.  Fingerprints of
 at most ``radius`` differing bits are linked; links and their chains make the components.
 
-Equal fingerprints become one row.  The 64 bits are cut into ``radius + 2`` blocks; two fingerprints within
-the radius agree in at least two of them, so each pair of blocks is a table whose buckets hold all links.
+Equal fingerprints become one row.  The 64 bits are cut into ``radius + agree`` blocks; two fingerprints within
+the radius agree in at least ``agree`` of them, so each choice of so many is a table, and its buckets hold all links.
 Rows alone in their bucket go.  Buckets beyond ``BUCKET_ROWS`` are cut into chunks and each two chunks meet in
 one task, so no task holds more than two chunks, whatever the bucket's size, and no link is lost.
 
@@ -35,6 +35,8 @@ SHINGLE, RADIUS, SEED = 3, 3, 42
 BUCKET_ROWS, TOGETHER = 2048, 1024
 #: For dropping copies: bits that may differ, and the least similarity of shingles of so many words.
 COPY_RADIUS, COPY_SIMILARITY, COPY_SHINGLE = 5, 0.8, 5
+#: Blocks that must agree in a table: more make more tables with smaller buckets (10 of 25 bits; 56 of 24).
+AGREE, COPY_AGREE = 2, 3
 #: Planes that are added before full words are looked for.
 PLANES_A_STEP = 8
 
@@ -138,27 +140,30 @@ def stars(near: np.ndarray) -> Iterator[tuple[int, int]]:
                 yield root, member
 
 
-def _buckets(fp: Column, radius: int) -> Column:
-    """The buckets of a fingerprint, one for each two of ``radius + 2`` blocks of bits."""
-    count = radius + 2
+def _buckets(fp: Column, radius: int, agree: int) -> Column:
+    """The buckets of a fingerprint, one for each ``agree`` of ``radius + agree`` blocks of bits."""
+    count = radius + agree
     cuts = [round(64 * i / count) for i in range(count + 1)]
     blocks = [F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << (b - a)) - 1))
               for a, b in zip(cuts, cuts[1:])]
     out = []
-    for t, (i, j) in enumerate(combinations(range(count), 2)):
-        bits = F.shiftleft(blocks[i], cuts[j + 1] - cuts[j]).bitwiseOR(blocks[j])
+    for t, chosen in enumerate(combinations(range(count), agree)):
+        bits = F.lit(0).cast("long")
+        for i in chosen:
+            bits = F.shiftleft(bits, cuts[i + 1] - cuts[i]).bitwiseOR(blocks[i])
         out.append(bits.bitwiseOR(F.lit(t << 48)))
     return F.array(*out)
 
 
-def links(prints: DataFrame, radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def links(prints: DataFrame, radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS,
+          agree: int = AGREE) -> DataFrame:
     """``a, b``: a spanning set of the links between different fingerprints.
 
     ``prints`` has ``fp`` (distinct) and ``id``; the links name ids.
     """
-    # blocks of two must fit under the table number in 48 bits; beyond that radius there is one bucket
-    keyed = (prints.withColumn("bucket", F.explode(_buckets(F.col("fp"), radius))) if radius < 62
-             else prints.withColumn("bucket", F.lit(0).cast("long")))
+    # without a bit for each block there is one bucket
+    keyed = (prints.withColumn("bucket", F.explode(_buckets(F.col("fp"), radius, agree)))
+             if radius + agree <= 64 else prints.withColumn("bucket", F.lit(0).cast("long")))
     crowded = cut(keyed.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"))
     chunks = F.ceil(F.col("n") / bucket_rows)
     met = (keyed.join(crowded, "bucket").withColumn("chunks", chunks)
@@ -201,12 +206,12 @@ def links(prints: DataFrame, radius: int = RADIUS, bucket_rows: int = BUCKET_ROW
 
 
 def group(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE,
-          radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+          radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS, agree: int = AGREE) -> DataFrame:
     """``key``, ``fp`` and ``component_id`` (the smallest key that links reach), a row per document."""
     prints = cut(fingerprints(docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("body")),
                               "body", shingle, False))
     distinct = cut(prints.groupBy("fp").agg(F.min("id").alias("id")))
-    found = components(links(distinct.filter(F.col("id").isNotNull()), radius, bucket_rows))
+    found = components(links(distinct.filter(F.col("id").isNotNull()), radius, bucket_rows, agree))
     of_print = cut(distinct.join(found, distinct["id"] == found["node"], "left")
                    .select("fp", F.coalesce("component", "id").alias("component_id")))
     return prints.join(of_print, "fp").select(F.col("id").alias(key), "fp", "component_id")
@@ -231,7 +236,7 @@ def copies(docs: DataFrame, text: str = "text", key: str = "doc_id", radius: int
     similarity with the group's smallest key is ``least`` or more, so none goes without one like it that
     stays.  Rows of one key are one document.
     """
-    grouped = group(docs, text, key, radius=radius)
+    grouped = group(docs, text, key, radius=radius, agree=COPY_AGREE)
     pairs = cut(grouped.filter(F.col(key) != F.col("component_id"))
                 .select(F.col(key).alias("id"), F.col("component_id").alias("first")).distinct())
     wanted = cut(pairs.select("id").union(pairs.select("first")).distinct())
