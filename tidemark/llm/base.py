@@ -68,26 +68,49 @@ def add_columns(df: DataFrame, source: str, ddl: str,
     return df.select(*columns, F.col(source).cast("binary").alias("_source")).mapInArrow(run, schema)
 
 
+#: Matches that are walked together; their places are then moved by what stands before.
+TOGETHER = 128
+
+
 def located(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches as ``array<struct<start int, end int, value string>>``.
 
     Code points, end exclusive.  The parts between matches give the places, so only built-in
-    functions run.  Texts without a match skip both passes.
+    functions run.  Texts without a match skip both passes.  An array that grows by an element is
+    copied each time, so the matches are walked in stretches of bounded length.
     """
-    empty = F.expr("cast(array() as array<struct<start:int,end:int,value:string>>)")
+    kind = "array<struct<start:int,end:int,value:string>>"
+    empty, nested = F.expr(f"cast(array() as {kind})"), F.expr(f"cast(array() as array<{kind}>)")
     parts = F.arrays_zip(
         F.split(text, pattern, -1).alias("gap"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"))
 
+    def span(start: Column, end: Column, value: Column) -> Column:
+        return F.struct(start.alias("start"), end.alias("end"), value.alias("value"))
+
     def step(acc: Column, part: Column) -> Column:
         start = acc["pos"] + F.length(part["gap"])
         end = start + F.coalesce(F.length(part["hit"]), F.lit(0))
-        span = F.struct(start.alias("start"), end.alias("end"), part["hit"].alias("value"))
-        out = F.when(part["hit"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(span)))
+        out = F.when(part["hit"].isNull(), acc["out"]).otherwise(
+            F.concat(acc["out"], F.array(span(start, end, part["hit"]))))
         return F.struct(end.alias("pos"), out.alias("out"))
 
-    zero = F.struct(F.lit(0).alias("pos"), empty.alias("out"))
-    walked = F.aggregate(parts, zero, step, lambda acc: acc["out"])
+    def join(acc: Column, stretch: Column) -> Column:
+        moved = F.transform(stretch["out"], lambda s: span(
+            acc["pos"] + s["start"], acc["pos"] + s["end"], s["value"]))
+        return F.struct((acc["pos"] + stretch["pos"]).alias("pos"),
+                        F.concat(acc["out"], F.array(moved)).alias("out"))
+
+    def walk(found: Column) -> Column:
+        last = F.floor((F.size(found) - 1) / TOGETHER).cast("int")
+        stretches = F.transform(F.sequence(F.lit(0), last), lambda i: F.aggregate(
+            F.slice(found, i * TOGETHER + 1, F.lit(TOGETHER)),
+            F.struct(F.lit(0).alias("pos"), empty.alias("out")), step))
+        return F.aggregate(stretches, F.struct(F.lit(0).alias("pos"), nested.alias("out")), join,
+                           lambda acc: F.flatten(acc["out"]))
+
+    # the one-element array binds the parts once
+    walked = F.flatten(F.transform(F.array(parts), walk))
     return F.when(text.rlike(pattern), walked).otherwise(empty)
 
 
