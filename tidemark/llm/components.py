@@ -26,7 +26,7 @@ def _contract(pairs: DataFrame, keep: str) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``node, component`` for each node of ``links`` (a, b: long): the smallest id it can reach.
+    """``node, component`` for each node of ``links`` (a, b: long, or structs that start with one): the smallest it can reach.
 
     Links may repeat, run either way or from a node to itself; nodes without a link to another are not
     returned.  Every round is written to the shared folder, so a lost executor costs one round's tasks.
