@@ -88,3 +88,18 @@ def test_monotone_map():
     steps, values = toxicity.monotone(np.array([0.1, 0.2, 0.2, 0.5, 0.9]), np.array([0, 1, 0, 0, 1]))
     assert steps.tolist() == [0.1, 0.2, 0.5, 0.9] and values[1] == values[2] and (np.diff(values) >= 0).all()
     assert math.isclose(values[0], 0.4 / 2)
+
+
+def test_every_feature_that_passes_is_kept(spark):
+    rng = random.Random(12)
+    bad = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(11)) for _ in range(120)]
+    docs, labels = [], []
+    for i in range(4000):
+        toxic = i % 5 == 0
+        text = [f"{rng.randrange(300)}" for _ in range(12)] + (rng.sample(bad, 4) if toxic else [])
+        docs.append((i, " ".join(text)))
+        labels.append((i, int(toxic)))
+    index = toxicity.fit(spark.createDataFrame(docs, "doc_id long, text string"),
+                         spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert index.terms.count > 600
+    assert [w for w, (t, _) in zip(bad, index.vectors([w.encode() for w in bad])) if not len(t)] == []

@@ -4,10 +4,9 @@ Features of a text are its words and the beginnings of its words, and that one o
 two, three or five times.  ``fit`` takes a bounded sample of the
 labelled rows, keeps the features that tell the labels apart (chi-squared beyond what chance gives for that many
 features), and weighs them by TF-IDF with document frequencies over all documents.  The examples' vectors stand
-in an inverted index whose postings are cut into blocks, each with the highest weight of every feature.
+in an inverted index.
 
-``score`` finds the exact nearest examples by cosine: blocks are taken by their upper bound until none
-can hold a nearer one.  Their votes, weighted by similarity, are turned into a probability by a monotone
+``score`` finds the exact nearest examples by cosine from the whole postings of a text's features.  Their votes, weighted by similarity, are turned into a probability by a monotone
 map that was fitted to the examples' votes without themselves, and returned with the examples as evidence.
 
 A null or empty text has no feature and gets the rate of such examples.  Labels that are null or name no
@@ -28,13 +27,13 @@ from pyspark.sql import functions as F
 from tidemark.llm.base import add_columns, cut, slices
 from tidemark.llm.words import PLAIN, hashes, joined, spans
 
-#: Bounds of what is learned: labelled rows that are examples, and features kept.
-SAMPLE_ROWS, FEATURES = 20_000, 512
+#: Bound of what is learned: labelled rows that are examples.  It bounds the features that pass, too.
+SAMPLE_ROWS = 20_000
 #: Lengths in bytes of the word beginnings that are features.
 BEGINNINGS = (4, 5, 6, 7, 8, 9, 10)
 #: How often a feature must occur to count as the feature of that level too.
 LEVELS = np.array([1, 2, 3, 5])
-NEAREST, BLOCK, PRIOR_WEIGHT = 15, 64, 0.5
+NEAREST, PRIOR_WEIGHT = 15, 0.5
 THRESHOLD = 0.7
 
 
@@ -86,16 +85,15 @@ def terms_of(picked: list[tuple[int, int]]) -> Terms:
 
 
 class Index(NamedTuple):
-    """Examples in blocks, postings by feature and block, and the highest weight of each."""
+    """Examples, and the postings of each feature."""
 
     terms: Terms
     idf: np.ndarray
     ids: np.ndarray        # document of each example
     toxic: np.ndarray      # its label
-    offsets: np.ndarray    # of feature t in block b: postings offsets[t, b] to offsets[t, b + 1]
+    offsets: np.ndarray    # of feature t: postings offsets[t] to offsets[t + 1]
     members: np.ndarray    # example of each posting
     weights: np.ndarray
-    highest: np.ndarray    # of feature t in block b
     prior: float
     steps: np.ndarray      # the monotone map: knots and their values
     values: np.ndarray
@@ -113,27 +111,19 @@ class Index(NamedTuple):
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, but: int | None = None):
         """Numbers and similarities of the ``k`` nearest examples, by similarity then number."""
-        bounds = weights @ self.highest[terms] if len(terms) else np.zeros(0)
-        order = np.argsort(-bounds, kind="stable")
-        best_n, best_s = np.zeros(0, dtype=np.int64), np.zeros(0)
-        for block in order:
-            if bounds[block] <= 0 or len(best_s) >= k and bounds[block] < best_s[k - 1] - 1e-9:
-                break
-            first = block * BLOCK
-            scores = np.zeros(min(BLOCK, len(self.ids) - first))
-            for t, w in zip(terms, weights):
-                a, b = self.offsets[t, block], self.offsets[t, block + 1]
-                scores[self.members[a:b] - first] += w * self.weights[a:b]
-            scores = np.round(scores, 9)
-            met = np.flatnonzero(scores > 0)
-            numbers = met + first
-            if but is not None:
-                met, numbers = met[self.ids[numbers] != but], numbers[self.ids[numbers] != but]
-            best_n = np.concatenate([best_n, numbers])
-            best_s = np.concatenate([best_s, scores[met]])
-            rank = np.lexsort((best_n, -best_s))[:k]
-            best_n, best_s = best_n[rank], best_s[rank]
-        return best_n, best_s
+        if not len(terms):
+            return np.zeros(0, dtype=np.int64), np.zeros(0)
+        lists = [slice(a, b) for a, b in zip(self.offsets[terms], self.offsets[terms + 1])]
+        scores = np.round(np.bincount(
+            np.concatenate([self.members[x] for x in lists]),
+            np.concatenate([w * self.weights[x] for x, w in zip(lists, weights)]), len(self.ids)), 9)
+        if but is not None:
+            scores[self.ids == but] = 0
+        met = np.flatnonzero(scores > 0)
+        if len(met) > k:
+            met = met[scores[met] >= np.partition(scores[met], len(met) - k)[len(met) - k]]
+        rank = met[np.lexsort((met, -scores[met]))[:k]]
+        return rank, scores[rank]
 
     def vote(self, numbers: np.ndarray, similarities: np.ndarray) -> float:
         held = float(similarities @ self.toxic[numbers]) if len(numbers) else 0.0
@@ -206,8 +196,7 @@ def _sums(df: DataFrame, text: str, label: str | None, terms: Terms | None) -> D
             .groupBy("term", "level").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
-        most_features: int = FEATURES) -> Index:
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Index:
     """The index of a bounded sample of the labels whose crc32(doc_id) mod 3 is not 1."""
     spark = docs.sparkSession
     key = F.col("doc_id").cast("string")
@@ -227,7 +216,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
         chi = F.try_divide(total * F.pow(a * d - b * c, 2), (a + b) * (c + d) * positive * (total - positive))
         chance = 2.0 * math.log(20.0 * max(2, seen.count()))
         best = (seen.withColumn("chi", chi).filter((F.col("chi") > chance) & (a * d > b * c))
-                .orderBy(F.desc("chi"), "term", "level").limit(most_features).select("term", "level").collect())
+                .orderBy(F.desc("chi"), "term", "level").select("term", "level").collect())
         terms = terms_of([(r.term, r.level) for r in best])
     documents = docs.count() if terms.count else 0
     everywhere = np.zeros(terms.count)
@@ -235,7 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
         for r in _sums(docs, "text", None, terms).collect():  # a row a term
             everywhere[r.term] = r.n
     idf = np.log((1.0 + documents) / (1.0 + everywhere)) + 1.0
-    bare = Index(terms, idf, *(np.zeros(0),) * 2, *(np.zeros(0),) * 4, 0.0, np.zeros(0), np.zeros(0))
+    bare = Index(terms, idf, *(np.zeros(0),) * 5, 0.0, np.zeros(0), np.zeros(0))
     shared = spark.sparkContext.broadcast(bare)
 
     def vectors(batches):
@@ -249,8 +238,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
     rows = sample.select("_text", F.col("doc_id").cast("long").alias("doc_id"),
                          F.col("_toxic").alias("toxic")).mapInArrow(
         vectors, "doc_id long, toxic int, terms array<int>, weights array<double>").collect()
-    # examples of like features stand together, so that the bounds of their blocks are tight
-    rows.sort(key=lambda r: (max(zip(r.weights, r.terms), default=(0.0, -1))[1], r.doc_id))
+    rows.sort(key=lambda r: r.doc_id)
     index = _index(terms, idf, rows)
     votes = np.array([index.vote(*index.nearest(np.array(r.terms, dtype=np.int64), np.array(r.weights),
                                                 NEAREST, r.doc_id)) for r in rows])
@@ -263,21 +251,12 @@ def _index(terms: Terms, idf: np.ndarray, rows: list) -> Index:
     member = np.repeat(np.arange(len(rows)), count)
     term = np.array([t for r in rows for t in r.terms], dtype=np.int64)
     weight = np.array([w for r in rows for w in r.weights])
-    blocks = -(-len(rows) // BLOCK)
     order = np.lexsort((member, term))
     member, term, weight = member[order], term[order], weight[order]
-    cell = term * max(1, blocks) + member // BLOCK
-    offsets = np.searchsorted(cell, np.arange(terms.count * blocks + 1)).astype(np.int32)
-    highest = np.zeros(terms.count * blocks)
-    np.maximum.at(highest, cell, weight)
-    grid = np.zeros((terms.count, blocks + 1), dtype=np.int32)
-    if blocks:
-        grid[:, :-1] = offsets[:-1].reshape(terms.count, blocks)
-        grid[:, -1] = offsets[blocks::blocks]
     toxic = np.array([r.toxic for r in rows], dtype=np.float64)
-    return Index(terms, idf, np.array([r.doc_id for r in rows], dtype=np.int64), toxic, grid, member, weight,
-                 highest.reshape(terms.count, blocks), float(toxic.mean()) if len(rows) else 0.0,
-                 np.zeros(0), np.zeros(0))
+    return Index(terms, idf, np.array([r.doc_id for r in rows], dtype=np.int64), toxic,
+                 np.searchsorted(term, np.arange(terms.count + 1)), member, weight,
+                 float(toxic.mean()) if len(rows) else 0.0, np.zeros(0), np.zeros(0))
 
 
 def score(docs: DataFrame, index: Index, text: str = "text", keep_text: bool = True) -> DataFrame:
