@@ -103,3 +103,10 @@ def test_every_feature_that_passes_is_kept(spark):
                          spark.createDataFrame(labels, "doc_id long, toxic int"))
     assert index.terms.count > 600
     assert [w for w, (t, _) in zip(bad, index.vectors([w.encode() for w in bad])) if not len(t)] == []
+
+
+def test_sample_places_are_documents(spark):
+    docs, labels = frames(spark, 300)
+    many = labels.select("doc_id", "toxic").union(spark.range(10_000, 30_000).selectExpr("id", "1"))
+    index = toxicity.fit(docs.union(docs.filter("doc_id < 20")), many, 150)
+    assert len(index.ids) == len(set(index.ids.tolist())) == 150

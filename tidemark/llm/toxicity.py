@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.base import add_columns, cut, slices
 from tidemark.llm.words import PLAIN, hashes, joined, spans
 
-#: Bound of what is learned: labelled rows that are examples.  It bounds the features that pass, too.
+#: Bound of what is learned: labelled documents that are examples.  It bounds the features that pass, too.
 SAMPLE_ROWS = 20_000
 #: Lengths in bytes of the word beginnings that are features.
 BEGINNINGS = (4, 5, 6, 7, 8, 9, 10)
@@ -197,15 +197,20 @@ def _sums(df: DataFrame, text: str, label: str | None, terms: Terms | None) -> D
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Index:
-    """The index of a bounded sample of the labels whose crc32(doc_id) mod 3 is not 1."""
+    """The index of a bounded sample of the labelled documents whose crc32(doc_id) mod 3 is not 1.
+
+    Of rows that share an id the least text is the example.
+    """
     spark = docs.sparkSession
     key = F.col("doc_id").cast("string")
     told = (labels.filter(F.col("toxic").isNotNull() & (F.crc32(key) % 3 != 1))
             .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("_toxic"))
+            .join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
     # at most sample_rows pairs of numbers
     sample = cut(docs.select("doc_id", F.col("text").cast("binary").alias("_text"))
-                 .join(F.broadcast(told), "doc_id"))
+                 .join(F.broadcast(told), "doc_id")
+                 .groupBy("doc_id").agg(F.min("_text").alias("_text"), F.first("_toxic").alias("_toxic")))
     total, positive = sample.agg(F.count("*"), F.sum("_toxic")).first()
     positive = int(positive or 0)
     terms = terms_of([])
