@@ -1,11 +1,11 @@
-"""Near copies by similarity of shingles against brute force over all pairs."""
+"""Dropping copies: one document of each component of fingerprints stays, against brute force over all pairs."""
 
 import random
 
 import pytest
 
 from tidemark.llm import simhash
-from tests.llm.test_text import plain_groups
+from tests.llm.test_text import plain_groups, plain_print
 
 POOL = [f"wort{i}" for i in range(900)]
 
@@ -18,51 +18,60 @@ def edited(rng, text, share):
 
 
 def plain(docs):
-    """The (id, text) rows that stay: all pairs are compared, links make components, the smallest stays."""
-    nodes = {d: n for n, d in enumerate(sorted({(i, t or "") for i, t in docs if i is not None}))}
-    sets = [simhash._shingles(t.encode(), simhash.COPY_SHINGLE) for _, t in nodes]
-    near = [(a, b) for a in range(len(sets)) for b in range(a)
-            if len(sets[a] & sets[b]) >= simhash.COPY_SIMILARITY * len(sets[a] | sets[b])]
-    groups = plain_groups({n: n for n in range(len(sets))}, [(b, a) for a, b in near])
-    return [(i, t) for i, t in docs if i is None or groups[nodes[(i, t or "")]] == nodes[(i, t or "")]]
-
-
-def check(spark, docs):
-    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
-    got = [tuple(r) for r in simhash.keep_first(frame).collect()]
-    want = plain(docs)
-    assert sorted(map(repr, got)) == sorted(map(repr, want))
-    return want
+    """The (id, text) rows that stay: all pairs are compared, links make components, the smallest (id, digest) stays."""
+    import hashlib
+
+    prints = {t: plain_print(t, 3) for _, t in docs}
+    nodes = sorted({prints[t] for i, t in docs if i is not None})
+    near = [(a, b) for a in nodes for b in nodes if a < b and (a ^ b).bit_count() <= simhash.RADIUS]
+    root = plain_groups(nodes, near)
+    least, first = {}, {}
+    for i, t in docs:
+        if i is not None:
+            r, digest = root[prints[t]], hashlib.sha256((t or "").encode()).digest()
+            least[r] = min(i, least.get(r, i))
+            at = (prints[t], i)
+            first[at] = min(digest, first.get(at, digest))
+    return [(i, t) for i, t in docs if i is None or (
+        least[root[prints[t]]] == i and first[prints[t], i] == hashlib.sha256((t or "").encode()).digest())]
 
 
 def words(rng, n):
     return " ".join(rng.choice(POOL) for _ in range(n))
 
 
-def test_links_not_first_documents(spark):
-    # the smallest ids are edits of bases that come later, equal texts stand below 0.8 to them; chains; one id twice
+@pytest.fixture(scope="module")
+def docs():
     rng = random.Random(3)
-    docs = []
+    out = []
     for g in range(12):
         base = words(rng, 250)
-        docs += [(100 * g + i, edited(rng, base, 0.012)) for i in range(9)]
-        docs += [(100 * g + 50, base), (100 * g + 60, base), (100 * g + 61, docs[-1][1])]
-        chain = words(rng, 250)
-        for i in range(70, 76):
-            docs.append((100 * g + i, chain))
-            chain = edited(rng, chain, 0.012)
-    docs += [(5000, words(rng, 40)), (5000, words(rng, 40)), (5000, docs[0][1]), (None, docs[0][1]),
-             (5001, None), (5002, ""), (5003, " \n"), (0, docs[0][1]), (5004, "zwei worte"), (5005, "Zwei  Worte")]
-    kept = check(spark, docs)
-    assert sum(i == 5000 for i, _ in kept) == 2 and len(kept) < 12 * 18 / 4
-    assert simhash.keep_first(spark.createDataFrame(docs, "doc_id long, text string").limit(0)).count() == 0
-
-
-@pytest.mark.parametrize("chunk_bytes", [2000, simhash.CHUNK_BYTES])
-def test_chunks_lose_no_link(spark, chunk_bytes):
-    rng = random.Random(5)
-    base = words(rng, 120)
-    docs = [(i, edited(rng, base, rng.uniform(0.005, 0.03))) for i in range(40)]
-    frame = spark.createDataFrame(docs, "doc_id long, text string")
-    gone = {r.id for r in simhash.copies(frame, chunk_bytes=chunk_bytes).collect()}
-    assert gone == {i for i, _ in docs} - {i for i, _ in plain(docs)}
+        out += [(100 * g + i, edited(rng, base, 0.004)) for i in range(9)]
+        out += [(100 * g + 50, base), (100 * g + 60, base), (100 * g + 61, out[-1][1])]
+        chain = words(rng, 400)
+        for i in range(70, 80):
+            out.append((100 * g + i, chain))
+            chain = edited(rng, chain, 0.004)
+    return out + [(5000, words(rng, 40)), (5000, words(rng, 40)), (5000, out[0][1]), (None, out[0][1]), (5001, None), (5002, ""),
+                  (5003, " \n"), (0, out[0][1]), (5004, "zwei worte"), (5005, "Zwei  Worte"), (5004, "Zwei worte"),
+                  # one id in two components: neither drags the other along
+                  (3000, out[12][1] + " x"), (3000, words(rng, 90)), (3001, "lone text of its own")]
+
+
+def test_one_of_each_component_stays(spark, docs):
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = [tuple(r) for r in simhash.keep_first(frame).collect()]
+    want = plain(docs)
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+    assert len(want) < len(docs) / 2
+    assert simhash.keep_first(frame.limit(0)).count() == 0
+
+
+def test_columns_of_any_name_come_through(spark, docs):
+    names = ["id", "digest", "_digest", "row", "fp", "component_id", "body", "_source", "first"]
+    frame = spark.createDataFrame([(*d, *range(len(names))) for d in docs],
+                                  "doc_id long, text string, " + ", ".join(f"`{n}` int" for n in names))
+    got = simhash.keep_first(frame)
+    assert got.columns == frame.columns
+    rows = got.collect()
+    assert len(rows) == len(plain(docs)) and all(tuple(r)[2:] == tuple(range(len(names))) for r in rows)

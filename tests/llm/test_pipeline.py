@@ -7,9 +7,8 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tidemark.llm import simhash
+from tests.llm.test_copies import plain as copies
 from tests.llm.test_search import contaminated
-from tests.llm.test_text import plain_groups, plain_print
 
 
 def corpus():
@@ -25,7 +24,7 @@ def corpus():
             docs[i][1] += " grobian grobian vilain"
         labels.append((i, 1, int(bad)))
     docs[201][1] = docs[205][1] = docs[200][1]                          # exact copies
-    docs[202][1] = docs[200][1].replace(" ", "\n") + " oneword"         # near copy
+    docs[202][1] = docs[200][1].replace(" ", "\n").replace("w", "W")   # near copy
     docs[210][1] = text(20) + " " + passage + " " + text(20)            # contaminated
     docs[211][1] = text(900) + " " + passage                            # too little of it
     docs[220][1] = "mail a.b@example.com now " + text(30)
@@ -51,13 +50,8 @@ def folder(spark, tmp_path_factory):
 def test_pipeline(spark, folder):
     docs, _, items = corpus()
     kept = [d for d in docs if "grobian" not in (d[1] or "")]
-    # copies by fingerprints of every pair and by similarity with the first of the group
-    prints = {d[0]: plain_print(d[1], 3) for d in kept if d[0] is not None}
-    near = [(a, b) for a in prints for b in prints
-            if a < b and (prints[a] ^ prints[b]).bit_count() <= simhash.COPY_RADIUS]
-    groups, texts = plain_groups(prints, near), {d[0]: (d[1] or "").encode() for d in kept}
-    kept = [d for d in kept if d[0] is None or groups[d[0]] == d[0]
-            or simhash.similarity(texts[d[0]], texts[groups[d[0]]]) < simhash.COPY_SIMILARITY]
+    rows = {(d[0], d[1]) for d in kept} - set(copies([(d[0], d[1]) for d in kept]))
+    kept = [d for d in kept if (d[0], d[1]) not in rows]
     dirty = {(i, n) for i, n, *_, bad in contaminated([(d[0], d[1]) for d in kept], items) if bad}
     kept = [d for d in kept if (d[0], len((d[1] or "").split())) not in dirty]
     ids = [d[0] for d in kept]

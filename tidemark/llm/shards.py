@@ -100,6 +100,11 @@ def place(number: int, n: int, shards: int = SHARDS, key: str = KEY, rounds: int
             return number % shards, number // shards
 
 
+def _digest_of(text: Column) -> Column:
+    """128 bits, since sampled keys go to the driver for the ranges."""
+    return F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
+
+
 def _numbered(rows: DataFrame, order: list[Column]) -> tuple[DataFrame, int]:
     """(row, number) for a table of (row, ...), and how many there are."""
     order = [*order, F.monotonically_increasing_id()]
@@ -133,7 +138,7 @@ def assign(docs: DataFrame, shards: int = SHARDS, key: str = KEY, rounds: int =
     kept = [c for c in docs.columns if c.lower() not in ("row_number", "shard", "slot")]
     hashed = [F.col(f"`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{id_column}`").alias("id"),
-                       F.sha2(whole_text(f"`{text_column}`"), 256).alias("digest"), F.xxhash64(*hashed).alias("hash"))
+                       _digest_of(whole_text(f"`{text_column}`")).alias("digest"), F.xxhash64(*hashed).alias("hash"))
     dealt = _dealt(rows, [F.col("id"), F.col("digest"), F.col("hash")], shards, key, rounds)
     return dealt.select(*[F.col(f"row.`{c}`") for c in kept], F.col("number").alias("row_number"), "shard", "slot")
 
@@ -149,7 +154,7 @@ def report(docs: DataFrame, shards: int = SHARDS, key: str = KEY) -> DataFrame:
     text = whole_text()
     slim = F.struct("doc_id", (F.octet_length(text) + F.lit(ROW_BYTES)).cast("long").alias("size"),
                     F.crc32(text.cast("binary")).alias("text_crc32"))
-    rows = docs.select(slim.alias("row"), "doc_id", F.sha2(text, 256).alias("digest"))
+    rows = docs.select(slim.alias("row"), "doc_id", _digest_of(text).alias("digest"))
     dealt = _dealt(rows, [F.col("doc_id"), F.col("digest")], shards, key, ROUNDS)
     return dealt.select("row.*", F.lit("rows").alias("law"), "shard", "slot",
                         F.lit(None).cast("int").alias("grown_shard"), F.col("number").alias("row_number"))

@@ -15,11 +15,8 @@ abandoned.  Only a spanning star of the rows that belong together leaves the tas
 A null or empty text has fingerprint zero.  Rows without an id have a fingerprint and take the component of
 their equals, but no component comes from them.  Repeated rows come through.
 
-Dropping copies does not ask the fingerprints, which say little about a similarity of 0.8.  Equal texts become
-one; texts whose least shingle hashes agree in a whole band are candidates, and only pairs whose shingles are
-alike enough are links.  In each bucket the texts first meet one of them, by the same order in every bucket.
-Buckets that these links do not make one component are cut into chunks that meet two by two in a task, where all
-pairs of different components are compared by their shingle hashes, so no candidate pair stays undecided.
+Dropping copies calls the same components, with the same shingles and radius: of each, the document with the smallest
+id stays.
 """
 
 from __future__ import annotations
@@ -39,14 +36,6 @@ from tidemark.llm.components import components
 SHINGLE, RADIUS, SEED = 3, 3, 42
 #: Rows of a chunk of a large bucket, and rows of small buckets that are compared together.
 BUCKET_ROWS, TOGETHER = 2048, 1024
-#: For dropping copies: the least similarity of shingles of so many words.
-COPY_SIMILARITY, COPY_SHINGLE = 0.8, 5
-#: Bits within which the plain version in the tests links copies.
-COPY_RADIUS = 5
-#: Bands of least hashes, and hashes of a band: a pair of similarity 0.8 has no band in common once in 1.4e9.
-BANDS, BAND_HASHES = 40, 4
-#: Shingle hashes of a chunk of a bucket, two of which meet in a task.
-CHUNK_BYTES = 8 << 20
 #: Blocks that must agree in a table: more make more tables with smaller buckets (10 of 25 bits).
 AGREE = 2
 #: Planes that are added before full words are looked for.
@@ -222,194 +211,56 @@ def links(prints: DataFrame, radius: int = RADIUS, bucket_rows: int = BUCKET_ROW
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def _roots(prints: DataFrame, radius: int, bucket_rows: int, agree: int) -> DataFrame:
+    """``fp, component_id`` of each fingerprint, joined by fingerprints, not by ids, which may repeat."""
+    distinct = cut(prints.groupBy("fp").agg(F.min("id").alias("id")))
+    nodes = distinct.filter(F.col("id").isNotNull()).select("fp", F.col("fp").alias("id"))
+    found = cut(components(links(nodes, radius, bucket_rows, agree)))
+    rooted = distinct.join(found, distinct["fp"] == found["node"], "left").select(
+        "fp", "id", F.coalesce("component", "fp").alias("root"))
+    least = cut(rooted.groupBy("root").agg(F.min("id").alias("component_id")))
+    return cut(rooted.join(least, "root").select("fp", "component_id"))
+
+
 def group(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE,
           radius: int = RADIUS, bucket_rows: int = BUCKET_ROWS, agree: int = AGREE) -> DataFrame:
     """``key``, ``fp`` and ``component_id`` (the smallest key that links reach), a row per document."""
     prints = cut(fingerprints(docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("body")),
                               "body", shingle, False))
-    distinct = cut(prints.groupBy("fp").agg(F.min("id").alias("id")))
-    found = components(links(distinct.filter(F.col("id").isNotNull()), radius, bucket_rows, agree))
-    of_print = cut(distinct.join(found, distinct["id"] == found["node"], "left")
-                   .select("fp", F.coalesce("component", "id").alias("component_id")))
+    of_print = _roots(prints, radius, bucket_rows, agree)
     return prints.join(of_print, "fp").select(F.col("id").alias(key), "fp", "component_id")
 
 
-def _shingles(text: bytes, size: int) -> frozenset:
-    words = text.lower().split()
-    return frozenset(tuple(words[i:i + size]) for i in range(max(1, len(words) - size + 1)))
-
-
-def similarity(a: bytes | None, b: bytes | None, size: int = 5) -> float:
-    """Jaccard similarity of the sets of word shingles; a text of fewer words is one shingle."""
-    left, right = _shingles(a or b"", size), _shingles(b or b"", size)
-    return len(left & right) / len(left | right)
-
-
-_ODD, _TURN = (np.array([xxhash.xxh64_intdigest(b"%s%d" % (name, i), SEED) for i in range(BANDS * BAND_HASHES)],
-                        dtype=np.uint64) for name in (b"odd", b"turn"))
-_ODD |= np.uint64(1)
-#: Shingles whose hashes are turned at once.
-HASHED = 512
-
-
-def shingle_hashes(text: bytes | None, shingle: int = COPY_SHINGLE) -> np.ndarray:
-    """The hash of each shingle, and one for a text without words; A-Z are lowered."""
-    words = text.lower().split() if text else []
-    return np.array(_hashes(words, shingle) if words else [0], dtype="<u8")
-
-
-def bands(text: bytes | None, shingle: int = COPY_SHINGLE) -> np.ndarray:
-    """For each band the hash of its least shingle hashes under as many orders; A-Z are lowered."""
-    hashes = shingle_hashes(text, shingle)
-    least = np.full(len(_ODD), _ALL)
-    for i in range(0, len(hashes), HASHED):
-        turned = (hashes[i:i + HASHED, None] ^ _TURN) * _ODD
-        np.minimum(least, turned.min(axis=0), out=least)
-    least = least.reshape(BANDS, BAND_HASHES)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for j in range(BAND_HASHES):
-        key = (key ^ least[:, j]) * np.uint64(0xC2B2AE3D27D4EB4F)
-        key ^= key >> np.uint64(29)
-    return key
-
-
 def _content(text: str) -> Column:
     """A digest of the text, null read as empty."""
     whole = F.coalesce(F.col(text).cast("binary"), F.lit(bytearray()))
     return F.substring(F.unhex(F.sha2(whole, 256)), 1, 16)
 
 
-_NODE = "struct<id:long,digest:binary>"
-
-
-def _alike(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """The ``pairs`` (a, b) whose ``sets`` (node, hashes) have a similarity of ``least`` or more."""
-    left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("left"))
-    right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("right"))
-    met = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            alike = []
-            for a, b in zip(batch.column(2), batch.column(3)):
-                a, b = (np.frombuffer(x.as_buffer(), dtype="<u8") for x in (a, b))
-                common = len(np.intersect1d(a, b, assume_unique=True))
-                alike.append(common / (len(a) + len(b) - common) >= least)
-            yield batch.select(["a", "b"]).filter(pa.array(alike, pa.bool_()))
-
-    return met.mapInArrow(run, f"a {_NODE}, b {_NODE}")
-
-
-def _joining(sets: list[np.ndarray], group: np.ndarray, least: float) -> Iterator[tuple[int, int]]:
-    """Pairs of rows of a similarity of ``least`` or more that join all groups which such pairs join."""
-    sizes = np.array([len(x) for x in sets])
-    starts = np.cumsum(sizes) - sizes
-    vocabulary, items = np.unique(np.concatenate(sets), return_inverse=True)
-    mark = np.zeros(len(vocabulary), dtype=np.int32)
-    for i in range(len(sets)):
-        if (group[i + 1:] == group[i]).all():
-            continue
-        own = items[starts[i]:starts[i] + sizes[i]]
-        mark[own] = 1
-        common = np.add.reduceat(mark[items[starts[i]:]], starts[i:] - starts[i])
-        mark[own] = 0
-        for j in (i + np.flatnonzero(common / (sizes[i] + sizes[i:] - common) >= least)).tolist():
-            if group[j] != group[i]:
-                group[group == group[j]] = group[i]
-                yield i, j
-
-
-def _rest(members: DataFrame, sets: DataFrame, least: float, chunk_bytes: int) -> DataFrame:
-    """``a, b``: links that join the components of each bucket as far as any link of two of its rows does."""
-    whole = cut(members.join(sets, "node").withColumn("bytes", F.length("hashes")))
-    chunks = cut(whole.groupBy("bucket").agg(F.ceil(F.sum("bytes") / chunk_bytes).alias("chunks")))
-    met = (whole.join(chunks, "bucket").withColumn("mine", F.pmod(F.xxhash64("node", "bucket"), "chunks"))
-           .withColumn("theirs", F.explode(F.when(F.col("chunks") == 1, F.array(F.lit(0).cast("long")))
-                       .otherwise(F.array_remove(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1),
-                                                 F.col("mine")))))
-           .select("bucket", F.least("mine", "theirs").alias("low"), F.greatest("mine", "theirs").alias("high"),
-                   "node", F.xxhash64("component").alias("component"), "hashes"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def linked(held: list) -> pa.RecordBatch:
-            found = list(_joining([h[2] for h in held], np.array([h[1] for h in held]), least))
-            kind = pa.struct([("id", pa.int64()), ("digest", pa.binary())])
-            return pa.RecordBatch.from_arrays(
-                [pa.array([held[pair[k]][0] for pair in found], kind) for k in (0, 1)], ["a", "b"])
-
-        held, last = [], None
-        for batch in batches:
-            for *key, node, component, hashes in zip(*batch.columns):
-                key = [k.as_py() for k in key]
-                if key != last and held:
-                    yield linked(held)
-                    held = []
-                last = key
-                held.append((node.as_py(), component.as_py(), np.frombuffer(hashes.as_py(), dtype="<u8")))
-        if held:
-            yield linked(held)
-
-    dealt = met.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
-    return dealt.mapInArrow(run, f"a {_NODE}, b {_NODE}")
-
-
-def copies(docs: DataFrame, text: str = "text", key: str = "doc_id", least: float = COPY_SIMILARITY,
-           shingle: int = COPY_SHINGLE, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """``id, digest`` of each document that is not the first one of its group.
+def copies(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE,
+           radius: int = RADIUS) -> DataFrame:
+    """``id, digest`` of each document that is not the one of its component that stays.
 
-    Links are pairs of texts with a similarity of ``least`` or more; links and their chains make the groups,
-    and the first is the smallest id (then digest).  Rows of one id and one text are one document; rows of one
-    id with different texts are different documents.  Rows without an id belong to no group.
+    That one has the smallest id; of rows that share it and the fingerprint but not the text, the smallest
+    digest.  Rows of one id and one text are one document; rows of one id with different fingerprints are
+    different documents, each in its own component.  Rows without an id belong to no group.
     """
     told = docs.filter(F.col(key).isNotNull()).select(
-        F.col(key).cast("long").alias("id"), _content(text).alias("digest"), F.col(text).cast("binary").alias("body"))
-
-    def banded():
-        def work(texts: pa.Array) -> list[pa.Array]:
-            return [pa.array([bands(t.as_py(), shingle).view(np.int64) for t in texts], pa.list_(pa.int64()))]
-
-        return work
-
-    def hashed():
-        def work(texts: pa.Array) -> list[pa.Array]:
-            return [pa.array([np.unique(shingle_hashes(t.as_py(), shingle)).tobytes() for t in texts], pa.binary())]
-
-        return work
-
-    rows = cut(add_columns(told, "body", "bands array<long>", banded, False))
-    node = F.struct("id", "digest").alias("node")
-    distinct = cut(rows.groupBy("digest").agg(F.min("id").alias("id"), F.first("bands").alias("bands")))
-    keyed = distinct.select(node, F.explode("bands").alias("bucket"))
-    crowded = cut(keyed.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket"))
-    members = cut(keyed.join(crowded, "bucket").select("bucket", "node"))
-    wanted = cut(members.select("node.id", "node.digest").distinct())
-    sets = cut(add_columns(told.join(wanted, ["id", "digest"]), "body", "hashes binary", hashed, False)
-               .groupBy("id", "digest").agg(F.first("hashes").alias("hashes")).select(node, "hashes"))
-    # the row of a bucket that comes first by one order of all rows
-    lead = (members.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("node").alias("rank"), "node")).alias("first"))
-            .select("bucket", F.col("first.node").alias("lead")))
-    pairs = cut(members.join(lead, "bucket").filter("node <> lead")
-                .select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct())
-    linked = cut(_alike(pairs, sets, least))
-    found = cut(components(linked))
-    of_node = cut(members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")))
-    apart = (of_node.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-             .filter("low <> high").select("bucket"))
-    more = cut(_rest(of_node.join(cut(apart), "bucket"), sets, least, chunk_bytes))
-    if not more.isEmpty():
-        found = cut(components(linked.unionByName(more)))
-    root = (distinct.select(node).join(found, "node", "left")
-            .select(F.col("node.digest").alias("digest"), F.coalesce("component", "node").alias("root")))
-    held = cut(rows.select("id", "digest").distinct())
-    return held.join(cut(root), "digest").filter(F.struct("id", "digest") != F.col("root")).select("id", "digest")
+        F.col(key).cast("long").alias("id"), _content(text).alias("digest"), F.col(text).alias("body"))
+    prints = cut(fingerprints(told, "body", shingle, False))
+    rows = prints.distinct()
+    roots = _roots(prints, radius, BUCKET_ROWS, AGREE)
+    first = prints.groupBy("fp", "id").agg(F.min("digest").alias("first"))
+    marked = rows.join(first, ["fp", "id"]).join(roots, "fp")
+    return marked.filter((F.col("id") != F.col("component_id")) | (F.col("digest") != F.col("first"))).select("id", "digest")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are no copies, with their own columns."""
     gone = cut(copies(docs))
-    own = docs.withColumn("_digest", _content("text"))
-    return own.join(gone, (F.col("doc_id") == F.col("id")) & (F.col("_digest") == F.col("digest")),
-                    "left_anti").select(*docs.columns)
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                      F.col("doc_id").cast("long").alias("id"), _content("text").alias("digest"))
+    return own.join(gone, ["id", "digest"], "left_anti").select("row.*")
 
 
 def report(docs: DataFrame) -> DataFrame:
