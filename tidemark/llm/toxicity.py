@@ -4,10 +4,13 @@ Features of a text are its words and the beginnings of its words, and that one o
 two, three or five times.  ``fit`` takes a bounded sample of the
 labelled rows, keeps the features that tell the labels apart (chi-squared beyond what chance gives for that many
 features), and weighs them by TF-IDF with document frequencies over all documents.  The examples' vectors stand
-in an inverted index.
+in a block-max inverted index: examples are put in the order of their heaviest features and cut into blocks, a feature's
+postings are cut at the same places, and each piece knows its greatest weight.
 
-``score`` finds the exact nearest examples by cosine from the whole postings of a text's features.  Their votes, weighted by similarity, are turned into a probability by a monotone
-map that was fitted to the examples' votes without themselves, and returned with the examples as evidence.
+``score`` finds the exact nearest examples by cosine.  A block's bound is the sum of its pieces' greatest weights times the text's
+own; blocks are scored from the highest bound on, and the first bound below the k-th similarity ends the search.
+All examples that tie with the k-th vote.  The votes, weighted by similarity, are turned into a probability by a monotone
+map that was fitted to the examples' votes without themselves, and returned with the first k examples as evidence.
 
 A null or empty text has no feature and gets the rate of such examples.  Labels that are null or name no
 document teach nothing; several labels of one document count as toxic if any is.  Without any label scores
@@ -34,6 +37,8 @@ BEGINNINGS = (4, 5, 6, 7, 8, 9, 10)
 #: How often a feature must occur to count as the feature of that level too.
 LEVELS = np.array([1, 2, 3, 5])
 NEAREST, PRIOR_WEIGHT = 15, 0.5
+#: Examples of a block; what is added to bounds against rounding.
+BLOCK, BOUND_SLACK = 64, 1e-8
 THRESHOLD = 0.7
 
 
@@ -91,7 +96,10 @@ class Index(NamedTuple):
     idf: np.ndarray
     ids: np.ndarray        # document of each example
     toxic: np.ndarray      # its label
-    offsets: np.ndarray    # of feature t: postings offsets[t] to offsets[t + 1]
+    pieces: np.ndarray     # of feature t: pieces[t] to pieces[t + 1]
+    block: np.ndarray      # block of each piece
+    most: np.ndarray       # its greatest weight
+    begins: np.ndarray     # its first posting; the next piece's ends it
     members: np.ndarray    # example of each posting
     weights: np.ndarray
     prior: float
@@ -109,21 +117,48 @@ class Index(NamedTuple):
             out.append((terms[a:b], w / math.sqrt(float(w @ w)) if b > a else w))
         return out
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, but: int | None = None):
-        """Numbers and similarities of the ``k`` nearest examples, by similarity then number."""
-        if not len(terms):
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, but: int | None = None,
+                scored: list[int] | None = None):
+        """Numbers and similarities of the ``k`` nearest examples and of all that tie with the last of them.
+
+        By similarity, then number; ``scored`` gets how many blocks of how many were looked into.
+        """
+        count = self.pieces[terms + 1] - self.pieces[terms]
+        if not count.sum():
             return np.zeros(0, dtype=np.int64), np.zeros(0)
-        lists = [slice(a, b) for a, b in zip(self.offsets[terms], self.offsets[terms + 1])]
-        scores = np.round(np.bincount(
-            np.concatenate([self.members[x] for x in lists]),
-            np.concatenate([w * self.weights[x] for x, w in zip(lists, weights)]), len(self.ids)), 9)
-        if but is not None:
-            scores[self.ids == but] = 0
-        met = np.flatnonzero(scores > 0)
-        if len(met) > k:
-            met = met[scores[met] >= np.partition(scores[met], len(met) - k)[len(met) - k]]
-        rank = met[np.lexsort((met, -scores[met]))[:k]]
-        return rank, scores[rank]
+        piece = np.repeat(self.pieces[terms] - np.cumsum(count) + count, count) + np.arange(count.sum())
+        weight = np.repeat(weights, count)
+        met, place = np.unique(self.block[piece], return_inverse=True)
+        bound = np.bincount(place, weight * self.most[piece])
+        turn = np.argsort(-bound, kind="stable")
+        rank = np.empty_like(turn)
+        rank[turn] = np.arange(len(turn))
+        order = np.argsort(rank[place], kind="stable")  # pieces by block, the highest bound first
+        piece, weight = piece[order], weight[order]
+        ends = np.searchsorted(rank[place][order], np.arange(len(turn) + 1))
+        bound = bound[turn] + BOUND_SLACK
+        found, near, kth, at, step = [], [], 0.0, 0, 1
+        while at < len(turn) and bound[at] >= kth:
+            to = min(at + step, int(np.searchsorted(-bound, -kth, side="right")))
+            mine = slice(ends[at], ends[to])
+            size = self.begins[piece[mine] + 1] - self.begins[piece[mine]]
+            posting = np.repeat(self.begins[piece[mine]] - np.cumsum(size) + size, size) + np.arange(size.sum())
+            example, where = np.unique(self.members[posting], return_inverse=True)
+            found.append(example)
+            near.append(np.round(np.bincount(where, np.repeat(weight[mine], size) * self.weights[posting]), 9))
+            if but is not None:
+                near[-1][self.ids[example] == but] = 0
+            together = np.concatenate(near)
+            if np.count_nonzero(together) >= k:
+                kth = float(np.partition(together, len(together) - k)[len(together) - k])
+            at, step = to, 2 * step
+        if scored is not None:
+            scored[:] = [at, len(turn)]
+        numbers, similar = np.concatenate(found), np.concatenate(near)
+        kept = (similar > 0) & (similar >= kth)
+        numbers, similar = numbers[kept], similar[kept]
+        best = np.lexsort((numbers, -similar))
+        return numbers[best], similar[best]
 
     def vote(self, numbers: np.ndarray, similarities: np.ndarray) -> float:
         held = float(similarities @ self.toxic[numbers]) if len(numbers) else 0.0
@@ -229,7 +264,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> I
         for r in _sums(docs, "text", None, terms).collect():  # a row a term
             everywhere[r.term] = r.n
     idf = np.log((1.0 + documents) / (1.0 + everywhere)) + 1.0
-    bare = Index(terms, idf, *(np.zeros(0),) * 5, 0.0, np.zeros(0), np.zeros(0))
+    bare = Index(terms, idf, *(np.zeros(0),) * 8, 0.0, np.zeros(0), np.zeros(0))
     shared = spark.sparkContext.broadcast(bare)
 
     def vectors(batches):
@@ -243,24 +278,45 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> I
     rows = sample.select("_text", F.col("doc_id").cast("long").alias("doc_id"),
                          F.col("_toxic").alias("toxic")).mapInArrow(
         vectors, "doc_id long, toxic int, terms array<int>, weights array<double>").collect()
-    rows.sort(key=lambda r: r.doc_id)
     index = _index(terms, idf, rows)
-    votes = np.array([index.vote(*index.nearest(np.array(r.terms, dtype=np.int64), np.array(r.weights),
-                                                NEAREST, r.doc_id)) for r in rows])
-    steps, values = monotone(votes, index.toxic) if len(rows) else (np.zeros(0), np.zeros(0))
+    steps, values = np.zeros(0), np.zeros(0)
+    if len(rows):
+        votes = _own_votes(sample, spark.sparkContext.broadcast(index))
+        steps, values = monotone(np.array([votes[i] for i in index.ids.tolist()]), index.toxic)
     return index._replace(steps=steps, values=values)
 
 
+def _own_votes(sample: DataFrame, shared) -> dict[int, float]:
+    """The vote of each example without itself, a number an example."""
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, 0):
+                ids = part.column(1).to_pylist()
+                votes = [shared.value.vote(*shared.value.nearest(t, w, NEAREST, i)) for i, (t, w) in zip(
+                    ids, shared.value.vectors(part.column(0).to_pylist()))]
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(votes, pa.float64())], ["id", "vote"])
+
+    asked = sample.select("_text", F.col("doc_id").cast("long").alias("doc_id"))
+    return {r.id: r.vote for r in asked.mapInArrow(run, "id long, vote double").collect()}
+
+
 def _index(terms: Terms, idf: np.ndarray, rows: list) -> Index:
+    # examples with the same heaviest feature stand together, so that a block has few features with large weights
+    rows = sorted(rows, key=lambda r: (min(((-w, t) for t, w in zip(r.terms, r.weights)), default=(0.0, -1))[::-1], r.doc_id))
     count = np.array([len(r.terms) for r in rows], dtype=np.int64)
     member = np.repeat(np.arange(len(rows)), count)
     term = np.array([t for r in rows for t in r.terms], dtype=np.int64)
-    weight = np.array([w for r in rows for w in r.weights])
+    weight = np.array([w for r in rows for w in r.weights], dtype=np.float64)
     order = np.lexsort((member, term))
     member, term, weight = member[order], term[order], weight[order]
+    block = member // BLOCK
+    first = np.ones(len(term), dtype=bool)
+    first[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+    at = np.flatnonzero(first)
     toxic = np.array([r.toxic for r in rows], dtype=np.float64)
     return Index(terms, idf, np.array([r.doc_id for r in rows], dtype=np.int64), toxic,
-                 np.searchsorted(term, np.arange(terms.count + 1)), member, weight,
+                 np.searchsorted(term[at], np.arange(terms.count + 1)), block[at],
+                 np.maximum.reduceat(weight, at) if len(at) else weight, np.append(at, len(term)), member, weight,
                  float(toxic.mean()) if len(rows) else 0.0, np.zeros(0), np.zeros(0))
 
 
@@ -278,7 +334,7 @@ def score(docs: DataFrame, index: Index, text: str = "text", keep_text: bool = T
                 numbers, similar = held.nearest(terms, weights, NEAREST)
                 scores.append(held.probability(held.vote(numbers, similar)))
                 evidence.append([{"doc_id": int(held.ids[n]), "similarity": float(s), "toxic": int(held.toxic[n])}
-                                 for n, s in zip(numbers, similar)])
+                                 for n, s in zip(numbers[:NEAREST], similar)])
             return [pa.array(scores, pa.float64()), pa.array(evidence, near)]
 
         return work
