@@ -67,7 +67,7 @@ def test_parts_cover_each_window_once():
     rng = np.random.default_rng(1)
     hashes = mix(rng.integers(0, 9, len(rows_)).astype(np.uint64))
     starts, keys = substrings.anchors(rows_, hashes)
-    names = substrings.window_names(hashes, starts)
+    names = substrings.window_names((hashes, mix(hashes + np.uint64(1))), starts)
     old, substrings.AT_ONCE = substrings.AT_ONCE, 100
     try:
         met = []
@@ -99,3 +99,11 @@ def test_anchor_ignores_what_stands_around():
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert substrings.report(empty).count() == 0
+
+
+def test_words_of_equal_polynomials_are_different_words(spark):
+    thue = ["".join("ab"[(bin(i).count("1") + flip) % 2] for i in range(1024)) for flip in (0, 1)]
+    same = [f"w{i}" for i in range(49)]
+    data = [(1, " ".join([*same, thue[0]])), (2, " ".join([*same, thue[1]])), (3, " ".join([*same, thue[0]]))]
+    got = {r.doc_id: r.n_removed for r in substrings.report(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 0, 3: 50}

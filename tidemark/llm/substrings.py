@@ -10,7 +10,7 @@ thus have equal anchors.
 1. Every text yields its whole name, of all its words, and the distinct anchors of its windows.
 2. Texts of one whole name: all but the smallest id are copies and lose everything.
 3. Anchors that stand in two documents or more go back to their documents.  Only windows under such an anchor
-   are named as a whole (128 bits), and the smallest id of each window's name is found.
+   are named as a whole (128 bits from 128 bits a word), and the smallest id of each window's name is found.
 4. Windows named in a smaller document cover the words that go.
 
 Only sums with a map-side half and joins of written tables are shuffled, so a passage in a third of all
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.base import add_columns, cut, slices
-from tidemark.llm.words import SOLID, combine, mix, words
+from tidemark.llm.words import SOLID, combine, mix, wide_words
 
 WINDOW = 50
 #: Rounds of pair naming; symbols of this many words or more are not joined further.
@@ -116,11 +116,13 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(steps)
 
 
-def window_names(symbols: np.ndarray, starts: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent 64-bit names of the windows at ``starts``, of at most ``AT_ONCE`` + ``window`` symbols."""
+def window_names(lanes: tuple[np.ndarray, np.ndarray], starts: np.ndarray,
+                 window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits for the windows at ``starts``, of at most ``AT_ONCE`` + ``window`` words: one name from each lane
+    of the words' hashes."""
     out = []
     most = AT_ONCE + window
-    for base in _BASES:
+    for symbols, base in zip(lanes, _BASES):
         powers = _powers(base, most)
         sums = np.zeros(len(symbols) + 1, dtype=np.uint64)
         np.cumsum(mix(symbols ^ np.uint64(base)) * powers[:len(symbols)], out=sums[1:])
@@ -146,7 +148,7 @@ def _named(docs: DataFrame, window: int) -> DataFrame:
     def make():
         def work(texts: pa.Array) -> list[pa.Array]:
             values = texts.to_pylist()
-            rows, hashes = words(values, SOLID)
+            rows, hashes, _ = wide_words(values, SOLID)
             keys = [[] for _ in values]
             for part in _parts(rows, window):
                 here = rows[part]
@@ -195,7 +197,7 @@ def _windows(candidates: DataFrame, window: int) -> DataFrame:
             for part, texts in _unpacked(batch, 3):
                 ids, wholes = part.column(0), part.column(1)
                 shared = part.column(2)
-                rows, hashes = words(texts, SOLID)
+                rows, hashes, second = wide_words(texts, SOLID)
                 own = [np.sort(np.asarray(s.values).view(np.uint64)) for s in shared]
                 first = np.searchsorted(rows, np.arange(len(texts)))
                 true = [hashlib.sha256(b" ".join(t.split())).digest() == wholes[i].as_py()
@@ -213,7 +215,7 @@ def _windows(candidates: DataFrame, window: int) -> DataFrame:
                             kept[a:b] = own[i][at] == found[a:b]
                     starts, of = starts[kept], of[kept]
                     if len(starts):
-                        w1, w2 = window_names(hashes[piece], starts, window)
+                        w1, w2 = window_names((hashes[piece], second[piece]), starts, window)
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)), ids.take(pa.array(of)),
                              wholes.take(pa.array(of)),

@@ -1,18 +1,17 @@
-"""Words of many texts and their 64-bit hashes as arrays, without a Python step a word.
+"""Words of many texts and their 64-bit hashes as arrays.
 
-A hash is a polynomial over the word's bytes modulo 2^64, mixed with its length.  It depends on the word
-alone, so every task gives a word the same hash.  Two words in a vocabulary of n share one with a
-probability of about n^2 / 2^65.
+A slice's words are put into a dictionary by their bytes, and each different one is hashed once (XXH3, not
+linear in its input).  A hash depends on the word alone, so every task gives a word the same hash.  Two words in a
+vocabulary of n share one with a probability of about n^2 / 2^65; ``lanes`` gives 128 bits where that counts.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import xxhash
 
-#: Bytes that are hashed at once; longer data goes in several pieces.
-PIECE = 1 << 21
-_MASK = (1 << 64) - 1
-_BASE = 0x9E3779B97F4A7C15 | 1
+SEED = 0x5EED
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -30,19 +29,6 @@ def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(a * np.uint64(0xD6E8FEB86659FD93) + (b ^ np.uint64(0xA0761D6478BD642F)))
 
 
-_CODES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
-_POWERS: np.ndarray | None = None
-
-
-def _powers() -> np.ndarray:
-    global _POWERS
-    if _POWERS is None:
-        steps = np.full(PIECE + 1, _BASE, dtype=np.uint64)
-        steps[0] = 1
-        _POWERS = np.cumprod(steps)
-    return _POWERS
-
-
 def byte_class(accepted) -> np.ndarray:
     """Which of the 256 bytes belong to words."""
     return np.array([accepted(b) for b in range(256)])
@@ -60,33 +46,33 @@ def spans(data: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return edges[0::2], edges[1::2]
 
 
-def _long_hash(data: np.ndarray) -> int:
-    powers, total = _powers(), 0
-    for i in range(0, len(data), PIECE):
-        part = data[i:i + PIECE]
-        here = int((_CODES[part] * powers[:len(part)]).sum(dtype=np.uint64))
-        total += here * pow(_BASE, PIECE + i, 1 << 64)
-    return total & _MASK
+def _encoded(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Each span's place among the different ones, and these."""
+    if not len(starts):
+        return np.zeros(0, dtype=np.int64), []
+    steps = np.zeros(len(data) + 1, dtype=np.int8)
+    steps[starts] += 1
+    steps[ends] -= 1
+    body = data[np.cumsum(steps[:-1], dtype=np.int8).astype(bool)]
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+    told = pa.Array.from_buffers(pa.large_binary(), len(starts), [
+        None, pa.py_buffer(offsets), pa.py_buffer(body)]).dictionary_encode()
+    return told.indices.to_numpy(zero_copy_only=False), told.dictionary.to_pylist()
 
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hashes of spans that are given in order of their starts and do not overlap."""
-    out = np.zeros(len(starts), dtype=np.uint64)
-    powers, i = _powers(), 0
-    while i < len(starts):
-        base = starts[i]
-        j = int(np.searchsorted(ends, base + PIECE, side="right"))
-        if j <= i:
-            out[i] = _long_hash(data[base:ends[i]])
-            i += 1
-            continue
-        part = data[base:ends[j - 1]]
-        sums = np.zeros(len(part) + 1, dtype=np.uint64)
-        np.cumsum(_CODES[part] * powers[:len(part)], out=sums[1:])
-        at = starts[i:j] - base
-        out[i:j] = (sums[ends[i:j] - base] - sums[at]) * powers[PIECE - at]
-        i = j
-    return mix(out + (ends - starts).astype(np.uint64) * np.uint64(0x632BE59BD9B4E019))
+    place, different = _encoded(data, starts, ends)
+    digest = xxhash.xxh3_64_intdigest
+    return np.array([digest(w, SEED) for w in different], dtype=np.uint64)[place]
+
+
+def lanes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of each span."""
+    place, different = _encoded(data, starts, ends)
+    whole = np.frombuffer(b"".join(xxhash.xxh3_128_digest(w, SEED) for w in different), dtype=">u8").reshape(-1, 2)
+    first, second = (np.ascontiguousarray(whole[:, i]).astype(np.uint64) for i in (0, 1))
+    return first[place], second[place]
 
 
 def joined(texts: list[bytes | None], lower: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -104,3 +90,10 @@ def words(texts: list[bytes | None], inside: np.ndarray = SOLID,
     data, text_ends = joined(texts, lower)
     starts, ends = spans(data, inside)
     return np.searchsorted(text_ends, starts, side="right"), hashes(data, starts, ends)
+
+
+def wide_words(texts: list[bytes | None], inside: np.ndarray = SOLID) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The row and both hashes of every word, in order."""
+    data, text_ends = joined(texts, False)
+    starts, ends = spans(data, inside)
+    return np.searchsorted(text_ends, starts, side="right"), *lanes(data, starts, ends)
