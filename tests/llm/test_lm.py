@@ -94,16 +94,51 @@ def test_report(spark):
     assert alone and all(r.train_tokens == 0 and r.n_known == 0 and r.score == r.base_score == 0 for r in alone)
 
 
-def test_word_hashes(monkeypatch):
-    texts = [b"", None, "a bb été".encode(), b"x" * 5000 + b" y", b" bb  ", b"\x00 \xff\xfe a"]
+def thue(flip, n=1024):
+    """Two such words have equal polynomial hashes modulo 2^64, whatever the base."""
+    return "".join("ab"[(bin(i).count("1") + flip) % 2] for i in range(n))
+
+
+def test_word_hashes():
+    texts = [b"", None, "a bb été".encode(), b"x" * 5000 + b" y", b" bb  ", b"\x00 \xff\xfe a", f"{thue(0)} {thue(1)}".encode()]
     rows_, hashes = words.words(texts)
     flat = [(i, w) for i, t in enumerate(texts) for w in (t or b"").split()]
     assert rows_.tolist() == [i for i, _ in flat]
-    seen = {}
-    assert all(seen.setdefault(w, h) == h for (_, w), h in zip(flat, hashes)) and len(set(hashes)) == len(seen)
-    monkeypatch.setattr(words, "PIECE", 64)
-    monkeypatch.setattr(words, "_POWERS", None)
-    rows2, short = words.words(texts)
-    again, one = words.words([b"x" * 5000])
-    assert rows2.tolist() == rows_.tolist() and short[flat.index((3, b"x" * 5000))] == one[0]
-    assert len(set(short)) == len(seen)
+    rows2, first, second = words.wide_words(texts)
+    assert rows2.tolist() == rows_.tolist()
+    for found in (hashes, first, second):
+        seen = {}
+        assert all(seen.setdefault(w, h) == h for (_, w), h in zip(flat, found)) and len(set(found)) == len(seen)
+    _, alone = words.words([b"x" * 5000])
+    assert alone[0] == hashes[flat.index((3, b"x" * 5000))]
+
+
+def test_words_of_equal_polynomials_are_two_words(spark):
+    df = spark.createDataFrame([(1, thue(0)), (2, thue(1)), (4, thue(0))], "doc_id long, text string")
+    model = lm.train(df.filter("doc_id < 4"), F.lit(True))
+    assert (model.tokens, model.distinct) == (4, 3)
+    got = {r.doc_id: r for r in lm.score(df, model).collect()}
+    assert got[4].score == got[1].score and all(r.n_known == 2 for r in got.values())
+
+
+def test_counts_beyond_32_bits():
+    keys = np.array([3, 9, 2**63 + 5], dtype=np.uint64)
+    sums = [np.array([1, 2**32 + 7, 2**50]), np.array([0, 1, 2])]
+    for some in (sums, [np.array([1, 2, 3])], []):
+        back, held = lm._unpack(lm._pack(keys, some), 3)
+        assert back.tolist() == keys.tolist() and [h.tolist() for h in held] == [s.tolist() for s in some]
+
+
+def test_frequent_word_beyond_32_bits_scores(spark, tmp_path):
+    """Arrays on disk hold such counts too."""
+    folder = str(tmp_path / "model")
+    keys = np.sort(words.words([b"often rare"])[1])
+    often = words.words([b"often"])[1][0]
+    for name, value in (("word", keys), ("count", np.where(keys == often, 2**32 + 7, 3).astype("<u8")),
+                        *((n, np.ones(2, dtype="<u4")) for n in ("once", "twice", "more", "before")),
+                        ("pair", np.zeros(0, "<u8")), ("pairs", np.zeros(0, "<u8"))):
+        lm._store(folder, f"{name}-0", value)
+    model = lm.Model(folder, 1, np.array([0, 2]), 2**32 + 10, 2)
+    got = lm.score(spark.createDataFrame([(1, "often")], "doc_id long, text string"), model).first()
+    n, v = 2**32 + 10, 2
+    assert math.isclose(got.base_score, math.log10((2**32 + 7.1) / (n + 0.1 * (v + 1))) + math.log10(0.1 / (n + 0.1 * (v + 1))))

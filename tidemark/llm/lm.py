@@ -90,12 +90,17 @@ def _from_planes(data: bytes, n: int, kind: str) -> np.ndarray:
 
 
 def _pack(keys: np.ndarray, sums: list[np.ndarray]) -> bytes:
-    return _planes(np.diff(keys, prepend=np.uint64(0))) + b"".join(_planes(s.astype("<u4")) for s in sums)
+    # counts take four bytes unless one of the block needs eight, which the first byte says
+    kind = "<u4" if max((int(s.max(initial=0)) for s in sums), default=0) < 1 << 32 else "<u8"
+    return kind[-1:].encode() + _planes(np.diff(keys, prepend=np.uint64(0))) + b"".join(
+        _planes(s.astype(kind)) for s in sums)
 
 
 def _unpack(data: bytes, n: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    width, kind, data = int(data[:1]), f"<u{data[:1].decode()}", data[1:]
     keys = np.cumsum(_from_planes(data[:8 * n], n, "<u8"), dtype=np.uint64)
-    return keys, [_from_planes(data[i:i + 4 * n], n, "<u4").astype(np.int64) for i in range(8 * n, len(data), 4 * n)]
+    return keys, [_from_planes(data[i:i + width * n], n, kind).astype(np.int64)
+                  for i in range(8 * n, len(data), width * n)]
 
 
 def _merge(keys: np.ndarray, sums: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -202,7 +207,7 @@ class Model(NamedTuple):
         shard = np.searchsorted(self.offsets, numbers, side="right") - 1
         for s in np.unique(shard[numbers >= 0]):
             mine = (shard == s) & (numbers >= 0)
-            array = _mapped(self.folder, f"{name}-{s}", "<u4")
+            array = _mapped(self.folder, f"{name}-{s}", "<u8" if name == "count" else "<u4")
             if len(array):
                 out[mine] = array[numbers[mine] - self.offsets[s]]
         return out
@@ -224,7 +229,7 @@ class Model(NamedTuple):
             known = _mapped(self.folder, f"pair-{s}", "<u8")
             if len(known):
                 at = np.searchsorted(known, keys[mine]).clip(max=len(known) - 1)
-                count = _mapped(self.folder, f"pairs-{s}", "<u4")
+                count = _mapped(self.folder, f"pairs-{s}", "<u8")
                 out[mine] = np.where(known[at] == keys[mine], count[at], 0)
         return out
 
@@ -284,7 +289,7 @@ def train(docs: DataFrame, learn: Column, text: str = "text", shard_text: int =
 
     def keep_words(shard, keys, sums):
         _store(folder, f"word-{shard}", keys)
-        _store(folder, f"count-{shard}", sums[0].astype("<u4"))
+        _store(folder, f"count-{shard}", sums[0].astype("<u8"))
         yield pa.RecordBatch.from_arrays(
             [pa.array([shard], pa.int32()), pa.array([len(keys)], pa.int64()),
              pa.array([sums[0].sum()], pa.int64()), pa.array([sums[0][keys == _START].sum()], pa.int64())],
@@ -320,7 +325,7 @@ def train(docs: DataFrame, learn: Column, text: str = "text", shard_text: int =
 
     def keep_pairs(shard, keys, sums):
         _store(folder, f"pair-{shard}", keys)
-        _store(folder, f"pairs-{shard}", sums[0].astype("<u4"))
+        _store(folder, f"pairs-{shard}", sums[0].astype("<u8"))
         n = np.minimum(sums[0], 3)
         first, second = keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)
         offsets = shared.value.offsets
