@@ -64,8 +64,10 @@ def add_columns(df: DataFrame, source: str, ddl: str,
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:last], *work(part.column(last))], schema.names)
 
-    columns = [F.col(f"`{f.name}`") for f in kept]
-    return df.select(*columns, F.col(source).cast("binary").alias("_source")).mapInArrow(run, schema)
+    columns, last = [F.col(f"`{f.name}`") for f in kept], "_source"
+    while last in {f.name.lower() for f in kept}:
+        last += "_"
+    return df.select(*columns, F.col(source).cast("binary").alias(last)).mapInArrow(run, schema)
 
 
 #: Matches that are walked together; their places are then moved by what stands before.

@@ -160,13 +160,14 @@ def find(docs: DataFrame, benchmark: DataFrame, text: str = "text",
         found = _search(docs, text, rows_of(0), keep_text)
     else:
         path = scratch_path(spark, "rows")
-        docs.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
+        docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(
+            *[F.col(f"`{c}`") for c in docs.columns]).alias("own")).write.parquet(path)
         numbered = spark.read.parquet(path)
         parts = None
         for k in range(shards):
             # one shard at a time is in memory: its findings are written before the next begins
             out = scratch_path(spark, "found")
-            here = _search(numbered.select("_row", F.col(text).alias("_text")), "_text", rows_of(k), False)
+            here = _search(numbered.select("_row", F.col(f"own.`{text}`").alias("_text")), "_text", rows_of(k), False)
             (here if k == 0 else here.filter(F.size("hits") > 0)).write.parquet(out)
             part_found = spark.read.parquet(out)
             parts = part_found if parts is None else parts.unionByName(part_found)
@@ -174,8 +175,9 @@ def find(docs: DataFrame, benchmark: DataFrame, text: str = "text",
             F.max("n_words").alias("n_words"),
             F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-        taken = ("n_words", "hits", "items")
-        found = numbered.drop(*taken).join(united, "_row").drop("_row")
+        taken = {"n_words", "hits", "items"} | (set() if keep_text else {text.lower()})
+        found = numbered.join(united, "_row").select(
+            *[F.col(f"own.`{c}`") for c in docs.columns if c.lower() not in taken], "n_words", "hits", "items")
     return (found.withColumn("n_hit", _covered(F.col("hits")))
             .withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))))
 

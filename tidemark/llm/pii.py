@@ -119,9 +119,10 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     Overlapping spans become one, named after the first.  A null text stays null, a text without a span
     stays as it is.
     """
-    spans, body = "_pii_spans", F.col(text)
-    found = find(docs, text, spans).withColumn(spans, F.array_sort(F.transform(spans, lambda s: F.struct(
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("body"))
+    found = find(own, "body", "spans").withColumn("spans", F.array_sort(F.transform("spans", lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))))
+    body = F.col("body")
     zero = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -131,9 +132,10 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
         return F.struct(F.greatest(acc["pos"], s["end"]).alias("pos"),
                         F.when(fresh, F.concat(acc["out"], piece)).otherwise(acc["out"]).alias("out"))
 
-    clean = F.aggregate(F.col(spans), zero, step, lambda acc: F.concat(
+    clean = F.aggregate("spans", zero, step, lambda acc: F.concat(
         acc["out"], body.substr(acc["pos"] + 1, F.length(body))))
-    return found.withColumn(text, F.when(F.size(spans) > 0, clean).otherwise(body)).drop(spans)
+    masked = F.when(F.size("spans") > 0, clean).otherwise(body)
+    return found.select(*[masked.alias(c) if c.lower() == text.lower() else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def report(docs: DataFrame) -> DataFrame:

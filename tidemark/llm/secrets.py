@@ -100,12 +100,17 @@ def scan_unseen(versions: DataFrame, ledger: str, rules: Sequence[Rule] = RULES)
 
 
 def scan(paths: DataFrame, content: str, ledger: str, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """``paths`` with ``blob`` and ``findings`` (by start, then rule order) in place of the content."""
+    """``paths`` with ``blob`` and ``findings`` (by start, then rule order) in place of the content.
+
+    Columns of these two names are replaced, all others come through.
+    """
     spark = paths.sparkSession
     open_ledger(spark, ledger)
-    named = paths.withColumn("_content", whole_text(content)).withColumn(
-        "blob", F.unhex(F.sha2("_content", 256)))
-    scan_unseen(named.select("blob", F.col("_content").alias("content")), ledger, rules)
+    kept = [c for c in paths.columns if c.lower() not in (content.lower(), "blob", "findings")]
+    row = F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.lit(0)
+    named = paths.select(row.alias("row"), whole_text(f"`{content}`").alias("content")).withColumn(
+        "blob", F.unhex(F.sha2("content", 256)))
+    scan_unseen(named.select("blob", "content"), ledger, rules)
     order = F.create_map(*(F.lit(x) for i, r in enumerate(rules) for x in (r.name, i)))
     current = F.filter("findings", lambda f: f["tag"].isin([r.tag for r in rules]))
     known = (read_ledger(spark, ledger).withColumn("findings", current)
@@ -116,8 +121,8 @@ def scan(paths: DataFrame, content: str, ledger: str, rules: Sequence[Rule] = RU
         f["kind"].alias("kind"), f["tag"].alias("tag"))))
     known = known.select("blob", ranked.alias("findings"))
     empty = "cast(array() as array<struct<start:int,rank:int,end:int,kind:string,tag:string>>)"
-    return (named.drop("_content", content).join(known, "blob", "left")
-            .withColumn("findings", F.coalesce("findings", F.expr(empty))))
+    return named.drop("content").join(known, "blob", "left").select(
+        *[F.col(f"row.`{c}`") for c in kept], "blob", F.coalesce("findings", F.expr(empty)).alias("findings"))
 
 
 def report(docs: DataFrame, ledger: str | None = None) -> DataFrame:
