@@ -15,17 +15,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-import tidemark
 from tidemark.runtime import cut
 
-# task code travels with the job, so executors need no installed copy of this package
-cloudpickle.register_pickle_by_value(tidemark)
-
 # rows a block, most pivots, and right blocks that one task streams past its left block; the same
 # for every input size
 ROWS, CELLS, BLOCKS_A_TASK = 2048, 256, 8
