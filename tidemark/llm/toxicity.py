@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.base import add_columns, cut, slices
-from tidemark.llm.words import PLAIN, hashes, joined, spans
+from tidemark.llm.words import PLAIN, beginnings, encoded, joined, lane, spans
 
 #: Bound of what is learned: labelled documents that are examples.  It bounds the features that pass, too.
 SAMPLE_ROWS = 20_000
@@ -47,12 +47,19 @@ def features(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     data, text_ends = joined(texts, True)
     starts, ends = spans(data, PLAIN)
     rows = np.searchsorted(text_ends, starts, side="right")
-    all_rows, all_keys = [rows], [hashes(data, starts, ends)]
+    # each different word is hashed once, its beginnings where it stands first
+    place, different = encoded(data, starts, ends)
+    first = np.zeros(len(different), dtype=np.int64)
+    first[place[::-1]] = np.arange(len(place))[::-1]
+    at, length = starts[first], (ends - starts)[first]
+    all_rows, all_keys = [rows], [lane(different)[place]]
     for n in BEGINNINGS:
-        able = ends - starts > n
-        all_rows.append(rows[able])
-        # one bit apart from whole words of the same letters
-        all_keys.append(hashes(data, starts[able], starts[able] + n) ^ np.uint64(1))
+        able = length > n
+        keys = np.zeros(len(different), dtype=np.uint64)
+        keys[able] = beginnings(data, at[able], n)
+        mine = able[place]
+        all_rows.append(rows[mine])
+        all_keys.append(keys[place[mine]])
     return np.concatenate(all_rows), np.concatenate(all_keys)
 
 

@@ -1,6 +1,6 @@
 """Words of many texts and their 64-bit hashes as arrays.
 
-A slice's words are put into a dictionary by their bytes, and each different one is hashed once (XXH3, not
+A slice's words are put into a dictionary by their bytes, and each different one is hashed once (SipHash, keyed and not
 linear in its input).  A hash depends on the word alone, so every task gives a word the same hash.  Two words in a
 vocabulary of n share one with a probability of about n^2 / 2^65; ``lanes`` gives 128 bits where that counts.
 """
@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+from pandas.util import hash_array
 
-SEED = 0x5EED
+#: Keys of the two lanes, 16 bytes each.
+KEYS = ("word-lane-number", "word-lane-second")
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -46,33 +47,46 @@ def spans(data: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return edges[0::2], edges[1::2]
 
 
-def _encoded(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
-    """Each span's place among the different ones, and these."""
+def encoded(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each span's place among the different ones, and these as bytes, in the order of their first places."""
     if not len(starts):
-        return np.zeros(0, dtype=np.int64), []
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=object)
     steps = np.zeros(len(data) + 1, dtype=np.int8)
     steps[starts] += 1
     steps[ends] -= 1
-    body = data[np.cumsum(steps[:-1], dtype=np.int8).astype(bool)]
+    body = data[np.cumsum(steps[:-1], dtype=np.int8).view(bool)]
     offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
     told = pa.Array.from_buffers(pa.large_binary(), len(starts), [
         None, pa.py_buffer(offsets), pa.py_buffer(body)]).dictionary_encode()
-    return told.indices.to_numpy(zero_copy_only=False), told.dictionary.to_pylist()
+    return told.indices.to_numpy(zero_copy_only=False), told.dictionary.to_numpy(zero_copy_only=False)
+
+
+def lane(different: np.ndarray, which: int = 0) -> np.ndarray:
+    """A 64-bit hash of each of an array of bytes."""
+    return hash_array(different, hash_key=KEYS[which], categorize=False).astype(np.uint64)
 
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hashes of spans that are given in order of their starts and do not overlap."""
-    place, different = _encoded(data, starts, ends)
-    digest = xxhash.xxh3_64_intdigest
-    return np.array([digest(w, SEED) for w in different], dtype=np.uint64)[place]
+    place, different = encoded(data, starts, ends)
+    return lane(different)[place]
 
 
 def lanes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two independent 64-bit hashes of each span."""
-    place, different = _encoded(data, starts, ends)
-    whole = np.frombuffer(b"".join(xxhash.xxh3_128_digest(w, SEED) for w in different), dtype=">u8").reshape(-1, 2)
-    first, second = (np.ascontiguousarray(whole[:, i]).astype(np.uint64) for i in (0, 1))
-    return first[place], second[place]
+    place, different = encoded(data, starts, ends)
+    return lane(different, 0)[place], lane(different, 1)[place]
+
+
+def beginnings(data: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
+    """A hash of the ``n`` bytes (16 at most) from each start; one to one for eight bytes or fewer."""
+    halves = []
+    for a, b in ((0, min(n, 8)), (8, max(n, 8))):
+        part = np.zeros(len(starts), dtype=np.uint64)
+        for i in range(a, b):
+            part = (part << np.uint64(8)) | data[starts + i]
+        halves.append(part)
+    return combine(mix(halves[0]), halves[1] ^ np.uint64(n << 56))
 
 
 def joined(texts: list[bytes | None], lower: bool) -> tuple[np.ndarray, np.ndarray]:
