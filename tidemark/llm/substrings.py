@@ -189,13 +189,16 @@ def _unpacked(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBat
 
 
 def _windows(candidates: DataFrame, window: int) -> DataFrame:
-    """``w1, w2, id, whole, start`` of every window under one of the document's shared anchors."""
+    """``w1, w2, id, mark, start`` of every window under one of the document's shared anchors.
+
+    ``mark`` stands for ``whole``: it tells apart texts of one id, in eight bytes a window.
+    """
 
     def run(batches):
-        names = ["w1", "w2", "id", "whole", "start"]
+        names = ["w1", "w2", "id", "mark", "start"]
         for batch in batches:
             for part, texts in _unpacked(batch, 3):
-                ids, wholes = part.column(0), part.column(1)
+                ids, wholes, marks = part.column(0), part.column(1), part.column(4)
                 shared = part.column(2)
                 rows, hashes, second = wide_words(texts, SOLID)
                 own = [np.sort(np.asarray(s.values).view(np.uint64)) for s in shared]
@@ -218,11 +221,11 @@ def _windows(candidates: DataFrame, window: int) -> DataFrame:
                         w1, w2 = window_names((hashes[piece], second[piece]), starts, window)
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)), ids.take(pa.array(of)),
-                             wholes.take(pa.array(of)),
+                             marks.take(pa.array(of)),
                              pa.array((starts + piece.start - first[of]).astype(np.int32))], names)
 
-    return candidates.select("id", "whole", "shared", "packed").mapInArrow(
-        run, "w1 long, w2 long, id long, whole binary, start int")
+    return candidates.select("id", "whole", "shared", "packed", "mark").mapInArrow(
+        run, "w1 long, w2 long, id long, mark long, start int")
 
 
 def _kept(hit: DataFrame, window: int) -> DataFrame:
@@ -270,13 +273,14 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int
     shared = cut(keys.groupBy("anchor").agg(F.min("id").alias("first"), F.max("id").alias("last"))
                  .filter("first < last").select("anchor"))
     wanted = keys.join(shared, "anchor").groupBy("id", "whole").agg(F.collect_set("anchor").alias("shared"))
-    candidates = cut(_packed(bodies.filter("id is not null")).join(cut(wanted), "id"))
+    candidates = cut(_packed(bodies.filter("id is not null")).join(cut(wanted), "id").withColumn(
+        "mark", F.xxhash64("whole")))
     windows = _windows(candidates, window)
     twice = cut(windows.groupBy("w1", "w2").agg(F.min("id").alias("first"), F.max("id").alias("last"))
                 .filter("first < last").select("w1", "w2", "first"))
-    starts = cut(windows.join(twice, ["w1", "w2"]).filter("id > first").groupBy("id", "whole")
+    starts = cut(windows.join(twice, ["w1", "w2"]).filter("id > first").groupBy("id", "mark")
                  .agg(F.collect_set("start").alias("starts")))
-    gone = cut(_kept(candidates.drop("shared").join(starts, ["id", "whole"]), window).distinct())
+    gone = cut(_kept(candidates.drop("shared").join(starts, ["id", "mark"]), window).distinct())
     all_gone = F.col("copy") & (F.col("n_words") >= window)
     return (marked.drop("anchors").join(gone, ["id", "whole"], "left")
             .select(F.col("id").alias(key), "n_words", "whole",
