@@ -9,7 +9,7 @@ from tidemark import schemas
 from tidemark.config import MatchConfig
 from tidemark.functions import engagement as eng
 from tidemark.functions import repair, similarity as sim, text as tx, times, urls
-from tidemark.operators import normalize, quality, ranking, rollup
+from tidemark.operators import normalize, quality, ranking, rollup, store
 from tidemark.sources import feeds, snapshots, topics
 
 NOW = "2024-01-31 00:00:00"
@@ -160,14 +160,14 @@ def test_recent_is_inclusive(spark):
     assert col(quality.recent(df, NOW), "id") == [1]
 
 
-def test_keyword_match_in_any_number_of_parts(spark):
+def test_keyword_match(spark):
     df = spark.createDataFrame([
         (1, "Phở Anh Hai", "x"), (2, None, "see the ANH hai"), (3, "nothing", None), (4, "a" * 700 + "needle", ""),
         (None, "needle", None), (None, None, None)],
         "id long, title string, summary string")
     kw = spark.createDataFrame([("anh HAI",), ("needle",), ("ở",), (None,)], "keyword string")
-    for size in (1 << 20, 20):  # a row without an id is matched like any other
-        got = quality.match_keywords(df, kw, part_bytes=size).collect()
+    for gram in (1, 2, 4, 6):  # a row without an id is matched like any other
+        got = quality.match_keywords(df, kw, gram=gram).collect()
         assert sorted(str(r["id"]) for r in got) == ["1", "2", "4", "None"]
     assert quality.match_keywords(df, kw.limit(0)).count() == 6
     assert quality.match_keywords(df, spark.createDataFrame([("",)], "keyword string")).count() == 6
@@ -264,3 +264,64 @@ def test_recorded_batches(spark, tmp_path):
 def test_empty_totals(spark):
     df = spark.createDataFrame([], "video_count long, total_views long, total_likes long")
     assert tuple(rollup.trend_totals(df).first()) == (0, 0, 0, 0)
+
+
+def test_keyword_match_of_a_long_list(spark):
+    """100,000 keywords, copies of a text, columns of any name, characters beyond the basic plane."""
+    kw = spark.range(100_000).selectExpr("concat('word', id, '-') as keyword")
+    rows = [(i, f"Title WORD{i * 37}", f"{'filler ' * 30} {'-' if i % 3 else ''} \U0001F600 end", "k", 1, i) for i in range(3000)]
+    rows += [(9000 + i, "copy", "has word77- in it", "k", 1, i) for i in range(500)] + [(1, "wor", "d5-", "k", 1, 0)]
+    df = spark.createDataFrame(rows, "id long, title string, summary string, k string, g int, _digest int").repartition(4)
+    extra = spark.createDataFrame([("\U0001F600 end",)], "keyword string")
+    got = quality.match_keywords(df, kw)
+    assert got.columns == df.columns
+    assert sorted(r["id"] for r in got.collect()) == [9000 + i for i in range(500)]
+    both = quality.match_keywords(df, kw.unionByName(extra)).count()
+    assert both == 3500
+    plan = got._jdf.queryExecution().toString()
+    assert "Python" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_unknown_source_is_an_error(spark):
+    df = spark.createDataFrame([('{"video_id":"a"}', "tiktok"), ('{"video_id":"b"}', "elsewhere")], "payload string, source string")
+    good = df.filter("source = 'tiktok'").select(normalize.typed(F.col("payload"), F.col("source")).alias("r")).first()["r"]
+    assert good["tiktok"]["video_id"] == "a" and good["tiktok"]["views"] == 0
+    assert good["vnexpress"] is None and good["youtube"] is None and good["google_trends"] is None
+    for bad in ("source = 'elsewhere'",):
+        with pytest.raises(Exception, match="Unknown source: elsewhere"):
+            df.filter(bad).select(normalize.typed(F.col("payload"), F.col("source")).alias("r")).collect()
+
+
+def test_days_of_a_store(spark, tmp_path):
+    """Only the days that lose or get a row are rewritten; expiry drops folders."""
+    root = str(tmp_path / "days")
+    rows = [(f"t{i}", datetime(2024, 1, 1 + i % 10, 6 + i % 12), i) for i in range(100)] + [("none", None, -1)]
+    schema = "trend_id string, last_updated timestamp, n long"
+    store.append_days(spark.createDataFrame(rows, schema).repartition(2), root)
+
+    def files():
+        return {p: p.stat().st_mtime_ns for p in (tmp_path / "days").rglob("*.parquet")}
+
+    before = files()
+    store.append_days(spark.createDataFrame([("late", datetime(2024, 1, 3), 5)], schema), root)
+    after = files()
+    assert set(before.items()) <= set(after.items()) and len(after) == len(before) + 1
+    # t12 moves from day 3 to day 20, all of day 5 moves away, a new one comes to day 7
+    moved = [("t12", datetime(2024, 1, 20), 1012)] + [(f"t{i}", datetime(2024, 1, 21), i) for i in range(4, 100, 10)] + [
+        ("new", datetime(2024, 1, 7), 7)]
+    days = store.upsert_days(spark.createDataFrame(moved, schema), root)
+    assert [str(d) for d in days] == ["2024-01-03", "2024-01-05", "2024-01-07", "2024-01-20", "2024-01-21"]
+    now = files()
+    untouched = {p for p in after if not any(f"day={d}" in str(p) for d in days)}
+    assert all(now.get(p) == after[p] for p in untouched) and not any("day=2024-01-05" in str(p) for p in now)
+    want = {r[0]: r for r in rows} | {"late": ("late", datetime(2024, 1, 3), 5)} | {m[0]: m for m in moved}
+    read = lambda: {r["trend_id"]: (r["trend_id"], r["last_updated"], r["n"]) for r in store.load_days(spark, root).collect()}
+    assert read() == want
+    gone = store.expire_days(spark, root, "2024-01-09 12:00:00")
+    limit = datetime(2024, 1, 6, 12)
+    assert read() == {k: v for k, v in want.items() if v[1] is None or v[1] >= limit}
+    assert [str(d) for d in gone] == [f"2024-01-0{d}" for d in (1, 2, 3, 4, 6)]
+    last = files()
+    assert all(last.get(p) == now[p] for p in now if not any(f"day={d}" in str(p) for d in gone))
+    plan = store.load_days(spark, root).filter(F.col("day") < F.lit("2024-01-03").cast("date"))._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan

@@ -135,6 +135,41 @@ def route_by_source(spark, sf):
         F.count(F.lit(1)).alias("n"))
 
 
+_LAYOUTS = ("tiktok", "vnexpress", "youtube", "google_trends")
+
+
+@query("route_records", """WITH d AS (SELECT doc_id, CAST(doc_id AS VARCHAR) AS i, md5(text) AS text_md5,
+  (['tiktok', 'vnexpress', 'youtube', 'google_trends'])[doc_id % 4 + 1] AS kind FROM documents)
+SELECT doc_id, kind, CASE kind WHEN 'vnexpress' THEN 'a' || i WHEN 'google_trends' THEN 'q' || i ELSE 'v' || i END AS record,
+ CASE kind WHEN 'tiktok' THEN text_md5 WHEN 'youtube' THEN md5('') END AS text_md5,
+ CASE kind WHEN 'tiktok' THEN doc_id % 1000 WHEN 'youtube' THEN 0 END AS views,
+ CASE kind WHEN 'vnexpress' THEN 'VNExpress' WHEN 'tiktok' THEN '' END AS author,
+ CASE kind WHEN 'youtube' THEN 'c' || i END AS channel_id, CASE kind WHEN 'youtube' THEN doc_id % 3600 END AS duration_seconds,
+ CASE kind WHEN 'google_trends' THEN 'VN' END AS region, CASE kind WHEN 'google_trends' THEN doc_id % 100 END AS latest
+FROM d""")
+def route_records(spark, sf):
+    """Envelopes of all four layouts as typed records by their declared source; absent keys take defaults."""
+    d, i = F.col("doc_id"), F.col("doc_id").cast("string")
+    kind = F.element_at(F.array(*map(F.lit, _LAYOUTS)), (d % 4 + 1).cast("int"))
+    payload = F.when(d % 4 == 0, F.to_json(F.struct(
+        F.concat(F.lit("v"), i).alias("video_id"), "text", (d % 1000).alias("views")))).when(d % 4 == 1, F.to_json(
+            F.struct(F.concat(F.lit("a"), i).alias("article_id")))).when(d % 4 == 2, F.to_json(F.struct(
+                F.concat(F.lit("v"), i).alias("video_id"), F.concat(F.lit("c"), i).alias("channel_id"),
+                (d % 3600).alias("duration_seconds")))).otherwise(F.to_json(F.struct(
+                    F.concat(F.lit("q"), i).alias("query"), F.array(F.struct(
+                        F.lit("2024-01-01").alias("date"), (d % 100).alias("value"))).alias("interest_over_time"))))
+    rows = fx.table(spark, sf, "documents").select("doc_id", kind.alias("kind"), payload.alias("payload"))
+    r = rows.select("doc_id", "kind", normalize.typed(F.col("payload"), F.col("kind")).alias("r"))
+    return r.select(
+        "doc_id", "kind", F.coalesce("r.tiktok.video_id", "r.vnexpress.article_id", "r.youtube.video_id",
+                                     "r.google_trends.query").alias("record"),
+        F.md5(F.coalesce("r.tiktok.text", "r.youtube.description")).alias("text_md5"),
+        F.coalesce("r.tiktok.views", "r.youtube.views").alias("views"),
+        F.coalesce("r.vnexpress.author", "r.tiktok.author_username").alias("author"),
+        "r.youtube.channel_id", "r.youtube.duration_seconds", "r.google_trends.region",
+        F.element_at("r.google_trends.interest_over_time.value", -1).alias("latest"))
+
+
 @query("missing_field_defaults", """SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN CAST(doc_id AS VARCHAR) ELSE '' END AS video_id,
  CASE WHEN doc_id % 3 = 0 THEN NULL ELSE 0 END AS views, 0 AS n_tags, false AS verified, CAST(NULL AS VARCHAR) AS language
 FROM documents""")

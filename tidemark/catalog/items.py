@@ -72,23 +72,23 @@ _KEYWORD_SQL = """words AS (
 SELECT doc_id, md5(text) AS text_md5 FROM documents d
 WHERE EXISTS (SELECT 1 FROM words WHERE contains(lower(lang || ' ' || text), k))""")
 def keyword_match(spark, sf):
-    return _keyword_match(spark, sf, 1 << 20)
+    return _keyword_match(spark, sf, 4)
 
 
 @query("keyword_match_long_list", f"""WITH {_KEYWORD_SQL}
 SELECT doc_id, md5(text) AS text_md5 FROM documents d
 WHERE EXISTS (SELECT 1 FROM words WHERE contains(lower(lang || ' ' || text), k))""")
 def keyword_match_long_list(spark, sf):
-    """A list of more than one part."""
-    return _keyword_match(spark, sf, 1 << 11)
+    """Shorter substrings: more pairs meet and are compared in full."""
+    return _keyword_match(spark, sf, 2)
 
 
-def _keyword_match(spark, sf, bound):
+def _keyword_match(spark, sf, gram):
     words = fx.table(spark, sf, "benchmark").select(F.array_min(F.transform(
         F.split("text", " "), lambda x: F.struct((-F.length(x)).alias("n"), x.alias("x"))))["x"].alias("keyword"))
     docs = fx.table(spark, sf, "documents", heavy=True).select(
         "doc_id", F.col("lang").alias("title"), F.col("text").alias("summary"))
-    return quality.match_keywords(docs, words, part_bytes=bound).select(
+    return quality.match_keywords(docs, words, gram=gram).select(
         "doc_id", _digest(F.col("summary")).alias("text_md5"))
 
 

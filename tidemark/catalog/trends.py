@@ -9,6 +9,7 @@ from tidemark.catalog.base import ITEMS, MEMBERS, NOW, SCORED, TRENDS, VECTORS,
 from tidemark.functions import similarity as sim
 from tidemark.operators import matching, normalize, quality, ranking, rollup, store
 from tidemark.sources import fixtures as fx
+from tidemark.runtime import scratch_path
 
 _BY_VIEWS = "total_views DESC, total_likes DESC, trend_id"
 
@@ -379,6 +380,26 @@ def append_trends(spark, sf):
 _CUT = "2024-01-25 00:00:00"
 
 
+@query("store_by_day", f"""WITH {TRENDS}, inc AS (SELECT CASE WHEN g % 2 = 0 THEN 's-' || language || '-' || CAST(g AS VARCHAR)
+  ELSE trend_id END AS trend_id, topic, total_views, ts FROM trends WHERE side='n'),
+ alls AS (SELECT * FROM inc
+  UNION ALL SELECT trend_id, topic, total_views, ts FROM trends WHERE side='s' AND trend_id NOT IN (SELECT trend_id FROM inc))
+SELECT trend_id, topic, total_views, strftime(ts, '%Y-%m-%d') AS day FROM alls
+WHERE ts >= TIMESTAMP '{_CUT}' - INTERVAL 3 DAY""")
+def store_by_day(spark, sf):
+    """Appended, upserted and expired in folders by day, and read back."""
+    t = fx.trends(spark, sf)
+    g = F.element_at(F.split("trend_id", "-"), -1).cast("long")
+    columns = ["trend_id", "topic", "total_views", "last_updated"]
+    new = t.filter("side = 'n'").withColumn("trend_id", F.when(
+        g % 2 == 0, F.regexp_replace("trend_id", "^n", "s")).otherwise(F.col("trend_id")))
+    root = scratch_path(spark, "days")
+    store.append_days(t.filter("side = 's'").select(*columns), root)
+    store.upsert_days(new.select(*columns), root)
+    store.expire_days(spark, root, _CUT)
+    return store.load_days(spark, root).select("trend_id", "topic", "total_views", F.date_format("day", "yyyy-MM-dd").alias("day"))
+
+
 @query("expire_trends", f"""WITH {TRENDS} SELECT trend_id, ts >= TIMESTAMP '{_CUT}' - INTERVAL 3 DAY AS kept FROM trends""")
 def expire_trends(spark, sf):
     kept, gone = store.expire(fx.trends(spark, sf), _CUT)

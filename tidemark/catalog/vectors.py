@@ -11,7 +11,8 @@ from tidemark.catalog.items import _labelled
 from tidemark.config import ClusterConfig, Settings
 from tidemark.functions import vectors as vec
 from tidemark.operators import annotate, clustering, normalize, rollup
-from tidemark.operators.embed import embed
+from tidemark.operators.embed import embed, sparse
+from tidemark.operators.ordering import positions
 from tidemark.plans import detect
 from tidemark.runtime import cut
 from tidemark.sources import fixtures as fx
@@ -131,6 +132,26 @@ def density_clusters(spark, sf):
     return clustering.density_labels(fx.unit_vectors(spark, sf), cfg, "vec_id")
 
 
+@query("cluster_selection", """WITH RECURSIVE t AS (SELECT row_number() OVER (ORDER BY doc_id) AS id,
+  ((doc_id * 7919) % 101) / 4.0::DOUBLE + CASE WHEN doc_id % 7 = 0 THEN 40 ELSE 0 END AS stab FROM documents),
+ l AS (SELECT *, CAST(floor(log2(id)) AS INTEGER) AS lvl FROM t),
+ up AS (SELECT id, lvl, stab AS value, true AS sel FROM l WHERE lvl = (SELECT max(lvl) FROM l)
+  UNION ALL SELECT l.id, l.lvl, greatest(l.stab, coalesce(s.sub, 0)), l.stab >= coalesce(s.sub, 0)
+   FROM l LEFT JOIN (SELECT id // 2 AS id, sum(value) AS sub FROM up GROUP BY 1) AS s USING (id)
+   WHERE l.lvl = (SELECT min(lvl) FROM up) - 1),
+ down AS (SELECT id, CASE WHEN sel THEN id END AS pick FROM up WHERE id = 1
+  UNION ALL SELECT u.id, coalesce(d.pick, CASE WHEN u.sel THEN u.id END) FROM up u JOIN down d ON u.id // 2 = d.id)
+SELECT id AS cluster, pick FROM down""")
+def cluster_selection(spark, sf):
+    """Excess-of-mass selection on a tree with as many clusters as there are documents."""
+    doc = F.col("doc_id")
+    ids = positions(fx.table(spark, sf, "documents").select("doc_id"), [doc], "pos")
+    clusters = ids.select(
+        (F.col("pos") + 1).alias("cluster"), F.floor((F.col("pos") + 1) / 2).cast("long").alias("parent"),
+        ((doc * 7919) % 101 / 4.0 + F.when(doc % 7 == 0, 40.0).otherwise(0.0)).alias("stability"))
+    return clustering.select(clusters)
+
+
 # ------------------------------------------------------------------ embedding
 
 @query("embed_default")
@@ -142,6 +163,21 @@ def embed_default(spark, sf):
                       F.size(F.filter("embedding", lambda x: x != 0)).alias("used"))
 
 
+@query("embed_sparse", """WITH t AS (SELECT CAST(doc_id AS VARCHAR) AS content_id, unnest(regexp_split_to_array(
+   lower(text || ' ' || lang || ' ' || source), '[^\\p{L}\\p{N}]+')) AS term FROM documents),
+ c AS (SELECT content_id, CAST('0x' || substr(md5(term), 1, 12) AS BIGINT) % 1048576 AS dimension, count(*) AS n
+  FROM t WHERE term <> '' GROUP BY 1, 2),
+ h AS (SELECT dimension, count(*) AS held FROM c GROUP BY 1),
+ w AS (SELECT content_id, dimension, n * (ln(((SELECT count(*) FROM documents) + 1)::DOUBLE / (held + 1)) + 1) AS w
+  FROM c JOIN h USING (dimension)),
+ s AS (SELECT content_id, sqrt(sum(w * w)) AS length FROM w GROUP BY 1)
+SELECT content_id, dimension, round(w / length, 6) AS weight FROM w JOIN s USING (content_id)""")
+def embed_sparse(spark, sf):
+    """Sparse TF-IDF vectors of whole texts, a row a used dimension."""
+    items = fx.content_items(spark, sf, heavy=True).withColumn("embed_text", normalize.embedding_text())
+    return sparse(items).select("content_id", "dimension", F.round("weight", 6).alias("weight"))
+
+
 def _letters(texts: list[str]) -> list[list[float]]:
     return [[float(len(t)), float(t.count("e"))] for t in texts]
 

@@ -150,6 +150,15 @@ def apply_defaults(payload: Column, source: str) -> Column:
     return F.struct(*fields)
 
 
+def typed(payload: Column, source: Column) -> Column:
+    """The payload as the record its declared source has: a struct with one member a layout, of which one is set.
+
+    Absent keys take their defaults.  An unknown or missing source is an error.
+    """
+    kind = route(source)
+    return F.struct(*[F.when(kind == name, apply_defaults(payload, name)).alias(name) for name in schemas.PAYLOADS])
+
+
 def sample(max_chars: int = 500) -> Column:
     """The eight fields kept of a sample item."""
     return F.struct(

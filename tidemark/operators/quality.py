@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -111,34 +110,43 @@ def headlines(df: DataFrame, order: str, cap: int | None = None) -> DataFrame:
     return titles if cap is None else titles.orderBy(order).limit(cap)
 
 
+def _grams(text: Column, n: int) -> Column:
+    """The distinct substrings of ``n`` characters, as 64-bit hashes: what they name is compared in full later."""
+    found = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
+    return F.transform(F.array_distinct(found), lambda g: F.xxhash64(F.lit(n), g))
+
+
 def match_keywords(df: DataFrame, keywords: DataFrame, keyword: str = "keyword",
-                   title: str = "title", summary: str = "summary",
-                   part_bytes: int = 1 << 20) -> DataFrame:
+                   title: str = "title", summary: str = "summary", gram: int = 4) -> DataFrame:
     """Rows whose ``title + ' ' + summary`` contains any keyword, whatever the case.
 
-    The list is cut by hash into parts of about ``part_bytes``, each a literal array tested inside the
-    scan stage: no shuffle, no id needed, and the driver holds one part at a time.  What no part has
-    matched yet is written before the next part looks at it.  No keywords: every row is kept.
+    An inverted filter: each keyword is filed under that of its ``gram``-character substrings that the fewest texts
+    hold (shorter keywords under themselves).  The texts' substrings meet the files in one join, and a
+    pair that meets is a match if the text contains the whole keyword.  So the work follows the texts
+    and the pairs that share a rare substring, not texts times keywords.  The list stays on the executors.
+
+    Texts are told apart by digest, so rows need no id and equal texts are looked at once.  No keywords:
+    every row is kept; so it is if the empty keyword is among them.
     """
     low = keywords.select(F.lower(keyword).alias("k")).filter(F.col("k").isNotNull()).distinct()
-    size = low.agg(F.sum(F.octet_length("k") + F.lit(16)).alias("b"),
-                   F.min(F.length("k")).alias("shortest")).first()
-    if size["b"] is None or size["shortest"] == 0:  # the empty string is in every text
+    lengths = [r["n"] for r in low.select(F.least(F.length("k"), F.lit(gram)).alias("n")).distinct().collect()]
+    if not lengths or 0 in lengths:  # the empty string is in every text
         return df
-    parts = math.ceil(size["b"] / part_bytes)
     haystack = F.lower(F.concat(
         F.coalesce(F.col(title), F.lit("")), F.lit(" "), F.coalesce(F.col(summary), F.lit(""))))
-    found, rest = None, df
-    for part in range(parts):
-        mine = low.filter(F.pmod(F.xxhash64("k"), F.lit(parts)) == part).collect()
-        if not mine:
-            continue
-        words = F.array(*[F.lit(r["k"]) for r in mine])
-        # the one-element array binds the lower-cased text once, not once per keyword
-        hit = F.exists(F.array(haystack), lambda text: F.exists(  # noqa: B023
-            words, lambda k: F.contains(text, k)))  # noqa: B023
-        here = rest.filter(hit)
-        found = here if found is None else found.unionByName(here)
-        if part < parts - 1:
-            rest = cut(rest.filter(~hit))
-    return found
+    digest = F.substring(F.unhex(F.sha2(haystack, 256)), 1, 16)
+    texts = df.select(digest.alias("_digest"), haystack.alias("_text"))
+    own = F.coalesce(*[F.when(F.least(F.length("k"), F.lit(gram)) == n, _grams(F.col("k"), n)) for n in sorted(lengths)])
+    filed = cut(low.select("k", F.explode(own).alias("g")))
+    every = F.concat(*[_grams(F.col("_text"), n) for n in sorted(lengths)])
+    met = cut(texts.dropDuplicates(["_digest"]).select("_digest", F.explode(every).alias("g")).join(
+        filed.select("g").distinct(), "g"))
+    held = met.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    # a substring that no text holds rules its keyword out
+    rarest = filed.join(held, "g", "left").groupBy("k").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "g")).alias("m")).filter("m.n > 0").select("k", "m.g")
+    pairs = met.join(rarest, "g").select("_digest", "k")
+    hits = texts.dropDuplicates(["_digest"]).join(pairs, "_digest").filter(
+        F.contains("_text", "k")).select("_digest").distinct()
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+    return df.select(row, digest.alias("_digest")).join(cut(hits), "_digest", "left_semi").select("_row.*")

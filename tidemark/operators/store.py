@@ -1,4 +1,10 @@
-"""Trend table: versions on plain files, upsert, expiry, replace-by-status."""
+"""Trend table: versions on plain files, or folders by day; upsert, expiry, replace-by-status.
+
+In the day layout a row lies in the folder of the day of its last update (rows without one in a folder of
+their own).  An append adds files.  An upsert rewrites the days that lose or get a row, by Spark's dynamic partition
+overwrite, and no others; expiry drops whole folders and rewrites the one that the limit cuts.  Each change is written
+beside the store first, and repeating one that was cut short gives the same rows.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import times
+from tidemark.runtime import cut
 
 
 def _fs(spark: SparkSession, path: str):
@@ -84,3 +91,74 @@ def replace_pending(store: DataFrame, new: DataFrame) -> DataFrame:
 
 def delete_trend(store: DataFrame, ids: DataFrame, key: str = "trend_id") -> DataFrame:
     return store.join(ids.select(key), key, "left_anti")
+
+
+# --------------------------------------------------------------------------- folders by day
+
+DAY = "day"
+
+
+def _by_day(df: DataFrame) -> DataFrame:
+    return df.withColumn(DAY, F.to_date("last_updated"))
+
+
+def append_days(new: DataFrame, root: str) -> None:
+    """Add the rows as further files of their days."""
+    _by_day(new).write.mode("append").partitionBy(DAY).parquet(root)
+
+
+def load_days(spark: SparkSession, root: str) -> DataFrame:
+    """All rows with their ``day``; a filter on it reads only those folders."""
+    return spark.read.parquet(root)
+
+
+def _folder(root: str, day) -> str:
+    return f"{root}/{DAY}={'__HIVE_DEFAULT_PARTITION__' if day is None else day}"
+
+
+def _drop_days(spark: SparkSession, root: str, days) -> None:
+    for day in days:
+        fs, path = _fs(spark, _folder(root, day))
+        fs.delete(path, True)
+
+
+def _rewrite(spark: SparkSession, rows: DataFrame, root: str, days: list) -> None:
+    """Make ``rows`` all that the ``days`` hold."""
+    held = cut(rows)  # read from the folders that are about to change
+    held.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(root)
+    left = {r[DAY] for r in held.select(DAY).distinct().collect()}
+    _drop_days(spark, root, [d for d in days if d not in left])  # days that lost their last row
+
+
+def _of_days(store: DataFrame, days: list) -> DataFrame:
+    named = F.col(DAY).isin([d for d in days if d is not None])
+    return store.filter(F.coalesce(named, F.lit(False)) | F.col(DAY).isNull() if None in days else named)
+
+
+def upsert_days(incoming: DataFrame, root: str, key: str = "trend_id") -> list:
+    """Incoming rows replace stored rows of the same id, the others are added; returns the days rewritten.
+
+    The days, at most one a day of the store's span, are what the driver sees.
+    """
+    spark = incoming.sparkSession
+    fresh, store = cut(_by_day(incoming)), load_days(spark, root)
+    keys = fresh.select(key)
+    touched = store.select(key, DAY).join(keys, key, "left_semi").select(DAY).unionByName(fresh.select(DAY))
+    days = [r[DAY] for r in touched.distinct().collect()]
+    kept = _of_days(store, days).join(keys, key, "left_anti")
+    _rewrite(spark, kept.unionByName(fresh, allowMissingColumns=True), root, days)
+    return sorted(days, key=str)
+
+
+def expire_days(spark: SparkSession, root: str, now, days: int = 3) -> list:
+    """Remove rows last updated more than ``days`` before ``now``; returns the days that were dropped or rewritten."""
+    store = load_days(spark, root)
+    # the filter reaches the partition column, so only folder names are listed for whole days
+    limit = F.to_date(times.clock(now) - F.make_dt_interval(F.lit(days)))
+    old = [r[DAY] for r in store.filter(F.col(DAY) < limit).select(DAY).distinct().collect()]
+    edge = store.filter(F.col(DAY) == limit)
+    cut_by = [r[DAY] for r in edge.filter(is_expired(now, days)).select(DAY).distinct().collect()]
+    _drop_days(spark, root, old)
+    if cut_by:
+        _rewrite(spark, edge.filter(~is_expired(now, days)), root, cut_by)
+    return sorted(old + cut_by)
