@@ -135,26 +135,27 @@ class Index(NamedTuple):
             return np.zeros(0, dtype=np.int64), np.zeros(0)
         piece = np.repeat(self.pieces[terms] - np.cumsum(count) + count, count) + np.arange(count.sum())
         weight = np.repeat(weights, count)
-        met, place = np.unique(self.block[piece], return_inverse=True)
-        bound = np.bincount(place, weight * self.most[piece])
-        turn = np.argsort(-bound, kind="stable")
-        rank = np.empty_like(turn)
-        rank[turn] = np.arange(len(turn))
-        order = np.argsort(rank[place], kind="stable")  # pieces by block, the highest bound first
-        piece, weight = piece[order], weight[order]
-        ends = np.searchsorted(rank[place][order], np.arange(len(turn) + 1))
+        block = self.block[piece]
+        bound = np.bincount(block, weight * self.most[piece])
+        turn = np.argsort(-bound, kind="stable")[:np.count_nonzero(bound)]  # the highest bound first
         bound = bound[turn] + BOUND_SLACK
-        found, near, kth, at, step = [], [], 0.0, 0, 1
+        place = np.full(int(block.max()) + 1, -1)
+        found, near, kth, at, step = [], [], 0.0, 0, 4
         while at < len(turn) and bound[at] >= kth:
             to = min(at + step, int(np.searchsorted(-bound, -kth, side="right")))
-            mine = slice(ends[at], ends[to])
+            chosen = turn[at:to]
+            place[chosen] = np.arange(len(chosen))
+            mine = np.flatnonzero(place[block] >= 0)
             size = self.begins[piece[mine] + 1] - self.begins[piece[mine]]
             posting = np.repeat(self.begins[piece[mine]] - np.cumsum(size) + size, size) + np.arange(size.sum())
-            example, where = np.unique(self.members[posting], return_inverse=True)
-            found.append(example)
-            near.append(np.round(np.bincount(where, np.repeat(weight[mine], size) * self.weights[posting]), 9))
+            local = np.repeat(place[block[mine]] * BLOCK, size) + self.members[posting] % BLOCK
+            similar = np.bincount(local, np.repeat(weight[mine], size) * self.weights[posting], len(chosen) * BLOCK)
+            hit = np.flatnonzero(similar)
+            found.append(chosen[hit // BLOCK] * BLOCK + hit % BLOCK)
+            near.append(np.round(similar[hit], 9))
+            place[chosen] = -1
             if but is not None:
-                near[-1][self.ids[example] == but] = 0
+                near[-1][self.ids[found[-1]] == but] = 0
             together = np.concatenate(near)
             if np.count_nonzero(together) >= k:
                 kth = float(np.partition(together, len(together) - k)[len(together) - k])
