@@ -260,7 +260,8 @@ def keep_first(docs: DataFrame) -> DataFrame:
     gone = cut(copies(docs))
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                       F.col("doc_id").cast("long").alias("id"), _content("text").alias("digest"))
-    return own.join(gone, ["id", "digest"], "left_anti").select("row.*")
+    # one plan for every size: what goes is never broadcast
+    return own.join(gone.hint("merge"), ["id", "digest"], "left_anti").select("row.*")
 
 
 def report(docs: DataFrame) -> DataFrame:
