@@ -397,7 +397,8 @@ def store_by_day(spark, sf):
     store.append_days(t.filter("side = 's'").select(*columns), root)
     store.upsert_days(new.select(*columns), root)
     store.expire_days(spark, root, _CUT)
-    return store.load_days(spark, root).select("trend_id", "topic", "total_views", F.date_format("day", "yyyy-MM-dd").alias("day"))
+    empty = new.select(*columns, F.to_date("last_updated").alias("day")).schema
+    return store.load_days(spark, root, empty).select("trend_id", "topic", "total_views", F.date_format("day", "yyyy-MM-dd").alias("day"))
 
 
 @query("expire_trends", f"""WITH {TRENDS} SELECT trend_id, ts >= TIMESTAMP '{_CUT}' - INTERVAL 3 DAY AS kept FROM trends""")

@@ -107,8 +107,15 @@ def append_days(new: DataFrame, root: str) -> None:
     _by_day(new).write.mode("append").partitionBy(DAY).parquet(root)
 
 
-def load_days(spark: SparkSession, root: str) -> DataFrame:
-    """All rows with their ``day``; a filter on it reads only those folders."""
+def _has_days(spark: SparkSession, root: str) -> bool:
+    fs, path = _fs(spark, f"{root}/{DAY}=*")
+    return bool(fs.globStatus(path))
+
+
+def load_days(spark: SparkSession, root: str, schema=None) -> DataFrame:
+    """All rows with their ``day``; a filter on it reads only those folders.  ``schema`` is that of a store without rows."""
+    if schema is not None and not _has_days(spark, root):
+        return spark.createDataFrame([], schema)
     return spark.read.parquet(root)
 
 
@@ -141,7 +148,8 @@ def upsert_days(incoming: DataFrame, root: str, key: str = "trend_id") -> list:
     The days, at most one a day of the store's span, are what the driver sees.
     """
     spark = incoming.sparkSession
-    fresh, store = cut(_by_day(incoming)), load_days(spark, root)
+    fresh = cut(_by_day(incoming))
+    store = load_days(spark, root, fresh.schema)
     keys = fresh.select(key)
     touched = store.select(key, DAY).join(keys, key, "left_semi").select(DAY).unionByName(fresh.select(DAY))
     days = [r[DAY] for r in touched.distinct().collect()]
@@ -152,6 +160,8 @@ def upsert_days(incoming: DataFrame, root: str, key: str = "trend_id") -> list:
 
 def expire_days(spark: SparkSession, root: str, now, days: int = 3) -> list:
     """Remove rows last updated more than ``days`` before ``now``; returns the days that were dropped or rewritten."""
+    if not _has_days(spark, root):
+        return []
     store = load_days(spark, root)
     # the filter reaches the partition column, so only folder names are listed for whole days
     limit = F.to_date(times.clock(now) - F.make_dt_interval(F.lit(days)))
