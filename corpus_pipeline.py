@@ -1,13 +1,14 @@
 """Documents to token ids: toxic texts, copies and test passages go, personal data is masked, the rest is encoded.
 
 Each stage gets what its predecessor kept.  It is written as Parquet in the shared folder and read again, so a
-lost executor costs one stage's tasks and no stage is computed twice.  All stages but the last return the columns
+lost executor costs one stage's tasks and no stage is computed twice; what a stage wrote on its way is then dropped.  All stages but the last return the columns
 of ``documents``.  Null texts, null ids, repeated rows and extra columns are treated as the operators say.
 """
 
 from __future__ import annotations
 
 import sys
+from functools import partial
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -17,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from tidemark.llm import bpe, decontaminate, pii, simhash, toxicity  # noqa: E402
-from tidemark.llm.base import cut, table  # noqa: E402
+from tidemark.llm.base import table  # noqa: E402
+from tidemark.runtime import settled  # noqa: E402
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -68,5 +70,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = cut(stage(spark, docs, sf_dir))
+        docs = settled(spark, partial(stage, spark, docs, sf_dir))
     return docs

@@ -1,13 +1,14 @@
 """Keyword lifecycle, streaming intake, snapshots, pluggable functions, the whole batch."""
 
+import os
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark import schemas
+from tidemark import runtime, schemas
 from tidemark.config import ClusterConfig, Settings
-from tidemark.operators import annotate, embed, keywords as kw, store
+from tidemark.operators import annotate, embed, keywords as kw, rollup, store
 from tidemark.plans import detect, discover
 from tidemark.sources import fixtures as fx
 from tidemark.sources import snapshots
@@ -116,6 +117,62 @@ def test_hold_back_and_commit_after_success(spark, tmp_path):
     run()
     assert len(seen) == 1                  # nothing is processed twice
     assert hold.waiting(spark, spark.range(1).schema).count() == 39
+    assert len(os.listdir(f"{root}/landed")) <= 2  # what was taken is gone: the waiting batch, maybe an empty one
+
+
+def test_restart_reads_from_the_earliest(spark, tmp_path):
+    src, root, ckpt = (str(tmp_path / p) for p in ("in", "work", "ckpt"))
+    seen = []
+    hold = intake.HoldBack(root, lambda df, run: seen.append((run, sorted(r["id"] for r in df.collect()))), min_rows=2)
+    stream = lambda: intake.stream_files(spark, src, spark.range(1).schema)
+    _files(spark, src, 0, 3)
+    hold.start(stream(), ckpt).awaitTermination()
+    _files(spark, src, 3, 1)                # waits
+    hold.start(stream(), ckpt).awaitTermination()
+    hold.restart(stream(), ckpt).awaitTermination()
+    assert [rows for _, rows in seen] == [[0, 1, 2], [0, 1, 2, 3]]
+    assert len({run for run, _ in seen}) == 2
+    assert hold.waiting(spark, spark.range(1).schema).count() == 0
+
+
+def test_runs_of_threads_do_not_meet(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+
+    meet = Barrier(2)
+
+    def work(n):
+        with runtime.run(spark) as folder:
+            meet.wait(60)
+            inside = runtime.cut(spark.range(n))
+            meet.wait(60)
+            assert all(path.startswith(f"file:{folder}") or folder in path for path in inside.inputFiles())
+            return inside.count()
+
+    with ThreadPoolExecutor(2) as pool:
+        assert list(pool.map(work, (3, 5))) == [3, 5]
+
+
+def test_settled_leaves_the_result_only(spark):
+    made = []
+
+    def make():
+        made.append(runtime.cut(spark.range(7)))
+        return made[0].filter("id > 2")
+
+    kept = runtime.settled(spark, make)
+    assert kept.count() == 4
+    assert not any(os.path.exists(p.removeprefix("file:")) for p in made[0].inputFiles())
+
+
+def test_observed_stages(spark):
+    stages = ["a", "b", "c"]
+    for rows in (spark.range(10), spark.range(0)):
+        observed, counts = rollup.observed_stages(rows, (F.col("id") % 3 + 1).cast("int"), stages)
+        written = runtime.cut(observed)
+        got = [(r["stage"], r["input_count"], r["output_count"], r["dropped"]) for r in counts().collect()]
+        many = written.count() > 0
+        assert got == ([("a", 10, 10, 0), ("b", 10, 6, 4), ("c", 6, 3, 3)] if many else [(s, 0, 0, 0) for s in stages])
 
 
 def test_snapshots(spark, tmp_path):
@@ -192,10 +249,15 @@ def test_live_detection(spark, tmp_path):
     payloads.unionByName(payloads).coalesce(1).write.parquet(src)  # every message comes twice
     at = datetime(2024, 1, 31)
     cfg = Settings(cluster=ClusterConfig(min_cluster_size=5, min_samples=5))
-    run = live.DetectionRun(str(tmp_path / "trends"), lambda: at, cfg=cfg,
+    scratch = runtime.shared_dir(spark)
+    before = set(os.listdir(scratch.removeprefix("file:")))
+    run = live.DetectionRun(str(tmp_path / "trends"), lambda: at, cfg=cfg, records_root=str(tmp_path / "records"),
                             metrics_root=str(tmp_path / "metrics"), audit_root=str(tmp_path / "audit"))
     stream = intake.stream_files(spark, src, payloads.schema, "parquet")
     live.watch(stream, str(tmp_path / "work"), str(tmp_path / "ckpt"), run).awaitTermination()
+    assert set(os.listdir(scratch.removeprefix("file:"))) == before  # nothing of the run is left
+    record = snapshots.read_run_metrics(spark, str(tmp_path / "records"), array_files=False).first()
+    assert record["stages"]["StorageStage"]["saved_count"] == run.trends(spark).count()
     arrived = positions(payloads.unionByName(payloads), [F.col("payload").asc()], "ingest_seq")
     items = live.first_arrivals(detect.from_payloads(arrived, "payload", at))
     assert items.count() == detect.from_payloads(arrived, "payload", at).dropDuplicates(["source", "content_id"]).count()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from tidemark.catalog.base import ITEMS, query
@@ -11,12 +13,17 @@ from tidemark.sources import fixtures as fx
 from tidemark.streaming import intake
 
 
-def _landing(spark, sf, copies=1, files=4):
-    """All items as message files, each delivered ``copies`` times."""
+# rows of a message file, so that what a micro-batch reads does not grow with the table
+FILE_ROWS = 50_000
+
+
+def _landing(spark, sf, copies=1, least=4):
+    """All items as message files, each delivered ``copies`` times, in ``least`` files or more."""
     root = scratch_path(spark, "landing")
     items = fx.content_items(spark, sf).select(
         "source", "content_id", "collected_at", F.length("text").cast("long").alias("chars"))
     repeated = items.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("copy")
+    files = max(least, math.ceil(copies * items.count() / FILE_ROWS))
     repeated.repartition(files).write.json(root)
     return root, items.schema
 
@@ -42,8 +49,8 @@ def stream_without_replays(spark, sf):
 
 @query("stream_hold_back", f"""WITH {ITEMS} SELECT source, count(*) AS n FROM items GROUP BY source""")
 def stream_hold_back(spark, sf):
-    """Twelve micro-batches of one file; rows wait until enough are there, then one run takes them."""
-    root, schema = _landing(spark, sf, files=12)
+    """Twelve micro-batches or more of one file; rows wait until enough are there, then one run takes them."""
+    root, schema = _landing(spark, sf, least=12)
     base = scratch_path(spark, "hold")
     total = spark.read.schema(schema).json(root).count()
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.catalog.base import ITEMS, MEMBERS, NOW, SCORED, TRENDS, VECTORS, joined, query, stamp
+from tidemark.catalog.base import CHECKED, ITEMS, MEMBERS, NOW, SCORED, TRENDS, VECTORS, joined, query, stamp
 from tidemark.functions import similarity as sim
 from tidemark.operators import matching, normalize, quality, ranking, rollup, store
 from tidemark.sources import fixtures as fx
-from tidemark.runtime import scratch_path
+from tidemark.runtime import cut, scratch_path
 
 _BY_VIEWS = "total_views DESC, total_likes DESC, trend_id"
 
@@ -195,6 +195,37 @@ def run_metrics_objects(spark, sf):
         F.col("stages")["ClusteringStage"]["cluster_count"].alias("clusters"), place.alias("place"))
 
 
+@query("run_metrics_written", f"""WITH {CHECKED}, kept AS (SELECT * FROM checked WHERE ok_clean AND reason IS NULL),
+ l AS (SELECT source, language, count(*) AS size FROM kept GROUP BY 1, 2)
+SELECT 'total_batches' AS metric, '' AS value, CAST(3 AS DOUBLE) AS n
+UNION ALL SELECT 'total_items_processed', '', CAST(count(*) AS DOUBLE) FROM checked
+UNION ALL SELECT 'total_clusters_detected', '', CAST(count(*) AS DOUBLE) FROM l
+UNION ALL SELECT 'total_trends_saved', '', CAST(count(*) AS DOUBLE) FROM l
+UNION ALL SELECT 'avg_cluster_size', '', round(avg(size), 6) FROM l
+UNION ALL SELECT 'sentiment', (['positive','negative','neutral'])[size % 3 + 1], CAST(count(*) AS DOUBLE) FROM l GROUP BY 2
+UNION ALL SELECT 'risk_level', 'safe', CAST(count(*) AS DOUBLE) FROM l
+UNION ALL SELECT 'source_distribution', source, CAST(count(*) AS DOUBLE) FROM kept GROUP BY source""")
+def run_metrics_written(spark, sf):
+    """A batch a feed: its rows are written, its record comes from that write, and the records are summarised."""
+    from tidemark.plans import detect
+    from tidemark.sources import snapshots
+
+    root = scratch_path(spark, "written")
+    codes = F.ascii("language") * 256 + F.ascii(F.substring("language", 2, 1))
+    for source in ("tiktok", "youtube", "vnexpress"):
+        rows = fx.content_items(spark, sf).filter(F.col("source") == source).withColumn("cluster_id", codes)
+        observed, counts = rollup.observed_stages(rows, detect.stages_passed(), detect.STAGES[:3])
+        kept = cut(detect.prepare(cut(observed)))
+        topics = kept.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("size")).select(
+            (F.col("size") % 2 == 0).alias("is_merged"),
+            F.element_at(F.array(*[F.lit(x) for x in ("positive", "negative", "neutral")]),
+                         (F.col("size") % 3 + 1).cast("int")).alias("sentiment"),
+            F.lit("safe").alias("risk_level"), F.lit("drama").alias("content_type"))
+        snapshots.write_run_metrics(rollup.run_record(counts(), kept, topics, NOW), root, source)
+    back = snapshots.read_run_metrics(spark, root, array_files=False)
+    return rollup.summarize_runs(back).withColumn("n", F.round("n", 6))
+
+
 # ------------------------------------------------------------------ similarity and matching
 
 @query("set_overlap", f"""WITH {TRENDS}, p AS (SELECT n.trend_id AS new_id, s.trend_id AS old_id,

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from tidemark import schemas
 from tidemark.functions import engagement as eng
+from tidemark.functions import times
 from tidemark.functions import vectors as vec
 
 
@@ -121,6 +125,64 @@ def stage_counts(df: DataFrame, reached: Column, stages: list[str]) -> DataFrame
     )
 
 
+def observed_stages(df: DataFrame, reached: Column, stages: list[str]) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """(rows, counts): the stage counts come from the pass that writes the rows, not from a pass of their own.
+
+    ``counts()`` is called after that write and has the columns of :func:`stage_counts`, zeros for no rows.  The
+    rows must go to their write without a further shuffle: a task of a write that runs again counts once, one of
+    a shuffle may count twice.
+    """
+    seen = Observation()
+    observed = df.observe(seen, *[F.count_if(reached >= i).alias(f"s{i}") for i in range(len(stages) + 1)])
+
+    def counts() -> DataFrame:
+        n = [seen.get[f"s{i}"] for i in range(len(stages) + 1)]
+        return df.sparkSession.createDataFrame(
+            [(i, s, n[i], n[i + 1], n[i] - n[i + 1]) for i, s in enumerate(stages)],
+            "stage_no int, stage string, input_count long, output_count long, dropped long")
+    return observed, counts
+
+
+_STAGE = schemas.RUN_METRICS["stages"].dataType.valueType
+
+
+def _stage(**known: Column) -> Column:
+    return F.struct(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in _STAGE.fields])
+
+
+def _tally(df: DataFrame, key: str) -> Column:
+    """Map from value to rows, rows without a value left out, as a scalar."""
+    counted = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return counted.agg(F.map_from_entries(F.collect_list(F.struct(key, "n")))).scalar()
+
+
+def run_record(counts: DataFrame, items: DataFrame, trends: DataFrame, now, key: str = "cluster_id") -> DataFrame:
+    """One row in the layout of the metrics files.
+
+    ``counts`` are stage counts, ``items`` the clustered items, ``trends`` the merged and new ones (``is_merged``).
+    """
+    stages = counts.agg(F.map_from_entries(F.collect_list(F.struct("stage", _stage(
+        input_count=F.col("input_count"), output_count=F.col("output_count")))))).scalar()
+    groups = cluster_sizes(items, key).agg(
+        F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list("size"), asc=False).alias("sizes"))
+    noise = cluster_stats(items, key)
+    merged = trends.agg(F.struct(F.count_if("is_merged").alias("old"), F.count_if(~F.col("is_merged")).alias("new"),
+                                 F.count(F.lit(1)).alias("all"))).scalar()
+    cluster = groups.agg(F.first(F.struct("n", "sizes"))).scalar()
+    noisy = noise.agg(F.first(F.struct("noise_count", "noise_rate"))).scalar()
+    late = F.create_map(
+        F.lit("ClusteringStage"), _stage(
+            cluster_count=cluster["n"], cluster_sizes=cluster["sizes"], noise_count=noisy["noise_count"],
+            noise_rate=F.concat(noisy["noise_rate"].cast("string"), F.lit("%"))),
+        F.lit("DeduplicationStage"), _stage(new_trends=merged["new"], merged_trends=merged["old"]),
+        F.lit("StorageStage"), _stage(saved_count=merged["all"]))
+    return items.sparkSession.range(1).select(
+        F.date_format(times.clock(now), "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
+        F.map_concat(stages, late).alias("stages"),
+        F.struct(_tally(items, "source").alias("source_distribution"), *[
+            _tally(trends, name).alias(name) for name in ("sentiment", "risk_level", "content_type")]).alias("summary"))
+
+
 def summarize_runs(runs: DataFrame) -> DataFrame:
     """(metric, value, n) over all batches: totals, mean cluster size, merged facet counts."""
     def stage(name: str, field: str) -> Column:

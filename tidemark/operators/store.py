@@ -21,6 +21,19 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def drop_numbered(spark: SparkSession, root: str, name: str, last: int) -> None:
+    """Drop the folders ``name=<n>`` below ``root`` with n up to ``last``."""
+    fs, pattern = _fs(spark, f"{root}/{name}=*")
+    for status in fs.globStatus(pattern) or []:
+        if int(status.getPath().getName().split("=")[1]) <= last:
+            fs.delete(status.getPath(), True)
+
+
 def versions(spark: SparkSession, root: str) -> list[int]:
     """Complete versions, oldest first.  A folder counts once its success mark is there."""
     fs, base = _fs(spark, root)

@@ -12,9 +12,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas
 from tidemark.config import Settings
-from tidemark.operators import store
+from tidemark.operators import rollup, store
 from tidemark.operators.ordering import positions
-from tidemark.runtime import cut
+from tidemark import runtime
 from tidemark.plans import detect
 from tidemark.sources import snapshots
 from tidemark.streaming.intake import HoldBack
@@ -36,6 +36,7 @@ class DetectionRun:
     embedder: Callable | None = None
     annotator: Callable[[str], str] | None = None
     metrics_root: str | None = None  # where each run leaves its metrics
+    records_root: str | None = None  # where it leaves them as one record in the layout of the metrics files
     audit_root: str | None = None    # where each run leaves a copy of its items
 
     def trends(self, spark: SparkSession) -> DataFrame:
@@ -47,15 +48,24 @@ class DetectionRun:
         table = store.load(spark, self.trend_root)
         if table is not None and not table.filter(F.col("run") == run).isEmpty():
             return
+        with runtime.run(spark):  # its scratch tables go at the end, also after a failure
+            self._detect(batch, run)
+
+    def _detect(self, batch: DataFrame, run: str) -> None:
+        spark = batch.sparkSession
         arrived = positions(batch, [F.col(c).asc() for c in self.order], "ingest_seq")
         now = self.clock()
         # a message may be delivered again in a later batch of the same run: its first arrival counts
-        items = cut(first_arrivals(detect.from_payloads(arrived, self.payload, now)))
+        items, counts = rollup.observed_stages(first_arrivals(detect.from_payloads(arrived, self.payload, now)),
+                                               detect.stages_passed(self.cfg), detect.STAGES[:3])
+        items = runtime.cut(items)
         if self.audit_root is not None:
             snapshots.try_write_snapshot(items, self.audit_root, run, now)
         found = detect.detect(items, self.trends(spark), now, self.cfg, self.embedder, self.annotator)
         if self.metrics_root is not None:
-            snapshots.write_run_metrics(detect.run_metrics(items, found, self.cfg), self.metrics_root, run)
+            snapshots.write_run_metrics(detect.run_metrics(items, found, self.cfg, counts()), self.metrics_root, run)
+        if self.records_root is not None:
+            snapshots.write_run_metrics(rollup.run_record(counts(), found.items, found.trends, now), self.records_root, run)
         store.publish(found.stored.withColumn("run", F.lit(run)), self.trend_root)
 
 

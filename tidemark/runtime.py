@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark import cloudpickle
@@ -15,7 +15,8 @@ import tidemark
 # task code travels with the job, so executors need no installed copy of this package
 cloudpickle.register_pickle_by_value(tidemark)
 
-_RUNS: list[str] = []
+# the folder of the run a thread is in; runs of other threads do not see it
+_RUN = "tidemark.run"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,19 +42,21 @@ def run(spark: SparkSession) -> Iterator[str]:
 
     Results that are still needed have to be written elsewhere before.
     """
-    folder = f"{shared_dir(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
-    _RUNS.append(folder)
+    context = spark.sparkContext
+    outer = context.getLocalProperty(_RUN)
+    folder = scratch_path(spark, "run")
+    context.setLocalProperty(_RUN, folder)
     try:
         yield folder
     finally:
-        _RUNS.remove(folder)
+        context.setLocalProperty(_RUN, outer)
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh sub-folder of the current run's folder, or of the shared one outside any run."""
-    base = _RUNS[-1] if _RUNS else shared_dir(spark).rstrip("/")
+    base = spark.sparkContext.getLocalProperty(_RUN) or shared_dir(spark).rstrip("/")
     return f"{base}/{label}-{uuid.uuid4().hex}"
 
 
@@ -68,6 +71,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+    """The written rows of ``make()``; the scratch tables it made on the way are gone."""
+    path = scratch_path(spark, "cut")
+    with run(spark):
+        df = make()
+        df.write.parquet(path)
+        schema = df.schema
+    return spark.read.schema(schema).parquet(path)
+
+
 def utc(spark: SparkSession) -> SparkSession:
     """All instants in the engine are UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

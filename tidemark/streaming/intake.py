@@ -61,7 +61,7 @@ class HoldBack:
     """``foreachBatch`` target: land each micro-batch, process once enough rows are waiting.
 
     Layout below ``root``: ``landed/batch=<n>`` one folder a micro-batch, rewritten when the batch is
-    replayed, and ``taken`` a versioned table of one row, the last batch processed.  Batches come in
+    replayed and dropped once taken, and ``taken`` a versioned table of one row, the last batch processed.  Batches come in
     order and a run takes all that wait, so that number tells which ones wait; it is a literal filter on
     the partition column, and what was taken is not read again.  An exception from ``process`` leaves
     both the stream's offsets and ``taken`` as they were, so the batch comes again; ``process`` gets a
@@ -71,9 +71,17 @@ class HoldBack:
     def __init__(self, root: str, process: Callable[[DataFrame, str], None], min_rows: int = 40):
         self.root, self.process, self.min_rows = root, process, min_rows
 
-    def last_taken(self, spark: SparkSession) -> int:
+    def _taken(self, spark: SparkSession) -> tuple[int, int]:
+        """Last batch processed, and how often the stream was started anew."""
         taken = store.load(spark, f"{self.root}/taken")
-        return -1 if taken is None else taken.first()["batch"]
+        row = {} if taken is None else taken.first().asDict()
+        return row.get("batch", -1), row.get("restarts", 0)
+
+    def _mark(self, spark: SparkSession, batch: int, restarts: int) -> None:
+        store.publish(spark.createDataFrame([(batch, restarts)], "batch long, restarts long"), f"{self.root}/taken")
+
+    def last_taken(self, spark: SparkSession) -> int:
+        return self._taken(spark)[0]
 
     def waiting(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
         landed = spark.read.schema(
@@ -83,18 +91,31 @@ class HoldBack:
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        if batch_id <= self.last_taken(spark):
+        last, restarts = self._taken(spark)
+        if batch_id <= last:
             return  # replay of a batch that was processed completely
         df.write.mode("overwrite").parquet(f"{self.root}/landed/batch={batch_id}")
         waiting = self.waiting(spark, df.schema)
         if not gate(waiting, self.min_rows):
             return
-        self.process(waiting.drop("batch"), f"run-{batch_id}")
-        store.publish(spark.createDataFrame([(batch_id,)], "batch long"), f"{self.root}/taken")
+        self.process(waiting.drop("batch"), f"run-{restarts}-{batch_id}" if restarts else f"run-{batch_id}")
+        self._mark(spark, batch_id, restarts)
+        store.drop_numbered(spark, f"{self.root}/landed", "batch", batch_id)  # what this leaves, the next run drops
 
     def start(self, stream: DataFrame, checkpoint: str) -> StreamingQuery:
-        """Read everything available, then stop.  A new checkpoint folder starts from the earliest."""
+        """Read everything available, then stop."""
         return (
             stream.writeStream.foreachBatch(self).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start()
         )
+
+    def restart(self, stream: DataFrame, checkpoint: str) -> StreamingQuery:
+        """Read everything again from the earliest message; nothing counts as taken or waiting.
+
+        Run names differ from those of the former passes.  Cut short, it loses no message: calling it again completes it.
+        """
+        spark = stream.sparkSession
+        self._mark(spark, -1, self._taken(spark)[1] + 1)
+        store.drop_folder(spark, checkpoint)
+        store.drop_folder(spark, f"{self.root}/landed")
+        return self.start(stream, checkpoint)
