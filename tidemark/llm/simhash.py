@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.base import add_columns, cut, slices
 from tidemark.llm.components import components
+from tidemark.runtime import settled
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
 #: Rows of a chunk of a large bucket, and rows of small buckets that are compared together.
@@ -257,7 +258,7 @@ def copies(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: in
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are no copies, with their own columns."""
-    gone = cut(copies(docs))
+    gone = settled(docs.sparkSession, lambda: copies(docs))
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                       F.col("doc_id").cast("long").alias("id"), _content("text").alias("digest"))
     # one plan for every size: what goes is never broadcast
