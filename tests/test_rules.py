@@ -5,12 +5,13 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark import schemas
+from tidemark import runtime, schemas
 from tidemark.config import MatchConfig
 from tidemark.functions import engagement as eng
 from tidemark.functions import repair, similarity as sim, text as tx, times, urls
-from tidemark.operators import normalize, quality, ranking, rollup, store
+from tidemark.operators import annotate, normalize, quality, ranking, rollup, store
 from tidemark.sources import feeds, snapshots, topics
+from tidemark.sources import fixtures as fx
 
 NOW = "2024-01-31 00:00:00"
 ITEM = ("content_id string, source string, text string, hashtags array<string>, views long, likes long,"
@@ -325,3 +326,36 @@ def test_days_of_a_store(spark, tmp_path):
     assert all(last.get(p) == now[p] for p in now if not any(f"day={d}" in str(p) for d in gone))
     plan = store.load_days(spark, root).filter(F.col("day") < F.lit("2024-01-03").cast("date"))._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(day" in plan
+
+
+def test_learnt_words(spark):
+    rows = [(i, f"fine sunny day w{i % 7}", "positive") for i in range(20)] + [
+        (i, f"awful rainy day w{i % 7}", "negative") for i in range(20, 50)] + [(99, "awful", None), (98, None, "positive")]
+    labelled = spark.createDataFrame(rows, "id long, text string, label string")
+    words = annotate.learn_words(labelled, least=2.0)
+    found = {(r["label"], r["term"]): r["weight"] for r in words.collect()}
+    assert found["positive", "fine"] > 0 and found["negative", "awful"] > 0
+    texts = spark.createDataFrame([(1, "A FINE day"), (2, "awful, awful"), (3, "nothing known"), (4, ""), (5, None)],
+                                  "cluster_id long, text string")
+    said = {r["cluster_id"]: r["label"] for r in annotate.judge(annotate.terms(texts), words).collect()}
+    assert said[1] == "positive" and said[2] == "negative" and not {3, 4, 5} & set(said)
+    tone = {r["cluster_id"]: r["sentiment"] for r in annotate.annotate_offline(texts, tone_words=words).collect()}
+    assert tone == {1: "positive", 2: "negative", 3: "neutral", 4: "neutral", 5: "neutral"}
+    assert annotate.learn_words(labelled.filter("label = 'positive'")).isEmpty()
+    assert annotate.learn_words(labelled.limit(0)).isEmpty()
+
+
+def test_learnt_words_on_held_out_texts(spark):
+    """Learnt on two thirds of the labelled documents, judged on the rest: better than the most frequent label."""
+    sf = "/root/testdata/sf0.1"
+    docs = fx.table(spark, sf, "documents").join(fx.table(spark, sf, "labels"), "doc_id").withColumn(
+        "label", F.when(F.col("toxic") == 1, "toxic").otherwise("calm"))
+    held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    words = runtime.cut(annotate.learn_words(docs.filter(~held)))
+    judged = annotate.judge(annotate.terms(docs.filter(held), "doc_id"), words, "doc_id").select("doc_id", F.col("label").alias("said"))
+    said = F.coalesce("said", F.lit("calm"))
+    row = docs.filter(held).join(judged, "doc_id", "left").agg(
+        F.avg((F.col("label") == said).cast("int")).alias("right"), F.avg((F.col("label") == "calm").cast("int")).alias("calm"),
+        F.avg(F.when(F.col("label") == "toxic", (said == "toxic").cast("int"))).alias("found")).first()
+    print("accuracy", row)
+    assert row["right"] > row["calm"] + 0.03 and row["found"] > 0.7

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tidemark.catalog.base import ITEMS, NOW, SCORED, joined, query
@@ -91,6 +92,23 @@ def mutual_reachability(spark, sf):
         "a", "b", F.round("weight", 6).alias("weight"))
 
 
+_PROBED = """pv AS (SELECT vec_id AS pv_id, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id < 16),
+ e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+ o AS (SELECT e.vec_id, pv_id, row_number() OVER (PARTITION BY e.vec_id ORDER BY list_distance(e.v, pv.v), pv_id) AS nth FROM e, pv),
+ p AS (SELECT a.vec_id AS a, b.vec_id AS b, list_distance(x.v, y.v) AS d FROM o a JOIN o b ON a.pv_id = b.pv_id AND a.nth <= 12 AND b.nth = 1
+   JOIN e x ON x.vec_id = a.vec_id JOIN e y ON y.vec_id = b.vec_id WHERE a.vec_id <> b.vec_id),
+ k AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY d, b) AS rn FROM p)"""
+
+
+@query("approximate_neighbours", f"WITH {_PROBED} SELECT a AS vec_id, b AS nbr, round(d, 6) AS dist FROM k WHERE rn <= 15")
+def approximate_neighbours(spark, sf):
+    """The 15 nearest of every vector in the twelve of sixteen cells nearest to it; the first sixteen vectors are the pivots."""
+    rows = fx.unit_vectors(spark, sf)
+    pivots = np.array([r["embedding"] for r in rows.filter("vec_id < 16").orderBy("vec_id").collect()])
+    return clustering.approximate_neighbours(rows, 15, "vec_id", probes=12, pivots=pivots).select(
+        F.col("id").alias("vec_id"), "nbr", F.round("dist", 6).alias("dist"))
+
+
 @query("cluster_nothing_left", "SELECT vec_id, CAST(-1 AS BIGINT) AS cluster_id FROM embeddings WHERE len(embedding) = 0")
 def cluster_nothing_left(spark, sf):
     """A batch of which the filters have left no row: no cluster, no error."""
@@ -267,6 +285,42 @@ def annotate_offline(spark, sf):
         "cluster_id", "topic", joined("keywords"), "sentiment", "content_type", "risk_level")
 
 
+_LEARNT = """l AS (SELECT doc_id, text, CASE WHEN toxic = 1 THEN 'negative' WHEN quality = 1 THEN 'positive' ELSE 'neutral' END AS label
+  FROM documents JOIN labels USING (doc_id)),
+ u AS (SELECT DISTINCT doc_id, label, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS term FROM l),
+ h AS (SELECT label, term, count(*)::DOUBLE AS n FROM u WHERE term <> '' GROUP BY 1, 2),
+ s AS (SELECT label, sum(n) AS texts FROM h GROUP BY 1),
+ c AS (SELECT label, term, n + 0.5 AS a, texts - n + 0.5 AS b, sum(n) OVER (PARTITION BY term) - n + 0.5 AS c,
+   (SELECT sum(texts) FROM s) - texts - (sum(n) OVER (PARTITION BY term) - n) + 0.5 AS d FROM h JOIN s USING (label)),
+ learnt AS (SELECT label, term, ln(a / b) - ln(c / d) AS weight FROM c
+   WHERE abs(ln(a / b) - ln(c / d)) >= 4.0 * sqrt(1 / a + 1 / b + 1 / c + 1 / d)
+   UNION ALL SELECT label, '', ln(count(*)::DOUBLE / ((SELECT count(*) FROM l) - count(*))) FROM l GROUP BY label)"""
+
+
+def _learnt(spark, sf):
+    docs = fx.table(spark, sf, "documents", heavy=True).join(fx.table(spark, sf, "labels"), "doc_id")
+    return annotate.learn_words(docs.withColumn("label", F.when(F.col("toxic") == 1, "negative").when(
+        F.col("quality") == 1, "positive").otherwise("neutral")))
+
+
+@query("learn_words", f"WITH {_LEARNT} SELECT label, term, round(weight, 6) AS weight FROM learnt")
+def learn_words(spark, sf):
+    """Word weights of three tones from the labelled documents."""
+    return _learnt(spark, sf).select("label", "term", F.round("weight", 6).alias("weight"))
+
+
+@query("judge_texts", f"""WITH {_LEARNT}, t AS (SELECT DISTINCT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS term FROM documents),
+ sc AS (SELECT doc_id, label, round(sum(learnt.weight) + any_value(o.weight), 9) AS score FROM t JOIN learnt ON learnt.term = t.term
+  JOIN learnt o USING (label) WHERE t.term <> '' AND o.term = '' GROUP BY 1, 2),
+ r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) AS rn FROM sc)
+SELECT doc_id, label, round(score, 6) AS score FROM r WHERE rn = 1""")
+def judge_texts(spark, sf):
+    """The tone of every document by the learnt words."""
+    words = cut(_learnt(spark, sf))
+    counted = cut(annotate.terms(fx.table(spark, sf, "documents", heavy=True), "doc_id"))
+    return annotate.judge(counted, words, "doc_id").select("doc_id", "label", F.round("score", 6).alias("score"))
+
+
 # ------------------------------------------------------------------ the whole batch
 
 def _detected(spark, sf):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -121,6 +121,50 @@ def class_terms(counted: DataFrame, k: int = 5, key: str = "cluster_id") -> Data
         key, "rank", "term", "score")
 
 
+def learn_words(labelled: DataFrame, label: str = "label", text: str = "text", prior: float = 0.5,
+                least: float = 4.0) -> DataFrame:
+    """(label, term, weight): how much a word speaks for each label, learnt from the caller's labelled texts.
+
+    The unit is a word of a text, counted once a text; a label's units are all its texts' different words, so long
+    texts do not make every word speak for their label.  The weight is the log-odds of the word among the label's units,
+    less that among all others, with ``prior`` added to each of the four counts; words whose weight is less than
+    ``least`` standard errors from zero are left out (4, because thousands of words are tried).  The empty term holds the
+    log-odds of the label itself.  Only aggregates; copies of one text count each.  Rows without a label teach nothing.
+    With one label only nothing is learnt.
+    """
+    from tidemark.runtime import cut
+
+    known = labelled.filter(F.col(label).isNotNull()).select(F.col(label).alias("label"), text)
+    held = cut(known.select("label", F.explode(F.array_distinct(tx.pieces(F.col(text)))).alias("term")).filter(
+        "term <> ''").groupBy("label", "term").agg(F.count(F.lit(1)).alias("n")))
+    sizes = held.groupBy("label").agg(F.sum("n").alias("units"))
+    every = held.agg(F.sum("n")).scalar()
+    whole = held.groupBy("term").agg(F.sum("n").alias("everywhere"))
+    inside, outside = F.col("n") + prior, F.col("everywhere") - F.col("n") + prior
+    no_inside = F.col("units") - F.col("n") + prior
+    no_outside = every - F.col("units") - (F.col("everywhere") - F.col("n")) + prior
+    texts = F.sum("texts").over(Window.partitionBy())  # a row a label
+    before = known.groupBy("label").agg(F.count(F.lit(1)).alias("texts")).withColumn("rest", texts - F.col("texts")).filter(
+        "rest > 0").select("label", F.lit("").alias("term"), F.log(F.col("texts") / F.col("rest")).alias("weight"))
+    return held.join(whole, "term").join(sizes, "label").withColumn(
+        "weight", F.log(inside / no_inside) - F.log(outside / no_outside)).filter(
+        (every > F.col("units")) & (F.abs("weight") >= least * F.sqrt(
+            1 / inside + 1 / no_inside + 1 / outside + 1 / no_outside))).select(
+        "label", "term", "weight").unionByName(before)
+
+
+def judge(counted: DataFrame, words: DataFrame, key: str = "cluster_id") -> DataFrame:
+    """(key, label, score): the label for which the words of a text or cluster speak most, counted (key, term, n).
+
+    The score is the label's own log-odds and the weights of the different words; equal scores go to the smaller label.
+    Labels compete whose words the key holds; a key without a learnt word has no row.
+    """
+    own = words.filter("term = ''").select("label", F.col("weight").alias("own"))
+    sums = counted.filter("term <> ''").join(words, "term").groupBy(key, "label").agg(F.sum("weight").alias("w"))
+    scored = sums.join(own, "label").select(key, "label", F.round(F.col("w") + F.col("own"), 9).alias("score"))
+    return ranking.top_k(scored, 1, key, [F.col("score").desc(), F.col("label")]).select(key, "label", "score")
+
+
 def _guidelines(kind: Column, risk: Column) -> Column:
     """Rule table from type and risk to advice."""
     safe, watch = risk.isin("safe", "cautious"), risk.isin("high_risk", "dangerous")
@@ -149,10 +193,13 @@ def _guidelines(kind: Column, risk: Column) -> Column:
         schemas.GUIDELINES)
 
 
-def annotate_offline(df: DataFrame, key: str = "cluster_id", k: int = 5) -> DataFrame:
+def annotate_offline(df: DataFrame, key: str = "cluster_id", k: int = 5, tone_words: DataFrame | None = None,
+                     type_words: DataFrame | None = None) -> DataFrame:
     """Default annotator in plain DataFrame operations.
 
-    Topic and keywords: class TF-IDF.  Sentiment, type and risk: counts of listed words.
+    Topic and keywords: class TF-IDF.  Sentiment and type: words learnt by :func:`learn_words` from the caller's
+    labelled texts (labels as in the trend table; a cluster without a learnt word is neutral, entertainment), without
+    them counts of listed words.  Risk follows the type.
     """
     from tidemark.runtime import cut
 
@@ -185,6 +232,10 @@ def annotate_offline(df: DataFrame, key: str = "cluster_id", k: int = 5) -> Data
             F.col("tone") < 0, "negative").otherwise("neutral"))
         .withColumn("content_type", kind)
     )
+    for name, words, other in (("sentiment", tone_words, "neutral"), ("content_type", type_words, "entertainment")):
+        if words is not None:
+            learnt = judge(counted, words, key).select(key, F.col("label").alias("_label"))
+            out = out.join(learnt, key, "left").withColumn(name, F.coalesce("_label", F.lit(other))).drop("_label")
     out = out.withColumn("risk_level", risk)
     return out.withColumn("guidelines", _guidelines(F.col("content_type"), F.col("risk_level"))
                           ).select(key, "topic", "summary", "sentiment", "keywords",

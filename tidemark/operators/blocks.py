@@ -91,6 +91,32 @@ def _with_cells(df: DataFrame, vector: str, pivots: np.ndarray) -> DataFrame:
     return df.mapInArrow(_nearest_pivot(pivots, vector), schema)
 
 
+def probe(df: DataFrame, layout: Layout, vector: str, probes: int) -> DataFrame:
+    """Each row once for each of its ``probes`` nearest pivots, whose cell it is to search (``cell``)."""
+    if layout.cells <= 1:
+        return df.withColumn("cell", F.lit(0))
+    pivots, many = layout.pivots, min(probes, layout.cells)
+    kept = [f for f in df.schema.fields if f.name != "cell"]
+    schema = T.StructType([*kept, T.StructField("cell", T.IntegerType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            x = matrix(batch.column(batch.schema.get_field_index(vector)))
+            near = squared(x, pivots)
+            nearest = (np.argpartition(near, many - 1, axis=1)[:, :many] if many < layout.cells
+                       else np.broadcast_to(np.arange(many), near.shape))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.take(pa.array(np.repeat(np.arange(len(x)), many))).columns,
+                 pa.array(nearest.ravel().astype(np.int32))], schema=to_arrow)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    to_arrow = to_arrow_schema(schema)
+    return df.select(*[f.name for f in kept]).mapInArrow(run, schema)
+
+
 def lay_out(df: DataFrame, ident: str, vector: str, rows_per_block: int = ROWS,
             pivots: np.ndarray | None = None, most_cells: int = CELLS) -> tuple[DataFrame, Layout]:
     """Rows with ``block`` and ``cell``, written out because every caller reads them repeatedly.
