@@ -59,6 +59,30 @@ def test_decontamination(spark, shard_bytes):
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, contaminated(docs, items)))
 
 
+@pytest.mark.parametrize("n, most", [(0, 9), (1, 9), (12, 1), (13, 1), (14, 1), (40, 1), (40, 30), (200, 64), (200, 10**6)])
+def test_pieces_hold_each_window_once(n, most):
+    found = [b"%d" % i for i in range(n)]
+    cut = list(decontaminate.pieces(found, 13, most))
+    size = min(13, n)
+    windows = [tuple(piece[i:i + size]) for piece in cut for i in range(len(piece) - size + 1)]
+    assert windows == [tuple(found[i:i + size]) for i in range(n - size + 1) if n]
+    assert all(sum(map(len, piece)) + len(piece) < most + 13 * 4 for piece in cut)
+
+
+def test_one_long_item_is_dealt_to_shards(spark, monkeypatch):
+    """An item of many pieces, groups of two or three texts, more shards than pieces of the other items."""
+    monkeypatch.setattr(decontaminate, "GROUP_BYTES", 3000)
+    rng = random.Random(6)
+    text = " ".join(str(rng.randrange(10**6)) for _ in range(20000))
+    w = text.split(" ")
+    items = [(1, text), (2, " ".join(w[50:70])), (2, text), (3, "nowhere")]
+    docs = [(i, " ".join(["x"] * 30 + w[a:a + 13 + i] + ["y"] * i)) for i, a in enumerate(rng.sample(range(19000), 40))]
+    docs += [(90, " ".join(w[4000:4012])), (91, " ".join(w[60:90])), (92, None), (93, "Nowhere")]
+    got = decontaminate.report(spark.createDataFrame(docs, "doc_id long, text string").coalesce(2),
+                               spark.createDataFrame(items, "item_id long, text string"), 40000)
+    assert sorted(map(tuple, got.collect())) == sorted(contaminated(docs, items))
+
+
 def test_decontamination_without_rows(spark):
     items = spark.createDataFrame([], "item_id long, text string")
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")

@@ -5,9 +5,11 @@ consecutive words of an item; an item of fewer, but not none, is one window.  Fo
 the tables of Wu and Manber hold, per block of two words, how far a search may skip; where it may not,
 the bucket of that block and the window's first block give the windows that direct comparison checks.
 
-The items are cut into shards of bounded size.  A shard's words are the only thing that is
-broadcast; each shard searches all texts, and what the shards found is united per row.  So any number of
-items is searched exactly, with the memory of one shard.
+The items are cut into pieces of bounded size that hold each window once, equal pieces of an item as one, and
+the pieces are dealt by hash to shards of bounded size, written to the shared folder.  A task takes a group of
+texts of bounded size and searches it with the tables of one shard after the other, so documents are read once,
+any number of items of any length is searched exactly, and a task holds one group and one shard.  It is the same
+plan for every benchmark; nothing of it passes through the driver or is broadcast.
 
 A null text has no words and stays, uncontaminated.  Null ids and repeated rows are judged row by row.
 Items that are null or have no words occur nowhere; an item without an id makes hits but is not listed;
@@ -19,17 +21,22 @@ from __future__ import annotations
 import math
 import re
 from collections import defaultdict
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.base import add_columns, scratch_path
+from tidemark.llm.base import scratch_path, slices
 
 WINDOW = 13
 #: Bytes of item text in one shard; its tables take about a hundred times as much in a worker.
 SHARD_BYTES = 1 << 20
+#: Bytes of a piece of an item, and of the rows that a task holds while the shards pass by.
+PIECE_BYTES, GROUP_BYTES = 1 << 15, 1 << 25
 
 # Fixed value: a word, in UTF-8 with A-Z lowered.
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -103,33 +110,109 @@ def merged(hits: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-_FOUND = "n_words long, hits array<struct<start:int,end:int>>, items array<string>"
-
-
-def _search(docs: DataFrame, text: str, shard, keep: bool = True) -> DataFrame:
-    """``docs`` with what one broadcast shard finds in each row."""
+def pieces(found: list[bytes], window: int = WINDOW, most: int = PIECE_BYTES) -> Iterator[list[bytes]]:
+    """Stretches of about ``most`` bytes, a window at least, of which exactly one holds each window."""
+    if found and len(found) <= window:
+        yield found
+        return
+    start = held = 0
+    for end, word in enumerate(found, 1):
+        held += len(word) + 1
+        if held >= most and end - start >= window:
+            yield found[start:end]
+            start = end - window + 1
+            held = sum(len(w) + 1 for w in found[start:end])
+    if len(found) - start >= window:
+        yield found[start:]
+
+
+def _cut_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, 1):
+            ids, texts = [], []
+            for item, text in zip(part.column(0).to_pylist(), part.column(1)):
+                for piece in pieces(words(text.as_py())):
+                    ids.append(item)
+                    texts.append(b" ".join(piece))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.string()), pa.array(texts, pa.binary())], ["item", "piece"])
+
+
+def _shards(benchmark: DataFrame, shard_bytes: int) -> tuple[str, int]:
+    """Folder of the pieces, a sub-folder a shard, and the number of shards."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"),
+                             F.col("text").cast("binary").alias("text")).filter(F.length("text") > 0)
+    held = items.agg(F.sum(F.length("text") + 16)).first()[0] or 0
+    shards, folder = max(1, math.ceil(held / shard_bytes)), scratch_path(benchmark.sparkSession, "shards")
+    cut = items.mapInArrow(_cut_items, "item string, piece binary").distinct()
+    cut.withColumn("shard", F.pmod(F.xxhash64("item", "piece"), F.lit(shards))).repartition(
+        "shard").write.partitionBy("shard").parquet(folder)
+    return folder, shards
 
-    def make():
-        tables = build(shard.value)
 
-        def work(texts: pa.Array) -> list[pa.Array]:
-            counts, spans, ids = [], [], []
-            for value in texts:
-                found = words(value.as_py())
-                hits: list[tuple[int, int]] = []
-                items: set = set()
-                for t in tables:
-                    t.find(found, hits, items)
-                counts.append(len(found))
-                spans.append([{"start": a, "end": b} for a, b in merged(hits)])
-                ids.append(sorted(items - {None}))
-            span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
-            return [pa.array(counts, pa.int64()), pa.array(spans, pa.list_(span)),
-                    pa.array(ids, pa.list_(pa.string()))]
+def _read(folder: str, shard: int) -> Iterator[tuple[str | None, bytes]]:
+    uri = folder if "://" in folder or folder.startswith("/") else folder.replace(":", "://", 1)
+    system, path = fs.FileSystem.from_uri(uri)
+    for info in system.get_file_info(fs.FileSelector(f"{path}/shard={shard}", allow_not_found=True)):
+        if info.path.endswith(".parquet"):
+            with system.open_input_file(info.path) as source:
+                held = pq.ParquetFile(source).read(["item", "piece"])
+                yield from zip(held["item"].to_pylist(), held["piece"].to_pylist())
 
-        return work
 
-    return add_columns(docs, text, _FOUND, make, keep)
+_FOUND = "n_words long, hits array<struct<start:int,end:int>>, items array<string>"
+_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+
+def _search(docs: DataFrame, text: str, folder: str, shards: int, keep: bool = True) -> DataFrame:
+    """``docs`` with what all shards find in each row; new columns replace old ones of the same name."""
+    new = T.StructType.fromDDL(_FOUND)
+    taken = {name.lower() for name in new.names} | (set() if keep else {text.lower()})
+    kept = [f for f in docs.schema.fields if f.name.lower() not in taken]
+    schema = T.StructType([*kept, *new.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order, loaded, tables = list(range(shards)), -1, []
+
+        def found_in(group: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            nonlocal loaded, tables
+            rows = [([], [], set()) for part in group for _ in range(part.num_rows)]  # word count, hits, ids
+            for k in order:
+                if k != loaded:
+                    tables = []  # the shard before goes first
+                    tables, loaded = build(_read(folder, k)), k
+                values = (v.as_py() for part in group for v in part.column(part.num_columns - 1))
+                for value, (count, hits, ids) in zip(values, rows):
+                    here = words(value)
+                    count[:] = [len(here)]
+                    for t in tables:
+                        t.find(here, hits, ids)
+            order.reverse()  # the next group begins with the shard that is loaded
+            at = 0
+            for part in group:
+                here, at = rows[at:at + part.num_rows], at + part.num_rows
+                yield pa.RecordBatch.from_arrays([
+                    *part.columns[:-1],
+                    pa.array([count[0] for count, _, _ in here], pa.int64()),
+                    pa.array([[{"start": a, "end": b} for a, b in merged(hits)] for _, hits, _ in here], _SPANS),
+                    pa.array([sorted(ids - {None}) for _, _, ids in here], pa.list_(pa.string()))], schema.names)
+
+        group, held = [], 0
+        for batch in batches:
+            for part in slices(batch, batch.num_columns - 1):
+                group.append(part)
+                held += part.nbytes
+                if held >= GROUP_BYTES:
+                    yield from found_in(group)
+                    group, held = [], 0
+        if group:
+            yield from found_in(group)
+
+    last = "_source"
+    while last in {f.name.lower() for f in kept}:
+        last += "_"
+    return docs.select(*[F.col(f"`{f.name}`") for f in kept],
+                       F.col(f"`{text}`").cast("binary").alias(last)).mapInArrow(run, schema)
 
 
 def _covered(hits: Column) -> Column:
@@ -145,39 +228,7 @@ def find(docs: DataFrame, benchmark: DataFrame, text: str = "text",
          shard_bytes: int = SHARD_BYTES, keep_text: bool = True) -> DataFrame:
     """``docs`` with ``n_words``, ``hits`` (stretches of words), ``items`` (ids as sorted strings),
     ``n_hit`` and ``contaminated`` (at least one word in twenty hit)."""
-    spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"),
-                             F.col("text").cast("binary").alias("text")).filter(F.length("text") > 0)
-    held = items.agg(F.sum(F.length("text") + 16)).first()[0] or 0
-    shards = max(1, math.ceil(held / shard_bytes))
-    part = F.pmod(F.xxhash64("item", "text"), F.lit(shards))
-
-    def rows_of(k: int):
-        rows = items.filter(part == k).distinct().collect()
-        return spark.sparkContext.broadcast([(r.item, bytes(r.text)) for r in rows])
-
-    if shards == 1:
-        found = _search(docs, text, rows_of(0), keep_text)
-    else:
-        path = scratch_path(spark, "rows")
-        docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(
-            *[F.col(f"`{c}`") for c in docs.columns]).alias("own")).write.parquet(path)
-        numbered = spark.read.parquet(path)
-        parts = None
-        for k in range(shards):
-            # one shard at a time is in memory: its findings are written before the next begins
-            out = scratch_path(spark, "found")
-            here = _search(numbered.select("_row", F.col(f"own.`{text}`").alias("_text")), "_text", rows_of(k), False)
-            (here if k == 0 else here.filter(F.size("hits") > 0)).write.parquet(out)
-            part_found = spark.read.parquet(out)
-            parts = part_found if parts is None else parts.unionByName(part_found)
-        united = parts.groupBy("_row").agg(
-            F.max("n_words").alias("n_words"),
-            F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-        taken = {"n_words", "hits", "items"} | (set() if keep_text else {text.lower()})
-        found = numbered.join(united, "_row").select(
-            *[F.col(f"own.`{c}`") for c in docs.columns if c.lower() not in taken], "n_words", "hits", "items")
+    found = _search(docs, text, *_shards(benchmark, shard_bytes), keep_text)
     return (found.withColumn("n_hit", _covered(F.col("hits")))
             .withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))))
 
