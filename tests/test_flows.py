@@ -1,6 +1,8 @@
 """Keyword lifecycle, streaming intake, snapshots, pluggable functions, the whole batch."""
 
 import os
+import random
+import uuid
 from datetime import datetime
 
 import pytest
@@ -215,6 +217,52 @@ def test_rejected_annotations(spark):
     assert [r["cluster_id"] for r in good.collect()] == [1] and sorted(r["cluster_id"] for r in bad.collect()) == [2, 3]
 
 
+def test_calls_are_dealt_by_key_and_made_once(spark, tmp_path):
+    req = spark.range(200).select(F.col("id").alias("cluster_id"), F.lit("q").alias("request")).coalesce(1)
+
+    def fn(request):
+        from pyspark import TaskContext
+
+        (tmp_path / f"{TaskContext.get().partitionId()}-{uuid.uuid4().hex}").touch()
+        return '{"topic":"t","summary":"s","sentiment":"neutral","keywords":[]}'
+
+    good, bad = annotate.annotate(req, fn, calls=5)
+    assert good.count() == 200 and bad.count() == 0
+    made = [p.name.split("-")[0] for p in tmp_path.iterdir()]
+    assert len(made) == 200 and len(set(made)) == 5 and max(map(made.count, made)) < 100
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 30, 1000])
+def test_top_phrases_against_all_phrases(spark, n):
+    rng = random.Random(n)
+    rows = [[rng.choice("aabbcde") for _ in range(rng.randrange(9))] for _ in range(60)]
+    rows += [None, [], ["war"], ["a", "war", "b", "a"] * 3, ["x", "y", "z"], ["x", "y", "z"]]
+    hits = {}
+    for row in rows:
+        found = {tuple(row[i:i + k]) for k in range(2, 6) for i in range(len(row) - k + 1)} if row else ()
+        for phrase in found:
+            if "war" not in phrase:
+                hits[phrase] = hits.get(phrase, 0) + 1
+    want = sorted(hits.items(), key=lambda x: (-x[1], -len(x[0]), " ".join(x[0])))[:n]
+    got = annotate.top_phrases(spark.createDataFrame([(r,) for r in rows], "words array<string>"), n)
+    assert sorted(map(tuple, got.collect())) == sorted((" ".join(k), v) for k, v in want)
+    assert annotate.top_phrases(got.select(F.split("keyword", " ").alias("words")).limit(0), n).isEmpty()
+
+
+def test_failed_vectors_are_data(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("c",)], "t string").coalesce(1)
+
+    def fn(texts):
+        if "b" in texts:
+            raise ValueError("no")
+        return [[1.0] for _ in texts]
+
+    got = {r.t: r.embedding for r in embed.embed(df, "t", fn, batch=1, keep_failed=True).collect()}
+    assert got == {"a": [1.0], "b": None, "c": [1.0]}
+    with pytest.raises(Exception, match="no"):
+        embed.embed(df, "t", fn, batch=1).collect()
+
+
 def test_discovery_with_function(spark):
     entries = spark.createDataFrame([(1, " one "), (2, ""), (3, "two")], "ingest_seq long, title string")
     old = empty(spark, schemas.EXTRACTED)

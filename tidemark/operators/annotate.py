@@ -14,6 +14,7 @@ from tidemark.functions import engagement as eng
 from tidemark.functions import repair
 from tidemark.functions import text as tx
 from tidemark.operators import normalize, ranking, rollup
+from tidemark.runtime import cut, dealt
 
 INSTRUCTIONS = (
     "Reply with one JSON object with the fields topic, summary, sentiment (positive, negative or "
@@ -88,9 +89,13 @@ def _guarded(fn: Callable[[str], str]):
 
 
 def annotate(requests: DataFrame, fn: Callable[[str], str],
-             key: str = "cluster_id") -> tuple[DataFrame, DataFrame]:
-    """(annotated, rejected).  Rejected: the call failed, or its JSON lacks a required field."""
-    answered = requests.withColumn("answer", _guarded(fn)("request"))
+             key: str = "cluster_id", calls: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(annotated, rejected).  Rejected: the call failed, or its JSON lacks a required field.
+
+    The requests are dealt by key to ``calls`` tasks, as many as the cluster has cores if none are named, and each
+    is asked once: the answers are written before both results are read from them.
+    """
+    answered = cut(dealt(requests, key, calls).withColumn("answer", _guarded(fn)("request")))
     return read_answers(answered, key)
 
 
@@ -132,8 +137,6 @@ def learn_words(labelled: DataFrame, label: str = "label", text: str = "text", p
     log-odds of the label itself.  Only aggregates; copies of one text count each.  Rows without a label teach nothing.
     With one label only nothing is learnt.
     """
-    from tidemark.runtime import cut
-
     known = labelled.filter(F.col(label).isNotNull()).select(F.col(label).alias("label"), text)
     held = cut(known.select("label", F.explode(F.array_distinct(tx.pieces(F.col(text)))).alias("term")).filter(
         "term <> ''").groupBy("label", "term").agg(F.count(F.lit(1)).alias("n")))
@@ -201,8 +204,6 @@ def annotate_offline(df: DataFrame, key: str = "cluster_id", k: int = 5, tone_wo
     labelled texts (labels as in the trend table; a cluster without a learnt word is neutral, entertainment), without
     them counts of listed words.  Risk follows the type.
     """
-    from tidemark.runtime import cut
-
     counted = cut(terms(df, key))  # read four times below
     best = class_terms(counted, k, key).groupBy(key).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("rank", "term"))),
@@ -261,14 +262,43 @@ def build_trends(items: DataFrame, annotated: DataFrame, now, sample_top: int =
     )
 
 
-def ngrams(words: Column, low: int, high: int) -> Column:
-    """Distinct runs of ``low`` to ``high`` consecutive words."""
-    def of(size: int) -> Column:
-        last = F.size(words) - (size - 1)
-        starts = F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(
-            F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.array_join(F.slice(words, i, size), " "))
-    return F.array_distinct(F.concat(*[of(n) for n in range(low, high + 1)]))
+def ngrams(words: Column, size: int) -> Column:
+    """Distinct runs of ``size`` consecutive words."""
+    last = F.size(words) - (size - 1)
+    starts = F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(
+        F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(words, i, size), " ")))
+
+
+def top_phrases(listed: DataFrame, n: int, low: int = 2, high: int = 5) -> DataFrame:
+    """(keyword, hits): the ``n`` phrases of ``low`` to ``high`` words in most rows of ``words``; equal counts go to
+    the longer phrase, then the smaller text.  Phrases with skipped words are left out.
+
+    Exact in two steps.  The shortest phrases are counted first; the ``n``-th of them is in ``least`` rows, so a longer
+    phrase is wanted only if it is in as many, and then so are all shortest phrases in it.  Only places where
+    such phrases follow one another are shuffled again.
+    """
+    rows = cut(listed.select(F.monotonically_increasing_id().alias("row"), "words"))
+
+    def usable(phrase: str) -> Column:
+        return ~_has(F.split(phrase, " "), SKIPPED_WORDS)
+
+    short = cut(rows.select(F.explode(ngrams(F.col("words"), low)).alias("keyword")).groupBy("keyword").agg(
+        F.count(F.lit(1)).alias("hits")).filter(usable("keyword")))
+    least = short.orderBy(F.col("hits").desc()).limit(n).agg(F.min("hits")).first()[0]
+    often = short.filter(F.col("hits") >= F.lit(least))  # none, if nothing was counted
+    starts = F.sequence(F.lit(1), F.size("words") - (low - 1))
+    places = rows.filter(F.size("words") >= low).select("row", F.posexplode(F.transform(
+        starts, lambda i: F.slice("words", i, high))).alias("at", "ahead")).withColumn(
+        "keyword", F.array_join(F.slice("ahead", 1, low), " ")).join(often, "keyword", "left_semi")
+    by_place = Window.partitionBy("row").orderBy("at")
+    more = sum((F.coalesce(F.lead("at", j).over(by_place) == F.col("at") + j, F.lit(False)).cast("int")
+                for j in range(1, high - low + 1)), F.lit(0))
+    longer = places.withColumn("more", more).filter("more > 0").select("row", F.explode(F.transform(
+        F.sequence(F.lit(low + 1), F.col("more") + low),
+        lambda k: F.array_join(F.slice("ahead", F.lit(1), k), " "))).alias("keyword")).distinct()
+    both = often.unionByName(longer.groupBy("keyword").agg(F.count(F.lit(1)).alias("hits")))
+    return both.orderBy(F.col("hits").desc(), F.size(F.split("keyword", " ")).desc(), "keyword").limit(n)
 
 
 def extract_keywords(headlines: DataFrame, now, n: int = 30, low: int = 2,
@@ -280,17 +310,13 @@ def extract_keywords(headlines: DataFrame, now, n: int = 30, low: int = 2,
     from tidemark.functions import times
 
     listed = headlines.select(tx.tokens(F.col("title")).alias("words"))
-    phrases = listed.select(F.explode(ngrams(F.col("words"), low, high)).alias("keyword")).groupBy(
-        "keyword").agg(F.count(F.lit(1)).alias("hits"))
     parts = F.split("keyword", " ")
     category = F
     for name, lexicon in CATEGORY_WORDS.items():
         category = category.when(_has(parts, lexicon), F.lit(name))
     total = listed.agg(F.count(F.lit(1))).scalar()
     return (
-        phrases.filter(~_has(parts, SKIPPED_WORDS))
-        .orderBy(F.col("hits").desc(), F.size(parts).desc(), F.col("keyword")).limit(n)
-        .select(
+        top_phrases(listed, n, low, high).select(
             "keyword", category.otherwise(F.lit(OTHER_CATEGORY)).alias("category"),
             F.concat(F.lit("in "), F.col("hits").cast("string"), F.lit(" headlines")).alias("reason"),
             times.clock(now).alias("extracted_at"), F.lit("pending").alias("status"),

@@ -94,3 +94,12 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def dealt(df: DataFrame, key: str, tasks: int | None = None) -> DataFrame:
+    """Rows dealt by key to ``tasks`` tasks, as many as there are cores if none are named.
+
+    For remote calls: their number at a time is the caller's to bound, and adaptive execution, which counts bytes,
+    does not leave all of them to one task.
+    """
+    return df.repartition(tasks or df.sparkSession.sparkContext.defaultParallelism, key)
