@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from tidemark.catalog.base import ITEMS, NOW, SCORED, joined, query
+from tidemark.catalog.base import CHECKED, ITEMS, NOW, SCORED, TRENDS, joined, query, stamp
 from tidemark.catalog.items import _labelled
 from tidemark.config import ClusterConfig, Settings
 from tidemark.functions import vectors as vec
@@ -244,7 +245,8 @@ def annotate_with_function(spark, sf):
     return good.select("cluster_id", "topic", "summary", "sentiment", "content_type", "risk_level")
 
 
-_TERMS = """w AS (SELECT lang AS cluster_id, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS term FROM documents),
+def _terms(key: str, rows: str) -> str:
+    return f"""w AS (SELECT {key} AS cluster_id, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS term FROM {rows}),
  n AS (SELECT cluster_id, term, count(*) AS n FROM w WHERE term <> '' GROUP BY 1, 2),
  t AS (SELECT cluster_id, sum(n)::BIGINT AS words FROM n GROUP BY 1), a AS (SELECT avg(words) AS mean FROM t),
  s AS (SELECT term, sum(n)::BIGINT AS everywhere FROM n GROUP BY 1),
@@ -253,6 +255,9 @@ _TERMS = """w AS (SELECT lang AS cluster_id, unnest(regexp_split_to_array(lower(
  best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY score DESC, term) AS rank FROM sc) WHERE rank <= 5)"""
 
 
+_TERMS = _terms("lang", "documents")
+
+
 @query("class_terms", f"WITH {_TERMS} SELECT cluster_id, rank, term, round(score, 6) AS score FROM best")
 def class_terms(spark, sf):
     return annotate.class_terms(cut(annotate.terms(fx.content_items(spark, sf, heavy=True)))).select(
@@ -272,14 +277,18 @@ def _type_case():
     return out + " ELSE 'entertainment' END"
 
 
-@query("annotate_offline", f"""WITH {_TERMS}, tone AS (SELECT cluster_id, {_hits(annotate.POSITIVE)} - {_hits(annotate.NEGATIVE)} AS tone,
+_NOTES = f"""tone AS (SELECT cluster_id, {_hits(annotate.POSITIVE)} - {_hits(annotate.NEGATIVE)} AS tone,
  {', '.join(f'{_hits(w)} AS {k}' for k, w in annotate.TYPE_WORDS.items())} FROM n GROUP BY cluster_id),
  kinds AS (SELECT *, {_type_case()} AS content_type FROM tone),
- kw AS (SELECT cluster_id, list(term ORDER BY rank) AS k FROM best GROUP BY cluster_id)
-SELECT cluster_id, array_to_string(k[1:3], ' ') AS topic, array_to_string(k, ',') AS keywords,
- CASE WHEN tone > 0 THEN 'positive' WHEN tone < 0 THEN 'negative' ELSE 'neutral' END AS sentiment, content_type,
- CASE content_type WHEN 'dangerous' THEN 'dangerous' WHEN 'social_issue' THEN 'high_risk' WHEN 'drama' THEN 'cautious' ELSE 'safe' END AS risk_level
-FROM kinds JOIN kw USING (cluster_id)""")
+ kw AS (SELECT cluster_id, list(term ORDER BY rank) AS k FROM best GROUP BY cluster_id),
+ notes AS (SELECT cluster_id, k, array_to_string(k[1:3], ' ') AS topic,
+  CASE WHEN tone > 0 THEN 'positive' WHEN tone < 0 THEN 'negative' ELSE 'neutral' END AS sentiment, content_type,
+  CASE content_type WHEN 'dangerous' THEN 'dangerous' WHEN 'social_issue' THEN 'high_risk' WHEN 'drama' THEN 'cautious' ELSE 'safe' END AS risk_level
+  FROM kinds JOIN kw USING (cluster_id))"""
+
+
+@query("annotate_offline", f"""WITH {_TERMS}, {_NOTES} SELECT cluster_id, topic, array_to_string(k, ',') AS keywords,
+ sentiment, content_type, risk_level FROM notes""")
 def annotate_offline(spark, sf):
     return annotate.annotate_offline(fx.content_items(spark, sf, heavy=True)).select(
         "cluster_id", "topic", joined("keywords"), "sentiment", "content_type", "risk_level")
@@ -332,6 +341,86 @@ def _detected(spark, sf):
                          Settings(cluster=ClusterConfig(min_cluster_size=5, min_samples=5)))
 
 
+def _nibbles(texts: list[str]) -> list[list[float]]:
+    """A vector that SQL can repeat: the hexadecimal digits of a digest, about zero."""
+    return [[int(c, 16) - 7.5 for c in hashlib.md5(t.encode()).hexdigest()[:16]] for t in texts]
+
+
+_GIVEN = f"""{TRENDS}{CHECKED.removeprefix(ITEMS)},
+ k AS (SELECT * EXCLUDE (cluster_id), 256 * g + ascii(substr(language, 2, 1)) AS cluster_id FROM members
+  WHERE ingest_seq IN (SELECT ingest_seq FROM checked WHERE ok_clean AND reason IS NULL)),
+ {_terms("cluster_id", "k")}, {_NOTES},
+ fresh AS (SELECT '20240131000000-' || CAST(k.cluster_id AS VARCHAR) AS trend_id, any_value(coalesce(o.topic, '')) AS topic,
+  any_value(coalesce(sentiment, 'neutral')) AS sentiment, any_value(coalesce(content_type, 'entertainment')) AS content_type,
+  any_value(coalesce(risk_level, 'safe')) AS risk_level, any_value(coalesce(o.k, CAST([] AS VARCHAR[]))) AS keywords,
+  count(*) AS video_count, CAST(sum(coalesce(views, 0)) AS BIGINT) AS total_views,
+  CAST(sum(coalesce(likes, 0)) AS BIGINT) AS total_likes, list(DISTINCT source) AS sources
+  FROM k LEFT JOIN notes o USING (cluster_id) GROUP BY k.cluster_id),
+ topics AS (SELECT DISTINCT topic FROM (SELECT topic FROM fresh UNION ALL SELECT topic FROM trends)),
+ v AS (SELECT topic, [{', '.join(f"strpos('0123456789abcdef', substr(md5(topic), {i + 1}, 1)) - 8.5::DOUBLE" for i in range(16))}] AS v FROM topics),
+ l AS (SELECT f.*, v.v FROM fresh f JOIN v USING (topic)), r AS (SELECT f.*, v.v FROM trends f JOIN v USING (topic)),
+ pairs AS (SELECT l.trend_id AS new_id, r.trend_id AS match_id, 0.6 * list_dot_product(l.v, r.v)
+   / (sqrt(list_dot_product(l.v, l.v)) * sqrt(list_dot_product(r.v, r.v)))
+  + 0.2 * len(list_intersect(l.keywords, r.keywords)) / len(list_distinct(l.keywords || r.keywords))::DOUBLE + 0.1 * 0.5
+  + 0.1 * len(list_intersect(l.sources, r.sources)) / len(list_distinct(l.sources || r.sources))::DOUBLE AS score FROM l, r),
+ links AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY new_id ORDER BY score DESC, match_id) AS rn FROM pairs)
+  WHERE rn = 1 AND score >= 0.5),
+ m AS (SELECT f.*, match_id, row_number() OVER (PARTITION BY match_id ORDER BY f.trend_id DESC) AS latest
+  FROM links JOIN fresh f ON f.trend_id = new_id),
+ sums AS (SELECT match_id, sum(video_count) AS c, sum(total_views) AS v, sum(total_likes) AS l, flatten(list(keywords)) AS kw
+  FROM m GROUP BY match_id),
+ stored AS (SELECT o.trend_id, o.topic, m.sentiment, m.content_type, m.risk_level, CAST(o.video_count + c AS BIGINT) AS video_count,
+   CAST(o.total_views + sums.v AS BIGINT) AS total_views, CAST(o.total_likes + sums.l AS BIGINT) AS total_likes,
+   list_distinct(o.keywords || kw) AS keywords, m.sources, true AS fresh_time, true AS kept
+   FROM sums JOIN trends o ON o.trend_id = sums.match_id JOIN m ON m.match_id = sums.match_id AND m.latest = 1
+  UNION ALL SELECT trend_id, topic, sentiment, content_type, risk_level, video_count, total_views, total_likes, keywords, sources, true, true
+   FROM fresh WHERE trend_id NOT IN (SELECT new_id FROM links)
+  UNION ALL SELECT trend_id, topic, sentiment, content_type, risk_level, video_count, total_views, total_likes, keywords, sources, false,
+   ts >= TIMESTAMP '{NOW}' - INTERVAL 3 DAY FROM trends WHERE trend_id NOT IN (SELECT match_id FROM links))"""
+
+
+def _concluded(spark, sf):
+    """The batch of :func:`_detected` with given clusters and topic vectors; (items, found)."""
+    stored = fx.trends(spark, sf).drop("side", "guidelines").withColumn(
+        "guidelines", F.lit(None).cast(annotate.schemas.GUIDELINES)).withColumn(
+        "timestamp", F.lit("2024-01-30 12:00:00").cast("timestamp"))
+    seq = F.col("ingest_seq")
+    items = fx.content_items(spark, sf, heavy=True).drop("channel").withColumn(
+        "cluster_id", 256 * (F.floor(seq / 1000) * 50 + seq % 50) + F.ascii(F.substring("language", 2, 1)))
+    ready = cut(detect.prepare(items).drop("embed_text"))
+    return items, detect.conclude(ready, stored, NOW, embedder=_nibbles)
+
+
+@query("detect_given_clusters", f"""WITH {_GIVEN} SELECT trend_id, topic, sentiment, content_type, risk_level, video_count, total_views,
+ total_likes, array_to_string(list_sort(keywords), ',') AS keywords, array_to_string(list_sort(sources), ',') AS sources,
+ CASE WHEN fresh_time THEN '{NOW}' ELSE '2024-01-30 12:00:00' END AS seen, kept FROM stored""")
+def detect_given_clusters(spark, sf):
+    """Clean, filter, annotate, match, merge, store, expire: all trends after the batch, clusters and vectors given."""
+    _, found = _concluded(spark, sf)
+    return found.stored.withColumn("kept", F.lit(True)).unionByName(found.expired.withColumn("kept", F.lit(False))).select(
+        "trend_id", "topic", "sentiment", "content_type", "risk_level", "video_count", "total_views", "total_likes",
+        F.array_join(F.array_sort("keywords"), ",").alias("keywords"),
+        F.array_join(F.array_sort(F.map_keys("source_counts")), ",").alias("sources"), stamp("timestamp", "seen"), "kept")
+
+
+@query("run_metrics_given_clusters", f"""WITH {_GIVEN}, z AS (SELECT cluster_id, count(*) AS z FROM k GROUP BY 1)
+SELECT 'NormalizationStage' AS stage, 'input_count' AS metric, count(*)::DOUBLE AS value FROM checked
+UNION ALL SELECT 'NormalizationStage', 'output_count', count(*) FROM checked
+UNION ALL SELECT 'CleaningStage', 'input_count', count(*) FROM checked
+UNION ALL SELECT 'CleaningStage', 'output_count', count(*) FROM checked WHERE ok_clean
+UNION ALL SELECT 'FilteringStage', 'input_count', count(*) FROM checked WHERE ok_clean
+UNION ALL SELECT 'FilteringStage', 'output_count', count(*) FROM k
+UNION ALL SELECT 'ClusteringStage', 'cluster_count', count(*) FROM z
+UNION ALL SELECT 'ClusteringStage', 'avg_size', avg(z) FROM z
+UNION ALL SELECT 'ClusteringStage', 'min_size', min(z) FROM z
+UNION ALL SELECT 'ClusteringStage', 'max_size', max(z) FROM z
+UNION ALL SELECT 'DeduplicationStage', 'merged_trends', count(*) FROM sums HAVING count(*) > 0
+UNION ALL SELECT 'DeduplicationStage', 'new_trends', count(*) FROM fresh WHERE trend_id NOT IN (SELECT new_id FROM links) HAVING count(*) > 0""")
+def run_metrics_given_clusters(spark, sf):
+    items, found = _concluded(spark, sf)
+    return detect.run_metrics(items, found)
+
+
 @query("detect_trends")
 def detect_trends(spark, sf):
     """Clean, filter, embed, cluster, annotate, match and merge; one row a resulting trend."""
