@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -186,6 +187,27 @@ def missing_field_defaults(spark, sf):
                       F.col("p.author_verified").alias("verified"), "p.language")
 
 
+def _sparse_record(kind: str, nulled: bool) -> str:
+    """The record of a payload without keys, or with its layout's first key null, as JSON text."""
+    first = next(iter(schemas.DEFAULTS[kind]))
+    return json.dumps({f.name: None if nulled and f.name == first else schemas.DEFAULTS[kind].get(f.name)
+                       for f in schemas.PAYLOADS[kind].fields}, ensure_ascii=False, separators=(",", ":"))
+
+
+@query("layout_defaults", f"""SELECT doc_id, CASE doc_id % 8 {' '.join(
+    f"WHEN {i + 4 * nulled} THEN '{_sparse_record(kind, bool(nulled))}'" for nulled in (0, 1) for i, kind in enumerate(_LAYOUTS))}
+ END AS record FROM documents""")
+def layout_defaults(spark, sf):
+    """All fields of all four layouts: defaults of absent keys, nulls of present ones and of fields without a default."""
+    d = F.col("doc_id")
+    kind = F.element_at(F.array(*map(F.lit, _LAYOUTS)), (d % 4 + 1).cast("int"))
+    first = F.element_at(F.array(*[F.lit(next(iter(schemas.DEFAULTS[k]))) for k in _LAYOUTS]), (d % 4 + 1).cast("int"))
+    payload = F.when(d % 8 < 4, "{}").otherwise(F.concat(F.lit('{"'), first, F.lit('":null}')))
+    typed = fx.table(spark, sf, "documents").select("doc_id", normalize.typed(payload, kind).alias("r"))
+    return typed.select("doc_id", F.coalesce(*[F.when(F.col(f"r.{k}").isNotNull(), F.to_json(
+        f"r.{k}", {"ignoreNullFields": "false"})) for k in _LAYOUTS]).alias("record"))
+
+
 # ------------------------------------------------------------------ decoding and envelopes
 
 def _messages(spark, sf):
@@ -409,6 +431,20 @@ def snapshot_replay(spark, sf):
     return back.select("content_id", F.md5("text").alias("text_md5"), "views")
 
 
+@query("audit_copy", f"""WITH {ITEMS} SELECT source, content_id, md5(text) AS text_md5, views, likes, author_followers,
+ strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published FROM items""")
+def audit_copy(spark, sf):
+    """Items saved for audit and read back; a second copy of the same batch fails and stops nothing."""
+    root, at = scratch_path(spark, "audit"), datetime(2024, 1, 31)
+    items = fx.content_items(spark, sf).drop("cluster_id", "channel")
+    path = snapshots.try_write_snapshot(items, root, "items", at)
+    if snapshots.try_write_snapshot(items, root, "items", at) is not None:
+        raise RuntimeError("a batch was saved twice")
+    back = snapshots.read_snapshots(spark, path, items.schema, array_files=False)
+    return back.select("source", "content_id", F.md5("text").alias("text_md5"), "views", "likes", "author_followers",
+                       stamp("published_at", "published"))
+
+
 @query("snapshot_array_files", f"WITH {ITEMS} SELECT content_id, md5(text) AS text_md5, views FROM items")
 def snapshot_array_files(spark, sf):
     """Pretty-printed JSON array files, as collectors dump them: two hundred rows a file."""

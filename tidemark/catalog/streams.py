@@ -65,6 +65,24 @@ def stream_hold_back(spark, sf):
     return rollup.count_by(spark.read.parquet(f"{base}/out").select("source").unionByName(left), "source")
 
 
+@query("stream_restart", f"""WITH {ITEMS}, p AS (SELECT unnest([0, 1]) AS pass)
+SELECT pass, source, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM items, p GROUP BY 1, 2""")
+def stream_restart(spark, sf):
+    """Everything read once, then again from the earliest message: both passes take every row, under names of their own."""
+    root, schema = _landing(spark, sf)
+    base = scratch_path(spark, "again")
+
+    def process(batch, run):
+        batch.write.mode("overwrite").parquet(f"{base}/out/run={run}")
+
+    target = intake.HoldBack(base, process, min_rows=1)
+    for begin in (target.start, target.restart):
+        _finish(begin(intake.stream_files(spark, root, schema, max_files=2), f"{base}/checkpoint"))
+    again = F.col("run").startswith("run-1-") & (F.size(F.split("run", "-")) == 3)
+    return spark.read.parquet(f"{base}/out").groupBy(again.cast("int").alias("pass"), "source").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))
+
+
 @query("stream_events_by_type", "SELECT event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY event_type")
 def stream_events_by_type(spark, sf):
     """The events table read as a stream lands the same rows as the batch read."""
