@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 from tidemark.operators import blocks
-from tidemark.operators.kernels import Neighbours
+from tidemark.operators.kernels import BestMatch, Neighbours
 
 MB = 1 << 20
 
@@ -48,3 +48,29 @@ def test_copies_of_rows_travel_a_bounded_number_of_times():
     own = blocks.meetings(lay, lay, np.eye(256, dtype=bool))
     assert own.groups[0] % 256 == 0 and own.groups[1] == 256  # a cell meets itself only
 
+
+def test_best_match_scores_few_pairs_in_full():
+    rng = np.random.default_rng(1)
+    x, y = rng.normal(0, 1, (2048, 32)), rng.normal(0, 1, (2048, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    y /= np.linalg.norm(y, axis=1)[:, None]
+    y[5] = 0.0  # no direction
+
+    def side(v, first):
+        return rows(v, first, keywords=pa.array([[f"w{i % 7}", f"w{i % 5}"] for i in range(len(v))]),
+                    sources=pa.array([["a", "b", "c"][:i % 4] for i in range(len(v))]),
+                    at=np.arange(len(v)) * 3600.0)
+
+    kernel = BestMatch(pa.Table.from_batches([side(x, 0)]), (.6, .2, .1, .1), 24.0, False, floor=.5)
+    assert peak(lambda: kernel.update(side(y, 0))) < 200 * MB
+    got = dict(zip(*kernel.result()[:2]))
+    words = lambda i: {f"w{i % 7}", f"w{i % 5}"}
+    feeds = lambda i: set(["a", "b", "c"][:i % 4])
+
+    def jaccard(a, b):
+        return 1.0 if not a and not b else len(a & b) / len(a | b)
+
+    for i in range(0, 2048, 97):
+        s = [.6 * (x[i] @ y[j]) + .2 * jaccard(words(i), words(j)) + .1 * max(0, 1 - abs(i - j) / 24)
+             + .1 * jaccard(feeds(i), feeds(j)) if j != 5 else -1 for j in range(2048)]
+        assert got.get(i) == (int(np.argmax(s)) if max(s) >= .5 else None)
