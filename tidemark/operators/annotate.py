@@ -286,7 +286,8 @@ def top_phrases(listed: DataFrame, n: int, low: int = 2, high: int = 5) -> DataF
     short = cut(rows.select(F.explode(ngrams(F.col("words"), low)).alias("keyword")).groupBy("keyword").agg(
         F.count(F.lit(1)).alias("hits")).filter(usable("keyword")))
     least = short.orderBy(F.col("hits").desc()).limit(n).agg(F.min("hits")).first()[0]
-    often = short.filter(F.col("hits") >= F.lit(least))  # none, if nothing was counted
+    # none, if nothing was counted; written, so that its size is known before all places are dealt out to meet it
+    often = cut(short.filter(F.col("hits") >= F.lit(least)))
     starts = F.sequence(F.lit(1), F.size("words") - (low - 1))
     places = rows.filter(F.size("words") >= low).select("row", F.posexplode(F.transform(
         starts, lambda i: F.slice("words", i, high))).alias("at", "ahead")).withColumn(
