@@ -1,11 +1,13 @@
 """What a task holds and how often rows travel, on hand-made rows."""
 
+import hashlib
+import math
 import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 
-from tidemark.operators import blocks
+from tidemark.operators import annotate, blocks, clustering, embed
 from tidemark.operators.kernels import BestMatch, Neighbours
 
 MB = 1 << 20
@@ -74,3 +76,44 @@ def test_best_match_scores_few_pairs_in_full():
         s = [.6 * (x[i] @ y[j]) + .2 * jaccard(words(i), words(j)) + .1 * max(0, 1 - abs(i - j) / 24)
              + .1 * jaccard(feeds(i), feeds(j)) if j != 5 else -1 for j in range(2048)]
         assert got.get(i) == (int(np.argmax(s)) if max(s) >= .5 else None)
+
+
+def plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_sparse_vectors_split_texts_once(spark):
+    """Equal ids are one text, a row without id counts in the frequencies only, words may be none."""
+    texts = [("a", "x y x"), ("b", "Y"), ("a", "z"), (None, "x y"), ("c", "!!")]
+    got = embed.sparse(spark.createDataFrame(texts, "content_id string, embed_text string"), dims=1 << 20)
+    assert "split(" not in plan(got)
+    at = lambda w: int(hashlib.md5(w.encode()).hexdigest()[:12], 16) % (1 << 20)
+    held = {"x": 2, "y": 3, "z": 1}  # ids, none being one of them
+    want = {}
+    for name, words in (("a", {"x": 2, "y": 1, "z": 1}), ("b", {"y": 1})):
+        w = {t: n * (math.log(6 / (held[t] + 1)) + 1) for t, n in words.items()}
+        length = math.sqrt(sum(v * v for v in w.values()))
+        want |= {(name, at(t)): round(v / length, 9) for t, v in w.items()}
+    assert {(r[0], r[1]): round(r[2], 9) for r in got.collect()} == want
+
+
+def test_frequent_pairs_are_few_before_all_places_meet_them(spark):
+    """All pairs are too many to send round, the frequent ones are not: places must not be shuffled to meet them."""
+    rng = np.random.default_rng(3)
+    rows = [([f"w{i}" for i in rng.integers(0, 10**6, 12)] + ["big", "red", "bus"],) for _ in range(2000)]
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "50000")
+    try:
+        got = annotate.top_phrases(spark.createDataFrame(rows, "words array<string>").coalesce(2), 2)
+        assert "BroadcastHashJoin" in plan(got) and "SortMergeJoin" not in plan(got)
+        assert [tuple(r) for r in got.collect()] == [("big red bus", 2000), ("big red", 2000)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_rounds_of_the_selection_send_no_table_to_the_driver(spark, monkeypatch):
+    plans, cut = [], clustering.cut
+    monkeypatch.setattr(clustering, "cut", lambda df: plans.append(plan(df)) or cut(df))
+    rows = [(i, i // 2 or None, float(i * 7 % 5)) for i in range(1, 40)]
+    got = clustering.select(spark.createDataFrame(rows, "cluster long, parent long, stability double"))
+    assert got.count() == 39 and plans and not any("BroadcastHashJoin" in p for p in plans)
