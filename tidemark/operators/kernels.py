@@ -9,6 +9,8 @@ from tidemark.operators.blocks import apart, matrix, slack, squared
 
 # pairs whose vectors are gathered at a time
 GATHERED = 1 << 14
+# different sets of a chunk up to which all of them are compared with the left ones beforehand
+FEW_SETS = 128
 
 
 def _column(table, name: str) -> np.ndarray:
@@ -225,17 +227,14 @@ def _distinct(sets: list) -> tuple[list, np.ndarray]:
 
 
 class _Overlaps:
-    """Jaccard of chosen pairs; equal sets are compared once."""
+    """The sets of the left rows; equal sets are compared once."""
 
     def __init__(self, sets: list):
         self.sets, self.place = _distinct(sets)
         self.held = holders(self.sets)
 
-    def of(self, row: np.ndarray, sets: list, col: np.ndarray) -> np.ndarray:
-        used = np.zeros(len(sets), dtype=bool)
-        used[col] = True
-        other, place = _distinct([sets[i] for i in np.flatnonzero(used)])
-        return set_overlap(self.sets, self.held, other)[self.place[row], place[(np.cumsum(used) - 1)[col]]]
+    def table(self, other: list) -> np.ndarray:
+        return set_overlap(self.sets, self.held, other)
 
 
 class BestMatch:
@@ -272,27 +271,63 @@ class BestMatch:
         time = np.maximum(0.0, 1.0 - np.abs(self.at[row] - at) / 3600.0 / self.window)
         return np.where(np.isnan(time), 0.5, time)
 
+    def _latest(self, at: np.ndarray) -> np.ndarray:
+        """Bound of the time factor of each left row with a chunk."""
+        known, rows = at[~np.isnan(at)], np.arange(len(self.at))
+        if self.constant or not len(known):
+            return np.full(len(rows), 0.5)
+        inside = np.clip(self.at, known.min(), known.max())
+        return np.maximum(self._time(rows, inside), 0.5 if len(known) < len(at) else 0.0)
+
+    #: the last chunk, which all left rows of a task meet one after the other, and what is read from it once
+    _chunk: tuple = (None, None)
+
+    @classmethod
+    def _read(cls, batch) -> dict:
+        if cls._chunk[0] is not batch:
+            y = matrix(batch.column("vec"))
+            cls._chunk = batch, {
+                "ids": _longs(batch, "id"), "y": y, "at": _doubles(batch, "at"), "directions": cls._directions(y),
+                "feeds": _distinct(batch.column("sources").to_pylist()),
+                "words": _distinct(batch.column("keywords").to_pylist())}
+        return cls._chunk[1]
+
     def update(self, batch) -> None:
-        ids, y = _longs(batch, "id"), matrix(batch.column("vec"))
-        norm, direction = self._directions(y)
-        rough = self.rough @ direction.T
+        chunk = self._read(batch)
+        ids, y, at, (norm, direction) = (chunk[k] for k in ("ids", "y", "at", "directions"))
         wt, wk, wd, ws = self.weights
         least = np.maximum(self.score, self.floor) - wt * self.tol
-        need = (least - (wk + ws + wd * (0.5 if self.constant else 1.0))) / wt
+        tables, most = {}, {}
+        for name, own in (("feeds", self.feeds), ("words", self.words)):
+            # the table of different sets, and so a bound for each left row, at once if it is small
+            few = len(chunk[name][0]) <= FEW_SETS
+            tables[name] = own.table(chunk[name][0]) if few else None
+            most[name] = tables[name].max(1)[own.place] if few else 1.0
+        open_feeds, open_words = ws * most["feeds"], wk * most["words"]
+        need = (least - (open_words + open_feeds + wd * self._latest(at))) / wt
+        rough = self.rough @ direction.T
         with np.errstate(invalid="ignore"):
             row, col = np.divmod(np.flatnonzero(rough >= need.astype(np.float32)[:, None]), len(ids))
+
+        def overlap(name: str, own: _Overlaps) -> np.ndarray:
+            sets, place = chunk[name]
+            if tables[name] is not None:
+                return tables[name][own.place[row], place[col]]
+            used, at_used = np.unique(place[col], return_inverse=True)
+            return own.table([sets[i] for i in used])[own.place[row], at_used]
+
         # one factor after the other, each for the pairs that can still be the best of their row
         topic, known = rough[row, col] * wt, np.zeros(len(row))
         factors = []
-        for weight, open_, factor in (
-                (wd, wk + ws, lambda: self._time(row, _doubles(batch, "at")[col])),
-                (ws, wk, lambda: self.feeds.of(row, batch.column("sources").to_pylist(), col)),
-                (wk, 0.0, lambda: self.words.of(row, batch.column("keywords").to_pylist(), col))):
+        for weight, left, factor in (
+                (wd, open_words + open_feeds, lambda: self._time(row, at[col])),
+                (ws, open_words, lambda: overlap("feeds", self.feeds)),
+                (wk, 0.0, lambda: overlap("words", self.words))):
             if not len(row):
                 return
             factors.append(factor())
             known = known + factors[-1] * weight
-            keep = topic + known + open_ >= least[row]
+            keep = topic + known >= (least - left)[row]
             row, col, topic, known = row[keep], col[keep], topic[keep], known[keep]
             factors = [f[keep] for f in factors]
         if not len(row):
