@@ -1,6 +1,7 @@
 """The language model against a plain one."""
 
 import math
+import os
 import random
 import re
 import zlib
@@ -142,3 +143,17 @@ def test_frequent_word_beyond_32_bits_scores(spark, tmp_path):
     got = lm.score(spark.createDataFrame([(1, "often")], "doc_id long, text string"), model).first()
     n, v = 2**32 + 10, 2
     assert math.isclose(got.base_score, math.log10((2**32 + 7.1) / (n + 0.1 * (v + 1))) + math.log10(0.1 / (n + 0.1 * (v + 1))))
+
+
+def test_files_do_not_grow_with_the_shards(spark):
+    """A look-up visits every file of an array, so only what is merged at a time follows the size of the texts."""
+    rng = random.Random(4)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.4)) % 900}" for _ in range(40)) for _ in range(120)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    plain = Plain(texts)
+    model = lm.train(df, F.lit(True), shard_text=40, frequent=20)
+    words_ = [name for name in os.listdir(model.folder.removeprefix("file:")) if name.startswith("word-")]
+    assert sum(map(len, texts)) / 40 > 4 * lm.FILES and len(words_) <= lm.FILES
+    assert (model.tokens, model.distinct, model.pairs) == (plain.n, plain.v, len(plain.pair))
+    for r in lm.score(df, model).collect():
+        assert math.isclose(r.score, plain.score(r.text), rel_tol=1e-9), r
