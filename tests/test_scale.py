@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 from tidemark.operators import annotate, blocks, clustering, embed
-from tidemark.operators.kernels import BestMatch, Neighbours
+from tidemark.operators.kernels import BestMatch, LightestExit, Neighbours
 
 MB = 1 << 20
 
@@ -117,3 +117,83 @@ def test_rounds_of_the_selection_send_no_table_to_the_driver(spark, monkeypatch)
     rows = [(i, i // 2 or None, float(i * 7 % 5)) for i in range(1, 40)]
     got = clustering.select(spark.createDataFrame(rows, "cluster long, parent long, stability double"))
     assert got.count() == 39 and plans and not any("BroadcastHashJoin" in p for p in plans)
+
+
+def test_candidates_in_single_precision_give_exact_results():
+    """Rows far from the origin and close to one another, where single precision tells little; and rows too long for it."""
+    rng = np.random.default_rng(7)
+    for shift, scale in ((0.0, 1.0), (50.0, 1e-3), (1e-15, 1e-16), (1e25, 1e24)):
+        x = shift + scale * rng.normal(size=(90, 12))
+        d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+        np.fill_diagonal(d, np.inf)
+        near = Neighbours(rows(x), 6)
+        comp, core = np.arange(90) % 3, np.full(90, 0.5 * scale)
+        out = LightestExit(rows(x, comp=comp, core=core), None)
+        for i in range(0, 90, 40):
+            near.update(rows(x[i:i + 40], i))
+            out.update(rows(x[i:i + 40], i, comp=comp[i:i + 40], core=core[i:i + 40]))
+        order = np.argsort(d, axis=1, kind="stable")[:, :6]
+        assert near.nbr.tolist() == order.tolist()
+        assert near.dist.tolist() == np.take_along_axis(d, order, 1).tolist()
+        w = np.where(comp[:, None] == comp[None], np.inf, np.maximum(d, 0.5 * scale))
+        comps, lightest = out.result()[:2]
+        assert dict(zip(comps.tolist(), lightest.tolist())) == {c: w[comp == c].min() for c in range(3)}
+
+
+def test_every_meeting_of_a_sweep_has_a_task(spark):
+    class Where:
+        """Which task met which rows."""
+
+        def __init__(self, table):
+            self.ids = table.column("id").to_numpy()
+
+        def update(self, batch):
+            pass
+
+        def result(self):
+            from pyspark import TaskContext
+
+            return self.ids, np.full(len(self.ids), TaskContext.get().partitionId())
+
+    x = np.random.default_rng(1).normal(size=(600, 3))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>")
+    placed, layout = blocks.lay_out(df, "id", "vec", 40)
+    met = blocks.meetings(layout, layout, np.ones((layout.cells, layout.cells), dtype=bool))
+    got = blocks.sweep(placed, placed, met, ["id", "vec"], Where, "id long, part long").cache()
+    tasks = met.groups[0] * met.groups[1]
+    assert tasks > 30 and got.select("part").distinct().count() == tasks
+    assert got.count() == 600 * met.groups[1]
+
+
+def test_texts_are_split_once_for_dense_vectors(spark):
+    df = spark.createDataFrame([(1, "a b a"), (2, "b c"), (3, "")], "id long, embed_text string")
+    got = embed.embed(df)
+    assert "split(" not in plan(got)
+    assert [round(math.dist(r.embedding, [0.0] * 256), 9) for r in got.orderBy("id").collect()] == [1.0, 1.0, 0.0]
+
+
+def test_small_links_are_followed_in_one_step(spark, monkeypatch):
+    """As rounds of joins do it, which larger tables still take."""
+    n = 300
+    tree = [("c0", "gone", 3.0)] + [(f"c{i}", f"c{(i - 1) // (1 + i % 2)}", float(i * 7 % 11) + 400 * (i == 3)) for i in range(1, n)]
+    clusters = spark.createDataFrame(tree + [("alone", None, 1.0), ("unsure", "c5", None)], "cluster string, parent string, stability double")
+    # components in a row, each of which picks the next; the last two pick one another
+    chain = [(i, i, i + 1, i + 1) for i in range(n - 1)] + [(n - 1, n - 2, n - 1, n - 2)]
+    picks = spark.createDataFrame(chain, "comp long, a long, b long, other long")
+    cuts, cut = [], clustering.cut
+    monkeypatch.setattr(clustering, "cut", lambda df: cuts.append(1) or cut(df))
+
+    def both():
+        cuts.clear()
+        return (sorted(map(tuple, clustering.select(clusters).collect())),
+                sorted(map(tuple, clustering._roots(picks, n).collect())), len(cuts))
+
+    chosen, roots, steps = both()
+    assert steps == 2 and roots == [(i, n - 2) for i in range(n)]
+    monkeypatch.setattr(clustering, "ONE_TASK", 0)
+    assert both()[:2] == (chosen, roots) and len(cuts) > 10
+    repeated = clusters.union(clusters.limit(1))  # a name that comes twice is left to the joins
+    monkeypatch.setattr(clustering, "ONE_TASK", 1 << 18)
+    cuts.clear()
+    clustering.select(repeated)
+    assert len(cuts) > 2
